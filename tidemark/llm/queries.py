@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from .op4_url_filter import OP4_SQL, op4_url_filter
+from .op6_language_id import op6_language_id
 
 
 def queries() -> dict:
-    return {"op4_url_filter": op4_url_filter}
+    return {
+        "op4_url_filter": op4_url_filter,
+        "op6_language_id": op6_language_id,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op4_url_filter": OP4_SQL}
+    return {
+        "op4_url_filter": OP4_SQL,
+    }
