@@ -5,6 +5,7 @@ from __future__ import annotations
 from .op4_url_filter import OP4_SQL, op4_url_filter
 from .op6_language_id import op6_language_id
 from .op9_binary_output import op9_binary_output
+from .op10_decontamination import op10_decontamination
 
 
 def queries() -> dict:
@@ -12,6 +13,7 @@ def queries() -> dict:
         "op4_url_filter": op4_url_filter,
         "op6_language_id": op6_language_id,
         "op9_binary_output": op9_binary_output,
+        "op10_decontamination": op10_decontamination,
     }
 
 
