@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op1_source_mixing import op1_source_mixing
 from .op4_url_filter import OP4_SQL, op4_url_filter
 from .op6_language_id import op6_language_id
 from .op9_binary_output import op9_binary_output
@@ -10,6 +11,7 @@ from .op10_decontamination import op10_decontamination
 
 def queries() -> dict:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op4_url_filter": op4_url_filter,
         "op6_language_id": op6_language_id,
         "op9_binary_output": op9_binary_output,
