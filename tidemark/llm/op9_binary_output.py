@@ -24,13 +24,12 @@ and no files; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import array
 import functools
 import re
 import struct
-import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +48,7 @@ INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_t
 #: Unicode white space, as the vocabulary's pre-tokenizer sees it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-CACHE = 600_000
+CACHE = 1_500_000  # chunks a worker remembers; some 200 MB
 
 
 def masked(data: bytes) -> int:
@@ -59,33 +58,32 @@ def masked(data: bytes) -> int:
 
 @functools.cache
 def encoder(path: str):
+    """The tokenizer, its added tokens' strings, the id type, and the worker's cache of chunks."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    return t, [x.content for x in t.get_added_tokens_decoder().values()], {}
+    kind = "<u2" if t.get_vocab_size(True) <= 65536 else "<u4"
+    return t, [x.content for x in t.get_added_tokens_decoder().values()], kind, {}
 
 
-def _bytes(ids: list[int]) -> bytes:
-    a = array.array("I", ids)
-    if sys.byteorder == "big":
-        a.byteswap()
-    return a.tobytes()
-
-
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers, without special tokens."""
-    t, added, cache = encoder(path)
+def encode(texts: list[str], path: str) -> list[np.ndarray]:
+    """Ids of each text, without special tokens."""
+    t, added, kind, cache = encoder(path)
     chunked = [None if any(x in s for x in added) else _CHUNKS.findall(s) for s in texts]
     if len(cache) > CACHE:
         cache.clear()
-    new = list({c for chunks in chunked if chunks for c in chunks if c not in cache})
-    for c, e in zip(new, t.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        cache[c] = _bytes(e.ids)
+    new = list(set().union(*(x for x in chunked if x)).difference(cache))
+    code = "H" if kind == "<u2" else "I"
+    for lo in range(0, len(new), 20_000):
+        lot = new[lo : lo + 20_000]
+        for c, e in zip(lot, t.encode_batch_fast(lot, add_special_tokens=False), strict=True):
+            cache[c] = array(code, e.ids).tobytes()
     get = cache.__getitem__
-    return [_bytes(t.encode(s, add_special_tokens=False).ids) if chunks is None else b"".join(map(get, chunks)) for s, chunks in zip(texts, chunked, strict=True)]
+    native = np.dtype(kind).newbyteorder("=")
+    return [np.array(t.encode(s, add_special_tokens=False).ids, native) if chunks is None else np.frombuffer(b"".join(map(get, chunks)), native) for s, chunks in zip(texts, chunked, strict=True)]
 
 
 def framed(doc: int, ids: np.ndarray) -> bytes:
@@ -114,7 +112,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
                 out = store.open_output_stream(f"{root}/{name}.rec")
             frames = []
             for doc, e in zip(ids, encode(texts, tokenizer), strict=True):
-                v = np.append(np.frombuffer(e, "<u4"), np.uint32(END))
+                v = np.append(e, e.dtype.type(END))
                 frame = framed(doc, v)
                 frames.append(frame)
                 index.append((doc, at, len(frame) - 16, len(v)))
