@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .op1_source_mixing import op1_source_mixing
 from .op4_url_filter import OP4_SQL, op4_url_filter
+from .op5_learned_partitions import op5_learned_partitions
 from .op6_language_id import op6_language_id
 from .op7_lm_scoring import op7_lm_scoring
 from .op9_binary_output import op9_binary_output
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op4_url_filter": op4_url_filter,
+        "op5_learned_partitions": op5_learned_partitions,
         "op6_language_id": op6_language_id,
         "op7_lm_scoring": op7_lm_scoring,
         "op9_binary_output": op9_binary_output,
