@@ -39,7 +39,7 @@ def local_uri(uri: str) -> str:
     return uri[7:] if uri.startswith("file://") else os.path.abspath(uri) if "://" not in uri else uri
 
 
-BLOOM_WORDS = 1 << 17  # of 64 bits: 1 MB, whatever the data
+BLOOM_WORDS = 1 << 19  # of 64 bits: 4 MB, whatever the data
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
