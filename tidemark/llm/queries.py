@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_source_mixing import op1_source_mixing
+from .op2_fm_dedup import op2_fm_dedup
 from .op3_suffix_dedup import op3_suffix_dedup
 from .op4_url_filter import OP4_SQL, op4_url_filter
 from .op5_learned_partitions import op5_learned_partitions
@@ -15,6 +16,7 @@ from .op10_decontamination import op10_decontamination
 def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op2_fm_dedup": op2_fm_dedup,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_url_filter": op4_url_filter,
         "op5_learned_partitions": op5_learned_partitions,
