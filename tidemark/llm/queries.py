@@ -9,6 +9,7 @@ from .op4_url_filter import OP4_SQL, op4_url_filter
 from .op5_learned_partitions import op5_learned_partitions
 from .op6_language_id import op6_language_id
 from .op7_lm_scoring import op7_lm_scoring
+from .op8_jaccard_join import op8_jaccard_join
 from .op9_binary_output import op9_binary_output
 from .op10_decontamination import op10_decontamination
 
@@ -22,6 +23,7 @@ def queries() -> dict:
         "op5_learned_partitions": op5_learned_partitions,
         "op6_language_id": op6_language_id,
         "op7_lm_scoring": op7_lm_scoring,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_binary_output": op9_binary_output,
         "op10_decontamination": op10_decontamination,
     }
