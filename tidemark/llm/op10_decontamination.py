@@ -157,5 +157,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     return out
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """docs less the rows that hold some item; nothing is shuffled."""
+    at = docs.columns.index("text")
+    for block in blocks(benchmark, min_chars, block_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def clean(batches, sent=sent):
+            items = sent.value
+            machine = automaton(items, error_rate)
+            for b in batches:
+                keep = [not (s and scan(s, machine, items, error_rate)) for s in b.column(at).to_pylist()]
+                yield b.filter(pa.array(keep, pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

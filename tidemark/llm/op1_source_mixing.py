@@ -16,7 +16,7 @@ A document of several sources counts to one of them, drawn by its hash in propor
 
 Defined cases: a null source is a source of its own, after all others; a null or empty text has
 size 0 and is never taken; targets stop at max_repeats times a source's words, the excess going to the others by
-weight; repeated rows are documents of their own, taken independently; an empty table gives no rows; reruns
+weight; repeated rows are taken together or not at all in a last, partial pass; an empty table gives no rows; reruns
 agree; other columns are kept by ``mix`` and its new columns replace any of the same name.
 """
 
@@ -136,12 +136,12 @@ def _take(size: np.ndarray, left: int) -> tuple[np.ndarray, int]:
 
 
 def _fill(pdf):
-    """Choose within the bucket where a pattern's rest ends, in hash order.
+    """Choose within the bucket where a pattern's rest ends, in hash order; rows of one hash and size go together.
 
     A few other starts of the same order are tried while the first ends over 0.1% of the bucket off.
     """
-    pdf = pdf.sort_values(["__h", "__size"], kind="stable").reset_index(drop=True)
-    left, size = int(pdf["__left"].iloc[0]), pdf["__size"].to_numpy()
+    units = pdf.groupby(["__h", "__size"], sort=True).size().reset_index(name="n")
+    left, size = int(pdf["__left"].iloc[0]), (units["__size"] * units["n"]).to_numpy()
     best, off = _take(size, left)
     for t in range(1, min(TRIES, len(size))):
         if off <= 0.001 * size.sum():
@@ -150,8 +150,7 @@ def _fill(pdf):
         extra, d = _take(np.roll(size, -turn), left)
         if d < off:
             best, off = np.roll(extra, turn), d
-    pdf["__extra"] = best
-    return pdf
+    return units.assign(__pattern=pdf["__pattern"].iloc[0], __extra=best)[["__pattern", "__h", "__size", "__extra"]]
 
 
 def mix(docs: DataFrame, members: Column, size: Column | None = None, weights=WEIGHTS, seed: int = SEED, max_repeats: int = MAX_REPEATS, max_patterns: int = MAX_PATTERNS) -> DataFrame:
@@ -201,8 +200,8 @@ def mix(docs: DataFrame, members: Column, size: Column | None = None, weights=WE
     d = d.join(F.broadcast(last), "__pattern", "left")
     inside = d.where(F.col("__bucket") == F.col("__end"))
     outside = d.where(~F.coalesce(F.col("__bucket") == F.col("__end"), F.lit(False))).withColumn("__extra", (F.coalesce(F.col("__bucket") < F.col("__end"), F.lit(False))).cast("long"))
-    held = [f for f in inside.schema.fields if f.name != "__shares"]
-    inside = inside.drop("__shares").groupBy("__pattern").applyInPandas(_fill, T.StructType([*held, T.StructField("__extra", T.LongType())])).join(F.broadcast(table.select("__pattern", "__shares")), "__pattern")
+    chosen = inside.select("__pattern", "__h", "__size", "__left").groupBy("__pattern").applyInPandas(_fill, "__pattern string, __h long, __size long, __extra long")
+    inside = inside.join(chosen, ["__pattern", "__h", "__size"])
     both = outside.unionByName(inside)
     draw = F.pmod(F.xxhash64("__h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     both = both.withColumn("__draw", draw).withColumn("__q", F.coalesce(F.expr("try_element_at(filter(__shares, x -> __draw < x.upto), 1)"), F.expr("__shares[size(__shares) - 1]")))

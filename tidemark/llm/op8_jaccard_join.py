@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected
 from .store import documents, id_filter, may_hold, written
@@ -234,15 +235,55 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sets, written(links.unionByName(second), "links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, n, sig, comp (a component's smallest sig, null for empty sets) and component_id of every row."""
     sets, links = link_sets(docs)
     comp = connected(links)
     nodes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     least = nodes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = nodes.join(least, "comp").select("sig", "component_id")
-    return sets.where("n > 0").join(named, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    named = nodes.join(least, "comp").select("sig", "comp", "component_id")
+    some = sets.where("n > 0").join(named, "sig").select("doc_id", "n", "sig", "comp", "component_id")
+    return some.unionByName(sets.where("n = 0").select("doc_id", "n", "sig", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    return classes(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs with one row of each component, that of the smallest doc_id; rows with empty sets all stay.
+
+    Rows that are certainly the only ones of their component are not shuffled.
+    """
+    found = written(classes(docs).where("n > 0"), "classes")
+    first = found.groupBy("comp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), "sig")).alias("w"), F.count("*").alias("rows")).where("rows > 1")
+    several = found.join(first.select("comp", "w"), "comp").select("sig", "w").distinct()
+    asked = id_filter(several, "sig")
+    names = docs.columns
+
+    def signed(hold: bool):
+        def run(batches):
+            for b in slices(batches):
+                v, offs = shingle_sets(b)
+                sig = longs(signatures(v, offs))
+                use = np.flatnonzero(((np.diff(offs) > 0) & may_hold(asked.value, sig)) == hold)
+                if len(use):
+                    at = pa.array(use)
+                    cols = [c.take(at) for c in b.columns]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(sig[use])], [*b.schema.names, "__sig"]) if hold else pa.RecordBatch.from_arrays(cols, b.schema.names)
+
+        return run
+
+    alone = docs.mapInArrow(signed(False), docs.schema)
+    held = docs.mapInArrow(signed(True), T.StructType([*docs.schema.fields, T.StructField("__sig", T.LongType())]))
+    held = held.join(several.withColumnRenamed("sig", "__sig"), "__sig", "left")
+    mine = F.col("w").isNull() | ((F.col("w.sig") == F.col("__sig")) & (F.col("w.d") == F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))))
+    held = held.where(mine)
+    lone = held.where("w is null").select(*names)
+    kept = held.where("w is not null").dropDuplicates(["__sig", "doc_id"]).select(*names)
+    return alone.unionByName(lone).unionByName(kept)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
