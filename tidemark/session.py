@@ -12,8 +12,14 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
+#: Bytes in a batch sent to a Python worker: rows can be long texts, so a bound on rows alone bounds no memory.
+BATCH_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Add the package's sources to the application's Python files, once an application."""
+    """Add the package's sources to the application's Python files, once an application, and bound batches by bytes."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -1,0 +1,50 @@
+"""A stream of change rows kept as a table of each id's newest row."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+ROWS = "site_id string, status string, hs boolean, seq bigint"
+
+
+def shared(spark: SparkSession) -> str:
+    """The shared folder that the cluster names, or one of our own where none is set."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        d = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", d)
+    return d.rstrip("/")
+
+
+def merge_newest(old: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """One row an id, the one with the greatest seq; applying a batch again changes nothing."""
+    rows = batch if old is None else old.unionByName(batch)
+    newest = rows.groupBy("site_id").agg(F.max(F.struct("seq", "status", "hs")).alias("x"))
+    return newest.select("site_id", "x.status", "x.hs", "x.seq")
+
+
+def newest_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the whole event table through a file stream, and read the table that it keeps."""
+    root = f"{shared(spark)}/sync-{uuid.uuid4().hex}"
+    done: dict[int, str] = {}
+
+    def batch(df: DataFrame, n: int) -> None:
+        before = max((k for k in done if k < n), default=None)
+        old = spark.read.schema(ROWS).parquet(done[before]) if before is not None else None
+        path = f"{root}/table/batch={n}"
+        merge_newest(old, df).write.mode("overwrite").parquet(path)
+        done[n] = path
+
+    table = f"{sf_dir}/events.parquet"
+    feed = spark.readStream.schema(spark.read.parquet(table).schema).option("maxFilesPerTrigger", 64)
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
+    feed = feed.parquet(table) if folder else feed.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = feed.selectExpr("CAST(user_id AS STRING) AS site_id", "CASE WHEN event_type = 'error' THEN 'Removed' ELSE 'active' END AS status", "event_type = 'signup' AS hs", "event_id AS seq")
+    rows.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema(ROWS).parquet(done[max(done)]) if done else spark.createDataFrame([], ROWS)
+    return out.select("site_id", F.col("status").alias("status"), "hs", "seq")
