@@ -33,6 +33,7 @@ _B = 0xD1342543DE82EF95
 _BI = pow(_B, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 BLOCK = 1 << 22
+PIECE = 1 << 20  # bytes of text hashed at a time
 
 
 class Spec(NamedTuple):
@@ -42,7 +43,7 @@ class Spec(NamedTuple):
     cut: Callable  # (buf, offs, row, start, n symbols) -> list of bytes
     match: Callable  # (list of bytes, windows, order) -> (window's class or -1) for each segment, flat
     earlier: bool  # only windows that also start earlier count
-    shard_bytes: int = 1_200_000
+    shard_bytes: int = 700_000
     hot: int = 4096
 
 
@@ -110,7 +111,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _anchors(spec: Spec):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=PIECE):
             a = segments(*spec.symbols(*raw(b)), spec.length, spec.gram)[3]
             yield pa.RecordBatch.from_arrays([pa.array(longs(a))], ["a"])
 
@@ -119,7 +120,7 @@ def _anchors(spec: Spec):
 
 def _occurrences(spec: Spec, live):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=PIECE):
             row, start, n, a, s = segments(*spec.symbols(*raw(b)), spec.length, spec.gram)
             a = longs(a)
             use = np.flatnonzero(may_hold(live.value, a))
@@ -133,7 +134,7 @@ def _cuts(spec: Spec):
     """Texts of segments: rows hold d, r, text and the document's list of segments."""
 
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=PIECE):
             lists = b.column(b.schema.get_field_index("segs"))
             per = pa.compute.list_value_length(lists).to_numpy()
             flat = lists.flatten()
@@ -277,13 +278,16 @@ def repeated_ranges(docs: DataFrame, spec: Spec) -> DataFrame:
     by = occ.groupBy("a", "s").agg(F.count("*").alias("cnt"), F.min(F.struct("d", "r", "pos", "n")).alias("x"))
     per = by.groupBy("a").agg(F.sum("cnt").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     salt = F.pmod(F.xxhash64("s"), F.ceil(F.col("kinds") / spec.hot).cast("int")).cast("int")
-    reps = written(by.join(per, "a").select("a", "s", "cnt", "x.*", salt.alias("salt"), (F.col("kinds") > spec.hot).alias("hot")), "segments")
-    # every occurrence but the first of its kind holds nothing new
+    reps = written(by.join(per, "a").select("a", "s", "cnt", "x.*", "kinds", salt.alias("salt"), (F.col("kinds") > spec.hot).alias("hot")), "segments")
+    # of a segment that recurs as a whole every occurrence is marked; if only earlier ones count, the first is not
     more = reps.where("cnt > 1").select("a", "s", F.struct("d", "r", "pos").alias("first"))
-    whole = occ.join(more, ["a", "s"]).where(F.struct("d", "r", "pos") != F.col("first")).select("d", "r", F.col("pos").alias("lo"), (F.col("pos") + F.col("n") - 1 + spec.length).cast("int").alias("hi"))
-    # the text of each first occurrence goes to its anchor's shard
-    wanted = id_filter(reps, "d")
-    lists = reps.groupBy("d", "r").agg(F.collect_list(F.struct("a", "salt", "s", "cnt", "pos", "n")).alias("segs"))
+    marked = occ.join(more, ["a", "s"])
+    marked = marked.where(F.struct("d", "r", "pos") != F.col("first")) if spec.earlier else marked
+    whole = marked.select("d", "r", F.col("pos").alias("lo"), (F.col("pos") + F.col("n") - 1 + spec.length).cast("int").alias("hi"))
+    # where an anchor has several different segments, the text of each one's first occurrence goes to its shard
+    mixed = reps.where("kinds > 1")
+    wanted = id_filter(mixed, "d")
+    lists = mixed.groupBy("d", "r").agg(F.collect_list(F.struct("a", "salt", "s", "cnt", "pos", "n")).alias("segs"))
     texts = docs.select("d", "r", "text").mapInArrow(_passing(wanted), "d long, r long, text string")
     shape = "a long, salt int, s long, cnt long, d long, r long, pos int, n int, seg binary"
     segs = texts.join(lists, ["d", "r"]).select("d", "r", "text", "segs").mapInArrow(_cuts(spec), shape)
@@ -295,24 +299,19 @@ def repeated_ranges(docs: DataFrame, spec: Spec) -> DataFrame:
     return written(found.groupBy("d", "r").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
 
 
-def _passing(wanted):
-    def run(batches):
-        for b in batches:
-            keep = may_hold(wanted.value, b.column(0).to_numpy(zero_copy_only=False))
-            if keep.any():
-                yield b.filter(pa.array(keep))
+def _passing(wanted, hold: bool = True, report: Callable | None = None):
+    """Rows whose first column may be in the filter (or surely is not); report, if given, takes them over."""
 
-    return run
-
-
-def _others(wanted):
     def run(batches):
         for b in batches:
-            keep = ~may_hold(wanted.value, b.column(0).to_numpy(zero_copy_only=False))
+            keep = may_hold(wanted.value, b.column(0).to_numpy(zero_copy_only=False)) == hold
             if keep.any():
                 yield b.filter(pa.array(keep))
 
-    return run
+    def reported(batches):
+        return report(x.select(["doc_id", "text", "ranges"]) for x in run(batches))
+
+    return reported if report else run
 
 
 def cover(ranges: list[tuple[int, int]], n: int) -> np.ndarray:
@@ -328,8 +327,7 @@ def cover(ranges: list[tuple[int, int]], n: int) -> np.ndarray:
 def with_ranges(docs: DataFrame, ranges: DataFrame, schema: str, report: Callable) -> DataFrame:
     """report(batches) over (doc_id, text, ranges) of all documents; those surely without ranges are not shuffled."""
     marked = id_filter(ranges, "d")
-    kind = "d long, r long, doc_id long, text string"
     cols = docs.select("d", "r", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    inside = cols.mapInArrow(_passing(marked), kind).join(ranges, ["d", "r"], "left").select("doc_id", "text", "ranges")
-    outside = cols.mapInArrow(_others(marked), kind).select("doc_id", "text", F.lit(None).cast("array<struct<lo:int,hi:int>>").alias("ranges"))
-    return inside.mapInArrow(report, schema).unionByName(outside.mapInArrow(report, schema))
+    inside = cols.mapInArrow(_passing(marked), "d long, r long, doc_id long, text string").join(ranges, ["d", "r"], "left").select("doc_id", "text", "ranges")
+    outside = cols.withColumn("ranges", F.lit(None).cast("array<struct<lo:int,hi:int>>")).mapInArrow(_passing(marked, False, report), schema)
+    return inside.mapInArrow(report, schema).unionByName(outside)

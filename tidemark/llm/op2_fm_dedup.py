@@ -111,7 +111,7 @@ def word_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray) -> np.
     return matching_statistics(index, text, at + LENGTH, LENGTH)[1]
 
 
-SPEC = Spec(LENGTH, 5, word_symbols, word_cut, word_match, earlier=True, shard_bytes=2_000_000)
+SPEC = Spec(LENGTH, 8, word_symbols, word_cut, word_match, earlier=True, shard_bytes=1_200_000)
 
 
 def _report(batches):

@@ -145,7 +145,7 @@ def byte_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray) -> np.
     return np.where(hit[at], 0, -1)
 
 
-SPEC = Spec(LENGTH, 64, byte_symbols, byte_cut, byte_match, earlier=False)
+SPEC = Spec(LENGTH, 200, byte_symbols, byte_cut, byte_match, earlier=False)
 
 
 def _report(batches):
