@@ -7,6 +7,11 @@ indexed, and of them only tokens that occur at least twice.
 Index-level skipping: a token's list is kept in blocks of equal (set size, position of the token); block
 pairs whose sizes or remaining lengths cannot reach the threshold are skipped whole.
 
+A pair that meets in a list must first pass a bitmap test: each set has a bitmap of parities, one for each hash
+slot and three to six slots a member, and two bitmaps differ in no more bits than their sets differ in
+members, so too many differing bits rule a pair out exactly, and only near pairs have their whole sets
+compared: first, for each set, the nearest pair, then what is still between different components.
+
 Answer-level skipping: each list first compares its sets only with a leader of about their size, so a group of
 similar sets costs one comparison each.  What the leader's answers settle is derived: sets in one component need no
 comparison, and two sets whose distances to a common leader differ by more than 1 - t cannot link (the
@@ -33,6 +38,7 @@ SHINGLE = 5
 #: The threshold as a fraction: 80 of 100.
 TOP, BOTTOM = 80, 100
 FREQUENT = 200_000  # tokens ordered by frequency, at most; the others are ordered by hash
+LEAST_BITS = 1024  # of a set's parity bitmap
 OFTEN = 0.005  # share of a task's documents that makes a token frequent
 
 
@@ -75,9 +81,27 @@ def signatures(v: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return mix((total[offs[1:]] - total[offs[:-1]]) ^ mix(np.diff(offs).astype(U)))
 
 
+def parities(v: np.ndarray, offs: np.ndarray) -> list[bytes]:
+    """A parity bitmap of each set; the number of slots is a power of two, at least three a member."""
+    n = np.diff(offs)
+    size = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(1, 3 * n))).astype(np.int64))
+    slot = mix(v ^ U(0x2545F4914F6CDD1D)).view(np.int64)
+    out: list[bytes] = [b""] * len(n)
+    for bits in np.unique(size):
+        rows = np.flatnonzero(size == bits)
+        for lo in range(0, len(rows), max(1, (1 << 22) // int(bits))):
+            some = rows[lo : lo + max(1, (1 << 22) // int(bits))]
+            at = np.repeat(offs[some] - np.concatenate(([0], np.cumsum(n[some])[:-1])), n[some]) + np.arange(int(n[some].sum()))
+            where = np.repeat(np.arange(len(some)), n[some]) * bits + (slot[at] & (bits - 1))
+            packed = np.packbits((np.bincount(where, minlength=len(some) * int(bits)) & 1).astype(np.uint8).reshape(len(some), -1), axis=1)
+            for r, x in zip(some, packed, strict=True):
+                out[r] = x.tobytes()
+    return out
+
+
 def _scan(batches):
-    """kind 0: (x doc_id, n, sig) of each document; kind 1: (sig token, n documents) of tokens frequent in the task."""
-    schema = ["kind", "x", "n", "sig"]
+    """kind 0: (x doc_id, n, sig, bits) of each document; kind 1: (sig token, n documents) of tokens frequent in the task."""
+    schema = ["kind", "x", "n", "sig", "bits"]
     seen, docs = [], 0
 
     def frequent(least):
@@ -85,11 +109,12 @@ def _scan(batches):
         at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
         n = np.diff(np.append(at, len(t)))
         use = n >= least
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(use.sum(), np.int32)), pa.array(np.zeros(use.sum(), np.int64)), pa.array(n[use]), pa.array(longs(t[at][use]))], schema)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(use.sum(), np.int32)), pa.array(np.zeros(use.sum(), np.int64)), pa.array(n[use]), pa.array(longs(t[at][use])), pa.nulls(int(use.sum()), pa.binary())], schema)
 
     for b in slices(batches):
         v, offs = shingle_sets(b)
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column(0), pa.array(np.diff(offs)), pa.array(longs(signatures(v, offs)))], schema)
+        bits = pa.array(parities(v, offs), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column(0), pa.array(np.diff(offs)), pa.array(longs(signatures(v, offs))), bits], schema)
         seen.append(v)
         docs += b.num_rows
         if sum(map(len, seen)) > 8_000_000:
@@ -133,8 +158,10 @@ def _postings(order, live):
             row, tok, pos = _prefixes(v, offs, order.value)
             tok = longs(tok)
             use = may_hold(live.value, tok)
+            n = np.diff(offs)
+            share = 1000 * np.bincount(row, weights=use, minlength=len(n)) // np.maximum(1, prefix_length(n))
             row, tok, pos = row[use], tok[use], pos[use]
-            yield pa.RecordBatch.from_arrays([pa.array(tok), pa.array(longs(sig[row])), pa.array(np.diff(offs)[row].astype(np.int32)), pa.array(pos.astype(np.int32))], ["tok", "sig", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(tok), pa.array(longs(sig[row])), pa.array(n[row].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(share[row].astype(np.int32))], ["tok", "sig", "n", "pos", "share"])
 
     return run
 
@@ -171,11 +198,49 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(common), pa.array(na), pa.array(nb)], ["a", "b", "common", "na", "nb"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Overlap of each distinct pair (a, b)."""
-    one = pairs.join(sets.select(F.col("sig").alias("b"), F.col("members").alias("mb")), "b")
+def _differ(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Differing bits of pairs of bitmaps; a longer one is folded to the other's slots, which keeps parities."""
+    out = np.zeros(len(x), np.int64)
+    sizes = np.array([(len(a), len(b)) for a, b in zip(x, y, strict=True)])
+    for size in np.unique(sizes, axis=0):
+        rows = np.flatnonzero((sizes == size).all(axis=1))
+        for lo in range(0, len(rows), max(1, (1 << 22) // int(size.max()))):
+            some = rows[lo : lo + max(1, (1 << 22) // int(size.max()))]
+            sides = []
+            for z, width in ((x, size[0]), (y, size[1])):
+                m = np.frombuffer(b"".join(z[i] for i in some), U).reshape(len(some), -1)
+                while width > size.min():
+                    m = m[:, : m.shape[1] // 2] ^ m[:, m.shape[1] // 2 :]
+                    width //= 2
+                sides.append(m)
+            out[some] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _alike(batches):
+    """Pairs whose bitmaps leave the threshold possible, and how many bits differ."""
+    for t in batches:
+        if t.num_rows:
+            differ = _differ(t.column(4).to_pylist(), t.column(5).to_pylist())
+            n = t.column(2).to_numpy() + t.column(3).to_numpy()
+            out = pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(differ)], ["a", "b", "differ"])
+            yield out.filter(pa.array((TOP + BOTTOM) * differ <= (BOTTOM - TOP) * n))
+
+
+def _compared(near: DataFrame, d: DataFrame) -> DataFrame:
+    """Exact overlaps of pairs (a, b): (a, b, common, na, nb)."""
+    wanted = id_filter(near.select("a").union(near.select("b")).distinct(), "a")
+    sets = d.select("text").mapInArrow(_members(wanted), "sig long, members binary").groupBy("sig").agg(F.first("members").alias("members"))
+    one = near.select("a", "b").join(sets.select(F.col("sig").alias("b"), F.col("members").alias("mb")), "b")
     two = one.join(sets.select(F.col("sig").alias("a"), F.col("members").alias("ma")), "a")
-    return two.select("a", "b", "ma", "mb").mapInArrow(_overlaps, "a long, b long, common long, na long, nb long")
+    return written(two.select("a", "b", "ma", "mb").mapInArrow(_overlaps, "a long, b long, common long, na long, nb long"), "compared")
+
+
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) that pass the bitmap test: (a, b, differ)."""
+    x = pairs.join(nodes.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
+    x = x.join(nodes.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a")
+    return written(x.select("a", "b", "na", "nb", "x", "y").mapInArrow(_alike, "a long, b long, differ long"), "near")
 
 
 _LINKED = f"{TOP + BOTTOM} * common >= {TOP} * (na + nb)"
@@ -187,11 +252,12 @@ def _reach(na: str, pa_: str, nb: str, pb: str) -> str:
 
 
 def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sig) of all documents, and (a, b) links between different sets that keep all components whole."""
+    """(doc_id, n, sig) of all documents, and (node, comp) of the sets that link with others."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scan = written(d.mapInArrow(_scan, "kind int, x long, n long, sig long"), "sets")
+    scan = written(d.mapInArrow(_scan, "kind int, x long, n long, sig long, bits binary"), "sets")
     sets = scan.where("kind = 0").select(F.col("x").alias("doc_id"), "n", "sig")
+    nodes = scan.where("kind = 0 and n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     often = scan.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(FREQUENT).toArrow()  # at most FREQUENT rows
     tok = often.column("sig").to_numpy().view(U)
     by_count = np.lexsort((tok, often.column("n").to_numpy()))
@@ -201,22 +267,22 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     order = spark.sparkContext.broadcast((tok[o], place[o]))
 
     live = id_filter(d.select("text").mapInArrow(_prefix_tokens(order), "tok long").groupBy("tok").count().where("count > 1"), "tok")
-    found = d.select("text").mapInArrow(_postings(order, live), "tok long, sig long, n int, pos int").groupBy("tok", "sig").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
+    found = d.select("text").mapInArrow(_postings(order, live), "tok long, sig long, n int, pos int, share int").groupBy("tok", "sig").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("share").alias("share"))
     index = written(found.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.12))).cast("int")), "postings")
 
-    # a leader in each list and band of sizes
-    lead = index.groupBy("tok", "band").agg(F.count("*").alias("c"), F.min(F.struct("sig", "n", "pos")).alias("lead")).where("c > 1")
+    # a leader in each list and band of sizes: the set with the largest share of its prefix in lists, as the
+    # original of a group of edited copies has, while each copy's own edits are in no list
+    lead = index.groupBy("tok", "band").agg(F.count("*").alias("c"), F.max(F.struct("share", "sig", "n", "pos")).alias("lead")).where("c > 1")
     led = index.join(lead.select("tok", "band", F.col("lead.sig").alias("lead"), F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lp")), ["tok", "band"], "left")
     stars = led.where("lead <> sig and " + _reach("n", "pos", "ln", "lp")).select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
     stars = written(stars, "stars")
-    lists = index.groupBy("tok").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("tok")
-    wanted = id_filter(index.join(lists, "tok", "left_semi"), "sig")
-    members = written(d.select("text").mapInArrow(_members(wanted), "sig long, members binary").groupBy("sig").agg(F.first("members").alias("members")), "members")
-    first = written(_verified(stars, members), "compared")
+    close = _near(stars, nodes)
+    best = close.groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select("m.a", "b")
+    first = _compared(best, d)
     links = first.where(_LINKED).select("a", "b")
-
-    # what the leaders leave open: pairs of one list in different components
     comp = connected(links)
+
+    # what that leaves open: pairs of one list in different components
     known = first.select(F.col("a").alias("lead"), F.col("b").alias("sig"), (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("jl"))
     open_ = led.join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = open_.groupBy("tok").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("tok")
@@ -231,14 +297,16 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     skip = F.expr("l.lead = r.lead and abs(l.jl - r.jl) > %r" % (1 - TOP / BOTTOM + 1e-9))
     rest = left.join(right, ["tok", "n2", "pos2"]).where(F.expr("l.comp <> r.comp")).where(~F.coalesce(skip, F.lit(False))).select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b")).distinct()
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _verified(rest.join(done, ["a", "b"], "left_anti"), members).where(_LINKED).select("a", "b")
-    return sets, written(links.unionByName(second), "links")
+    later = close.join(first, ["a", "b"], "left_anti").join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
+    later = later.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _near(rest.join(done, ["a", "b"], "left_anti"), nodes).select("a", "b").unionByName(later).distinct()
+    new = _compared(written(more, "more"), d).where(_LINKED).select("a", "b")
+    return sets, comp if new.isEmpty() else connected(links.unionByName(new))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n, sig, comp (a component's smallest sig, null for empty sets) and component_id of every row."""
-    sets, links = link_sets(docs)
-    comp = connected(links)
+    sets, comp = link_sets(docs)
     nodes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     least = nodes.groupBy("comp").agg(F.min("least").alias("component_id"))
