@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .store import written
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Number of distinct edges and a fingerprint of them."""
+    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).head())
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, comp) for every node of links (a, b): comp is the smallest node of its component.
 
@@ -15,6 +20,7 @@ def connected(links: DataFrame) -> DataFrame:
     round ends in a written table.  A node's neighbours are never collected: only their minimum is.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    before = _print(edges)
     while True:
         # large star: every larger neighbour of u goes to the smallest of u's neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,8 +30,9 @@ def connected(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = written(small, "edges")
-        same = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
+        now = _print(after)
         edges = after
-        if same:
+        if now == before:
             break
+        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
