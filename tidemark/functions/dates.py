@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 NEVER = 2**31 - 1
 
+# The marks of a dataset date in a page.
+LAYER_MARK = r"Navigator_AllSites_([0-9]{6})_"
+UPDATE_MARK = r"Last update:\s*([0-9]{2}-[0-9]{2}-[0-9]{4})"
+
 
 def normalize_date(c: Column) -> Column:
     """ISO dates and MMDDYY of this century; impossible dates are null."""
@@ -17,8 +21,8 @@ def normalize_date(c: Column) -> Column:
 
 def page_date(html: Column) -> Column:
     """The newest dataset date that a page names: in layer names and after 'Last update:'; null if none."""
-    layers = F.regexp_extract_all(html, F.lit(r"Navigator_AllSites_([0-9]{6})_"), F.lit(1))
-    marks = F.regexp_extract_all(html, F.lit(r"(?i)Last update:\s*([0-9]{2}-[0-9]{2}-[0-9]{4})"), F.lit(1))
+    layers = F.regexp_extract_all(html, F.lit(LAYER_MARK), F.lit(1))
+    marks = F.regexp_extract_all(html, F.lit(UPDATE_MARK), F.lit(1))
     iso = F.transform(marks, lambda s: F.concat(F.substring(s, 7, 4), F.lit("-"), F.substring(s, 1, 5)))
     return F.array_max(F.transform(F.concat(layers, iso), normalize_date))
 
