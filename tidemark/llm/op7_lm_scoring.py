@@ -1,14 +1,19 @@
 """Scoring texts by a hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class).  A word's class is a hash of its last two bytes
-(the end of a text is a class of its own), so no vocabulary is broadcast and unseen words have one too.  The
-first factor is a softmax over the classes with weights for hashed features of the history: the word
-before, the word before that (skip), and both (bigram).  The second is a softmax whose logit is
-log(count + 1), with one pooled unseen word a class.
-
-Training is one round of distributed gradient updates: every task takes minibatch AdaGrad steps over its
-part of the corpus, all training tokens once, and the weights are averaged by tokens seen.  The model has a fixed
-size (``Shape``), about 3 MB, whatever the corpus.
+P(word | history) = P(class | history) * P(word | class, history).  A word's class is a hash of its last two
+bytes (the end of a text is a class of its own), and its code is ``WORD_BITS`` bits of its hash, so no vocabulary is
+broadcast and unseen words have both.  Hashed features of the history are the word before, the word
+before that (skip), and both (bigram); each has a row of ``CLASS_BITS + WORD_BITS`` trained weights, and a
+history's vector v is the sum of its rows.  The first factor is a softmax over the classes with logits
+bias + v . signs(class number).  The second is proportional to (count + 1) * exp(v . signs(code)), so words of a
+class are told apart by the history as far as their codes differ; words of one class and code differ by their counts
+alone.  It is normalised exactly, over the sums of count + 1 by class and code; each class and code has one pooled
+unseen word besides.
+
+Each kind of feature has as many hashed rows as there are training tokens (``ROWS`` at least), so the table grows with the corpus.
+It is never in one place: a group of documents takes minibatch AdaGrad steps over all its training tokens once, on the
+rows it meets; the rows go to shards by row number, where those of all groups are averaged by occurrences (clipped at 255), and each
+group gets back the rows that its texts meet.  On the way a weight has four bits (steps of ``STEP``).
 
 Counts cover the whole training corpus and are exact up to a 64-bit hash of the token.  Documents are
 dealt into groups of about ``GROUP_BYTES`` of text by a hash of their id; each group's distinct tokens get
@@ -26,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,15 +43,29 @@ GROUP_BYTES = 8 << 20
 END_TOKEN = np.uint64(0x656E64206F662074)
 START = np.uint64(0x7374617274206F66)
 FEATURES = 3
+CLASS_BITS, WORD_BITS = 5, 7
+WIDTH = CLASS_BITS + WORD_BITS
+ROWS = 8192
+STEP = 0.2
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 class Shape(NamedTuple):
-    """Bounds of the model: classes with the end's, and hashed rows for each kind of feature."""
+    """Classes with the end's (at most 2 ** CLASS_BITS), and the training's batch and rate."""
 
     classes: int = 32
-    rows: int = 8192
     batch: int = 4096
-    rate: float = 0.15
+    rate: float = 0.3
+
+
+def signs(bits: int) -> np.ndarray:
+    """A column of +1 and -1 for every number of so many bits."""
+    return (((np.arange(1 << bits) >> np.arange(bits)[:, None]) & 1) * 2 - 1).astype(np.float32)
+
+
+def codes(h: np.ndarray) -> np.ndarray:
+    """The code of each word hash."""
+    return ((h >> U(20)) & U((1 << WORD_BITS) - 1)).astype(np.int64)
 
 
 def tokens(b: pa.RecordBatch, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,70 +82,141 @@ def tokens(b: pa.RecordBatch, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.
     return h, k, per + np.arange(len(per))
 
 
-def histories(h: np.ndarray, offs: np.ndarray, shape: Shape) -> np.ndarray:
-    """Rows of the weight table for each token's history: FEATURES columns."""
+def histories(h: np.ndarray, offs: np.ndarray, size: int) -> np.ndarray:
+    """Rows of the weight table, of size rows for each kind of feature, for each token's history: FEATURES columns."""
     pos = np.arange(len(h)) - np.repeat(offs[:-1], np.diff(offs))
     one, two = np.full(len(h), START), np.full(len(h), START)
     one[1:] = np.where(pos[1:] >= 1, h[:-1], START)
     two[2:] = np.where(pos[2:] >= 2, h[:-2], START)
-    n = U(shape.rows)
+    n = U(size)
     both = mix(one * U(0x9E3779B97F4A7C15) + two)
     return np.stack([(mix(one) % n), (mix(two ^ U(0xABCDEF)) % n) + n, (both % n) + U(2) * n], axis=1).astype(np.int64)
 
 
-def class_logs(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of all classes for a batch of histories."""
-    z = bias + weights[rows[:, 0]]
-    for i in range(1, rows.shape[1]):
-        z += weights[rows[:, i]]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def train(docs: DataFrame, shape: Shape, bias: np.ndarray) -> np.ndarray:
-    """Weights after one pass over the whole texts of docs."""
-    size, k = FEATURES * shape.rows, shape.classes
-
-    def steps(batches):
-        w, acc = np.zeros((size, k), np.float32), np.full((size, 1), 1e-6, np.float32)
-        b0, seen = bias.astype(np.float32), 0
-        for b in slices(batches):
-            h, y, offs = tokens(b, shape)
-            rows = histories(h, offs, shape)
-            order = np.random.default_rng(len(h)).permutation(len(h))  # a batch mixes texts
-            rows, y = rows[order], y[order]
-            for lo in range(0, len(h), shape.batch):
-                r, t = rows[lo : lo + shape.batch], y[lo : lo + shape.batch]
-                g = np.exp(class_logs(w, b0, r))
-                g[np.arange(len(t)), t] -= 1.0
-                for i in range(FEATURES):
-                    o = np.argsort(r[:, i])
-                    s = r[o, i]
-                    at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-                    u, d = s[at], np.add.reduceat(g[o], at, axis=0)
-                    acc[u] += (d * d).mean(axis=1, keepdims=True)
-                    w[u] -= shape.rate * d / np.sqrt(acc[u])
-            seen += len(h)
-        if seen:
-            used = np.flatnonzero(acc[:, 0] > 1e-6)
-            flat = pa.array((w[used] * np.float32(seen)).ravel())
-            yield pa.RecordBatch.from_arrays([pa.array((used >> 8).astype(np.int32)), pa.array(used.astype(np.int32)), pa.FixedSizeListArray.from_arrays(flat, k).cast(pa.list_(pa.float32())), pa.array(np.full(len(used), seen, np.int64))], ["part", "row", "w", "n"])
-
-    def add(table: pa.Table) -> pa.Table:
-        row = table.column("row").to_numpy()
-        w = table.column("w").combine_chunks().flatten().to_numpy().reshape(-1, k)
-        o = np.argsort(row, kind="stable")
-        at = np.flatnonzero(np.concatenate(([True], row[o][1:] != row[o][:-1])))
-        total = np.add.reduceat(w[o].astype(np.float64), at, axis=0)
-        n = np.add.reduceat(table.column("n").to_numpy()[o], at)
-        flat = pa.array((total / n[:, None]).astype(np.float32).ravel())
-        return pa.Table.from_arrays([pa.array(row[o][at]), pa.FixedSizeListArray.from_arrays(flat, k).cast(pa.list_(pa.float32()))], ["row", "w"])
-
-    got = docs.select("text").mapInArrow(steps, "part int, row int, w array<float>, n long").groupBy("part").applyInArrow(add, "row int, w array<float>").toArrow()
-    out = np.zeros((size, k), np.float32)
-    if got.num_rows:
-        out[got.column("row").to_numpy()] = got.column("w").combine_chunks().flatten().to_numpy().reshape(-1, k)
-    return out
+class Texts(NamedTuple):
+    """A group's tokens: hashes, classes, offsets by text, the distinct rows of their histories, and each token's places among these."""
+
+    h: np.ndarray
+    k: np.ndarray
+    offs: np.ndarray
+    rows: np.ndarray
+    at: np.ndarray
+
+
+def read(docs: pa.Table, shape: Shape, size: int) -> Texts:
+    hs, ks, lens, rows = [], [], [np.zeros(1, np.int64)], []
+    for b in slices(docs.to_batches()):
+        h, k, offs = tokens(b, shape)
+        hs.append(h)
+        ks.append(k)
+        lens.append(np.diff(offs))
+        rows.append(histories(h, offs, size))
+    found, at = np.unique(np.concatenate(rows).ravel(), return_inverse=True)
+    return Texts(np.concatenate(hs), np.concatenate(ks), np.cumsum(np.concatenate(lens)), found, at.astype(np.int32).reshape(-1, FEATURES))
+
+
+class Softmax(NamedTuple):
+    """Both factors: class biases, and the sums of count + 1 (and of the unseen word) by class and code."""
+
+    bias: np.ndarray
+    mass: np.ndarray
+
+    def probabilities(self, v: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P(class | history), and P(code | class, history) for each token's class."""
+        p = self.bias + v[:, :CLASS_BITS] @ signs(CLASS_BITS)[:, : len(self.bias)]
+        p = np.exp(p - p.max(axis=1, keepdims=True))
+        q = v[:, CLASS_BITS:] @ signs(WORD_BITS)
+        q = np.exp(q - q.max(axis=1, keepdims=True)) * self.mass[k]
+        return p / p.sum(axis=1, keepdims=True), q / q.sum(axis=1, keepdims=True)
+
+    def logs(self, v: np.ndarray, k: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Natural logs of P(word | history) for words with hashes h and counts n."""
+        p, q = self.probabilities(v, k)
+        i, s = np.arange(len(k)), codes(h)
+        return np.log(p[i, k].astype(np.float64)) + np.log(q[i, s].astype(np.float64)) + np.log((n + 1.0) / self.mass[k, s])
+
+
+def fit(t: Texts, learn: np.ndarray, model: Softmax, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of t.rows after one pass over the tokens marked in learn, and how often these met each row."""
+    w, acc = np.zeros((len(t.rows), WIDTH), np.float32), np.full((len(t.rows), 1), 1e-6, np.float32)
+    c, s, code = signs(CLASS_BITS)[:, : shape.classes], signs(WORD_BITS), codes(t.h)
+    order = np.random.default_rng(len(t.h)).permutation(np.flatnonzero(learn))  # a batch mixes texts
+    for lo in range(0, len(order), shape.batch):
+        i = order[lo : lo + shape.batch]
+        r, k = t.at[i], t.k[i]
+        p, q = model.probabilities(w[r].sum(axis=1), k)
+        g = np.concatenate([p @ c.T - c.T[k], q @ s.T - s.T[code[i]]], axis=1)
+        flat = r.ravel()
+        o = np.argsort(flat, kind="stable")
+        at = np.flatnonzero(np.concatenate(([True], flat[o][1:] != flat[o][:-1])))
+        u, d = flat[o][at], np.add.reduceat(g[o // FEATURES], at, axis=0)
+        acc[u] += (d * d).mean(axis=1, keepdims=True)
+        w[u] -= shape.rate * d / np.sqrt(acc[u])
+    return w, np.bincount(t.at[order].ravel(), minlength=len(t.rows))
+
+
+def packed(w: np.ndarray) -> bytes:
+    """Two weights a byte."""
+    q = (np.clip(np.rint(w / np.float32(STEP)), -7, 7) + 8).astype(np.uint8)
+    return ((q[:, ::2] << 4) | q[:, 1::2]).T.tobytes()
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    q = data.reshape(WIDTH // 2, -1).T
+    return ((np.stack([q >> 4, q & 15], axis=2).reshape(-1, WIDTH)).astype(np.float32) - 8) * np.float32(STEP)
+
+
+def _squeezed(*parts: bytes) -> bytes:
+    data = b"".join(parts)
+    return len(data).to_bytes(4, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def _full(body: bytes) -> np.ndarray:
+    return np.frombuffer(_ZSTD.decompress(body[4:], int.from_bytes(body[:4], "little"), asbytes=True), np.uint8)
+
+
+def _cuts(rows: np.ndarray, size: int, shards: int) -> tuple[np.ndarray, int]:
+    """Where the rows of each shard begin among sorted rows (and the end), and a shard's number of rows."""
+    span = -(-FEATURES * size // shards)
+    return np.searchsorted(rows, np.arange(shards + 1) * span), span
+
+
+def weights(d: DataFrame, sent, shape: Shape, size: int, shards: int) -> DataFrame:
+    """g, shard, body: trained weights of the rows that a group's texts meet in a shard, in order of the rows."""
+
+    def train(docs: pa.Table) -> pa.Table:
+        docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("text", "ascending")]))  # whatever order they came in
+        t = read(docs, shape, size)
+        w, n = fit(t, np.repeat(~docs.column("held_out").to_numpy(), np.diff(t.offs)), sent.value, shape)
+        n = np.minimum(n, 255).astype(np.uint8)
+        cut, span = _cuts(t.rows, size, shards)
+        out = {"shard": [], "body": []}
+        for i in np.flatnonzero(np.diff(cut)):
+            x = slice(cut[i], cut[i + 1])
+            gaps = np.diff(t.rows[x] - i * span, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
+            out["shard"].append(i)
+            out["body"].append(_squeezed(gaps.T.tobytes(), n[x].tobytes(), packed(w[x])))
+        g = pa.repeat(docs.column("g")[0], len(out["shard"]))
+        return pa.table([g, pa.array(out["shard"], pa.int32()), pa.array(out["body"], pa.binary())], ["g", "shard", "body"])
+
+    def merge(bodies: pa.Table) -> pa.Table:
+        rows, n, w = [], [], []
+        for body in bodies.column("body").to_pylist():
+            x = _full(body)
+            m = len(x) // (5 + WIDTH // 2)
+            rows.append(np.cumsum(np.ascontiguousarray(x[: 4 * m].reshape(4, m).T).view("<u4").ravel(), dtype=np.int64))
+            n.append(x[4 * m : 5 * m].astype(np.float32))
+            w.append(x[5 * m :])
+        _, at = np.unique(np.concatenate(rows), return_inverse=True)
+        total = np.bincount(at, np.concatenate(n))
+        v = np.concatenate([unpacked(x) for x in w]) * np.concatenate(n)[:, None]
+        mean = np.stack([np.bincount(at, v[:, j]) / np.maximum(total, 1) for j in range(WIDTH)], axis=1).astype(np.float32)
+        cut = np.cumsum([0, *map(len, rows)])
+        out = [_squeezed(packed(mean[at[a:b]])) for a, b in zip(cut, cut[1:], strict=False)]
+        return pa.table([bodies.column("g"), bodies.column("shard"), pa.array(out, pa.binary())], ["g", "shard", "body"])
+
+    schema = "g int, shard int, body binary"
+    return d.groupBy("g").applyInArrow(train, schema).groupBy("shard").applyInArrow(merge, schema)
 
 
 def _distinct(shape: Shape):
@@ -156,42 +247,46 @@ def score(docs: DataFrame, held: Column, shape: Shape = Shape()) -> DataFrame:
     rows = dealt.mapInArrow(_distinct(shape), "g int, h long, k short, n long").groupBy("g", "h").agg(F.first("k").alias("k"), F.sum("n").alias("n"))
     by = Window.partitionBy("h")
     counts = written(rows.withColumn("c", F.sum("n").over(by)).withColumn("first", F.row_number().over(by.orderBy("g")) == 1).where("c > 0").select("g", "h", "k", "c", "first"), "counts")
-    per = {x["k"]: (x["n"], x["v"]) for x in counts.where("first").groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}  # classes rows
-    n_k = np.array([per.get(i, (0, 0))[0] for i in range(shape.classes)], np.float64)
-    v_k = np.array([per.get(i, (0, 0))[1] for i in range(shape.classes)], np.float64)
-    total, distinct = int(n_k.sum()), int(v_k.sum())
-    bias = np.log((n_k + 1) / (n_k.sum() + shape.classes))
-    sent = spark.sparkContext.broadcast((train(d.where(~F.col("held_out")), shape, bias), bias, n_k + v_k + 1))
+    code = F.shiftrightunsigned("h", 20).bitwiseAND((1 << WORD_BITS) - 1)
+    n, v = np.zeros((2, shape.classes, 1 << WORD_BITS))
+    for x in counts.where("first").groupBy("k", code.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # classes x codes rows
+        n[x["k"], x["s"]], v[x["k"], x["s"]] = x["n"], x["v"]
+    total, distinct = int(n.sum()), int(v.sum())
+    bias = np.log((n.sum(axis=1) + 1) / (total + shape.classes)).astype(np.float32)
+    sent = spark.sparkContext.broadcast(Softmax(bias, (n + v + 1).astype(np.float32)))
+    rows = max(ROWS, total)
+    learned = written(weights(d, sent, shape, rows, groups), "weights")
     base_log = math.log10(total + distinct + 1)
 
     def group(docs: pa.Table, known: pa.Table) -> pa.Table:
-        weights, bias, pool = sent.value
-        b0 = bias.astype(np.float32)
+        none = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        if not docs.num_rows:
+            return none.empty_table()
+        model = sent.value
+        t = read(docs, shape, rows)
+        bodies = known.filter(pc.is_valid(known.column("body")))
+        bodies = dict(zip(bodies.column("shard").to_pylist(), bodies.column("body").to_pylist(), strict=True))
+        w = np.concatenate([unpacked(_full(bodies[i])) for i in sorted(bodies)])
+        known = known.filter(pc.is_valid(known.column("h")))
         h = known.column("h").to_numpy().view(U)
         o = np.argsort(h)
         h, c = h[o], known.column("c").to_numpy()[o]
-        out = []
-        for b in slices(docs.to_batches()):
-            t, k, offs = tokens(b, shape)
-            if len(h):
-                j = np.minimum(np.searchsorted(h, t), len(h) - 1)
-                n = np.where(h[j] == t, c[j], 0)
-            else:
-                n = np.zeros(len(t), np.int64)
-            rows = histories(t, offs, shape)
-            p = np.empty(len(t))
-            for lo in range(0, len(t), shape.batch):
-                s = slice(lo, lo + shape.batch)
-                p[s] = class_logs(weights, b0, rows[s])[np.arange(len(rows[s])), k[s]]
-            word = np.log10(n + 1.0)
-            at = offs[:-1]
-            n_tokens = np.diff(offs)
-            model = np.add.reduceat(p / math.log(10) + word - np.log10(pool[k]), at)
-            cols = [b.column(0), b.column(2), pa.array(n_tokens), pa.array(np.add.reduceat((n > 0).astype(np.int64), at)), pa.array(np.full(len(at), total, np.int64)), pa.array(np.add.reduceat(word, at) - n_tokens * base_log), pa.array(model)]
-            out.append(pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]))
-
-    return d.select("doc_id", "text", "held_out", "g").groupBy("g").cogroup(counts.select("g", "h", "c").groupBy("g")).applyInArrow(group, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        if len(h):
+            j = np.minimum(np.searchsorted(h, t.h), len(h) - 1)
+            n = np.where(h[j] == t.h, c[j], 0)
+        else:
+            n = np.zeros(len(t.h), np.int64)
+        p = np.empty(len(t.h))
+        for lo in range(0, len(p), shape.batch):
+            s = slice(lo, lo + shape.batch)
+            p[s] = model.logs(w[t.at[s]].sum(axis=1), t.k[s], t.h[s], n[s])
+        at, n_tokens = t.offs[:-1], np.diff(t.offs)
+        base = np.add.reduceat(np.log10(n + 1.0), at) - n_tokens * base_log
+        cols = [docs.column("doc_id"), docs.column("held_out"), n_tokens, np.add.reduceat((n > 0).astype(np.int64), at), np.full(len(at), total), base, np.add.reduceat(p, at) / math.log(10)]
+        return pa.table(cols, schema=none)
+
+    known = counts.select("g", "h", "c", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("binary").alias("body")).unionByName(learned.select("g", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("c"), "shard", "body"))
+    return d.select("doc_id", "text", "held_out", "g").groupBy("g").cogroup(known.groupBy("g")).applyInArrow(group, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
