@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm import op7_lm_scoring as o7
+from tidemark.llm import op10_decontamination as o10
 
 
 def test_words_of_a_class_follow_the_history(spark):
@@ -31,3 +32,10 @@ def test_weight_rows_grow_with_the_corpus():
     h = np.arange(1, 200_001, dtype=np.uint64)
     rows = o7.histories(o7.mix(h), np.array([0, len(h)]), len(h))
     assert all(len(np.unique(rows[:, i])) > 0.6 * len(h) for i in range(o7.FEATURES))
+
+
+def test_short_items_match_whole_words(spark):
+    docs = spark.createDataFrame([(1, "a  Blue whale."), (2, "blue whales, a bluewhale"), (3, "the blue whalf"), (4, "blue whales and a blue whale")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, "Blue whale"), (8, ""), (7, None)], "item_id long, text string")
+    assert sorted(tuple(r) for r in o10.find_leaks(docs, items).collect()) == [(1, 9, 0, 2, 12), (4, 9, 0, 18, 28)]
+    assert sorted(r["doc_id"] for r in o10.without_leaks(docs, items).collect()) == [2, 3]

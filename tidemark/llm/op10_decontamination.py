@@ -10,7 +10,7 @@ The benchmark is broadcast only in blocks of bounded size (``block_chars``), one
 documents for each block, so it may grow beyond one block.  Nothing is shuffled but the matches.
 
 Defined cases: null and empty items match nothing; null or empty documents hold nothing; items
-shorter than ``min_chars`` after normalisation are left out (they say nothing about a benchmark);
+shorter than ``min_chars`` after normalisation match without edits and only where no word goes on beyond their ends;
 repeated items match each on its own; an empty table gives no rows; other columns are ignored.
 """
 
@@ -31,6 +31,16 @@ def normal(s: str) -> str:
     return " ".join(s.lower().split())
 
 
+def budget(item: str, error_rate: float, min_chars: int) -> int:
+    """The edits that an item may differ by."""
+    return int(len(item) * error_rate) if len(item) >= min_chars else 0
+
+
+def apart(t: str, lo: int, hi: int) -> bool:
+    """Whether no word of t goes on beyond either end of t[lo:hi]."""
+    return not (lo and t[lo - 1].isalnum() and t[lo].isalnum()) and not (hi < len(t) and t[hi].isalnum() and t[hi - 1].isalnum())
+
+
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     """(offset, piece) of errors + 1 pieces of nearly equal length."""
     n = errors + 1
@@ -68,14 +78,14 @@ def myers(pattern: str, text: str, limit: int) -> tuple[int, int]:
     return best, end
 
 
-def automaton(items: list[tuple[int, str]], error_rate: float):
+def automaton(items: list[tuple[int, str]], error_rate: float, min_chars: int = MIN_CHARS):
     """Aho-Corasick automaton over all pieces; a hit gives (piece length, [(item index, offset)])."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
     found: dict[str, list[tuple[int, int]]] = {}
     for i, (_, s) in enumerate(items):
-        for at, piece in pieces(s, int(len(s) * error_rate)):
+        for at, piece in pieces(s, budget(s, error_rate, min_chars)):
             found.setdefault(piece, []).append((i, at))
     for piece, where in found.items():
         a.add_word(piece, (len(piece), where))
@@ -83,22 +93,27 @@ def automaton(items: list[tuple[int, str]], error_rate: float):
     return a
 
 
-def scan(text: str, machine, items: list[tuple[int, str]], error_rate: float) -> list[tuple[int, int, int, int]]:
+def scan(text: str, machine, items: list[tuple[int, str]], error_rate: float, min_chars: int = MIN_CHARS) -> list[tuple[int, int, int, int]]:
     """(item_id, edits, start, end) of the best match of each item found; start and end in the normalised text.
 
     start is the earliest place a match of this distance can begin: end less item length less edits, at least 0.
     """
     t = normal(text)
     spans: dict[int, list[tuple[int, int]]] = {}
+    short: dict[int, tuple[int, int, int, int]] = {}
     for e, (n, where) in machine.iter(t):
         for i, at in where:
-            k = int(len(items[i][1]) * error_rate)
+            if len(items[i][1]) < min_chars:  # one piece, the item itself
+                if i not in short and apart(t, e + 1 - n, e + 1):
+                    short[i] = (items[i][0], 0, e + 1 - n, e + 1)
+                continue
+            k = budget(items[i][1], error_rate, min_chars)
             lo = e + 1 - n - at
             spans.setdefault(i, []).append((max(0, lo - k), min(len(t), lo + len(items[i][1]) + k)))
-    out = []
+    out = list(short.values())
     for i, found in spans.items():
         item_id, s = items[i]
-        k = int(len(s) * error_rate)
+        k = budget(s, error_rate, min_chars)
         best = (k + 1, -1)
         found.sort()
         lo, hi = found[0]
@@ -117,12 +132,12 @@ def scan(text: str, machine, items: list[tuple[int, str]], error_rate: float) ->
     return out
 
 
-def blocks(benchmark: DataFrame, min_chars: int, block_chars: int):
+def blocks(benchmark: DataFrame, block_chars: int):
     """Items as (item_id, normalised text), in blocks of about block_chars characters."""
     block, size = [], 0
     for x in benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator():
         s = normal(x["text"])
-        if len(s) < min_chars:
+        if not s:
             continue
         block.append((x["item_id"], s))
         size += len(s)
@@ -138,14 +153,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, edits int, start int, end int"
     parts = []
-    for block in blocks(benchmark, min_chars, block_chars):
+    for block in blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(block)
 
         def match(batches, sent=sent):
             items = sent.value
-            machine = automaton(items, error_rate)
+            machine = automaton(items, error_rate, min_chars)
             for b in batches:
-                rows = [(d, *hit) for d, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if s for hit in scan(s, machine, items, error_rate)]
+                rows = [(d, *hit) for d, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if s for hit in scan(s, machine, items, error_rate, min_chars)]
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "item_id", "edits", "start", "end"])
@@ -160,14 +175,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
 def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs less the rows that hold some item; nothing is shuffled."""
     at = docs.columns.index("text")
-    for block in blocks(benchmark, min_chars, block_chars):
+    for block in blocks(benchmark, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches, sent=sent):
             items = sent.value
-            machine = automaton(items, error_rate)
+            machine = automaton(items, error_rate, min_chars)
             for b in batches:
-                keep = [not (s and scan(s, machine, items, error_rate)) for s in b.column(at).to_pylist()]
+                keep = [not (s and scan(s, machine, items, error_rate, min_chars)) for s in b.column(at).to_pylist()]
                 yield b.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
