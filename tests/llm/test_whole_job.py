@@ -1,10 +1,21 @@
 """Places where an operator once did less than its whole job."""
 
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import op7_lm_scoring as o7
 from tidemark.llm import op10_decontamination as o10
+from tidemark.llm.op1_source_mixing import mix
+from tidemark.llm.op6_language_id import UNKNOWN, identify, train_profiles
+from tidemark.llm.op9_binary_output import tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def test_words_of_a_class_follow_the_history(spark):
@@ -39,3 +50,33 @@ def test_short_items_match_whole_words(spark):
     items = spark.createDataFrame([(9, "Blue whale"), (8, ""), (7, None)], "item_id long, text string")
     assert sorted(tuple(r) for r in o10.find_leaks(docs, items).collect()) == [(1, 9, 0, 2, 12), (4, 9, 0, 18, 28)]
     assert sorted(r["doc_id"] for r in o10.without_leaks(docs, items).collect()) == [2, 3]
+
+
+def test_pipeline_keeps_every_clean_document(spark):
+    """Exact rows, repeats and token ids of run(); near duplicates, leaks and ids are computed plainly, languages and repeats by op6 and op1 alone."""
+    from tokenizers import Tokenizer
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    named = identify(table, train_profiles(table)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= corpus_pipeline.LEAST_SCORE))
+    good = {r["doc_id"] for r in named.collect()}
+    text = {r["doc_id"]: r["text"] or "" for r in table.collect() if r["doc_id"] in good}
+    sets, root = {}, {i: i for i in text}
+    for i, t in text.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.translate(LOWER))
+        sets[i] = {tuple(w[p : p + 5]) for p in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+    for a in sorted(text):
+        for b in sorted(text):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((root[a], root[b]))
+                root = {i: x if r == y else r for i, r in root.items()}
+    items = [o10.normal(r["text"] or "") for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = [i for i in text if root[i] == i and not any(s and s in o10.normal(text[i]) for s in items)]
+    assert len(clean) > 0.5 * len(text)
+    copies = {r["doc_id"]: r["copies"] for r in mix(table.where(F.col("doc_id").isin(clean)), F.array("source")).collect()}
+    tokenizer, want = Tokenizer.from_file(tokenizer_path()), Counter()
+    for i in clean:
+        ids = [*tokenizer.encode(text[i], add_special_tokens=False).ids, 0]
+        if copies[i]:
+            want[i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] = copies[i]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
