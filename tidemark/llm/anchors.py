@@ -9,7 +9,7 @@ windows with one anchor is a segment.
    its first occurrence (document order, then place), which alone travels on with its text.
 3. Those texts meet by anchor in shards of bounded size, where an exact index (``Spec.match``) finds equal windows.
    An anchor with more than ``hot`` different segments is dealt over several shards, and their sorted window
-   classes are merged by binary search afterwards.
+   classes are merged afterwards by grouping their 64-bit hashes.
 4. The repeated windows return to their documents as ranges of symbols.
 
 Documents are told apart by (d, r): d is the doc_id, null last; r is 0, or where doc_ids repeat a hash of

@@ -8,7 +8,7 @@ documents are then streamed against the index: backward search extends all windo
 lockstep, giving each its matching statistic (the longest match with another place, up to the window length);
 a window that reaches the threshold belongs to the class of its index interval, and all but
 the first window of a class are reported.  An anchor with too many different segments for one shard is
-dealt over several, whose sorted window classes are merged by binary search.
+dealt over several, whose window classes are merged by grouping their 64-bit hashes.
 
 Words are told apart by a 64-bit hash.  Defined cases: a null text has no words; texts below 20 words keep
 everything; rows equal in doc_id and text count as one document, reported for each row; a null doc_id comes

@@ -6,7 +6,7 @@ their suffixes by Larsson-Sadakane refinement (groups of equal prefixes are re-s
 what follows, doubling the prefix each round, only groups still tied), and takes the common prefix of
 neighbours in the suffix array in text order with Kasai's bound (it shrinks by at most one from a
 suffix to the next).  A window is repeated if a neighbour shares 400 bytes.  An anchor with too many different
-segments for one shard is dealt over several, whose sorted window classes are merged by binary search.
+segments for one shard is dealt over several, whose window classes are merged by grouping their 64-bit hashes.
 
 Defined cases: a null text is empty; texts below 400 bytes keep everything; matches never cross
 documents; rows equal in doc_id and text repeat each other; an empty table gives no rows; other columns
