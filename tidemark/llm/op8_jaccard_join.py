@@ -39,7 +39,8 @@ SHINGLE = 5
 TOP, BOTTOM = 80, 100
 FREQUENT = 200_000  # tokens ordered by frequency, at most; the others are ordered by hash
 LEAST_BITS = 1024  # of a set's parity bitmap
-OFTEN = 0.005  # share of a task's documents that makes a token frequent
+OFTEN = 0.0005  # share of a task's documents that makes a token frequent, and the least number of them
+LEAST_OFTEN = 4
 
 
 def shingle_sets(b: pa.RecordBatch, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -118,10 +119,10 @@ def _scan(batches):
         seen.append(v)
         docs += b.num_rows
         if sum(map(len, seen)) > 8_000_000:
-            yield frequent(max(8, OFTEN * docs))
+            yield frequent(max(LEAST_OFTEN, OFTEN * docs))
             seen, docs = [], 0
     if docs and sum(map(len, seen)):
-        yield frequent(max(8, OFTEN * docs))
+        yield frequent(max(LEAST_OFTEN, OFTEN * docs))
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
