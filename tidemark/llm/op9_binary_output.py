@@ -5,11 +5,12 @@ File format, all integers little-endian:
 * data file ``part-NNNNN-<attempt>.rec``: records one after the other,
   ``length u64 | mask(crc32(length bytes)) u32 | payload | mask(crc32(payload)) u32``;
   mask(c) = rotate_right(c, 15) + 0xA282EAD8 modulo 2**32, so a checksum of data that hold
-  checksums stays sound.  Payload: ``doc_id i64 | id width u8 (2 or 4) | ids``.
-* index file ``part-NNNNN-<attempt>.idx``: one ``doc_id i64 | offset u64 | length u64 |
+  checksums stays sound.  Payload: ``doc_id i64 | id width u8 (2 or 4; 128 more where doc_id is null) | ids``.
+* index file ``part-NNNNN-<attempt>.idx``: one ``doc_id i64 | null id u8 | offset u64 | length u64 |
   n_tokens u64`` a record, for reads in any order without a scan.
 
-Documents are dealt by ranges of doc_id, sorted within them, and each task encodes and writes one
+Documents are dealt by ranges of doc_id and a hash of the text, sorted within them, in as many ranges as their bytes
+ask for; each task encodes and writes one
 file; a retried task writes another name and only the names that a task returned are read, so a
 lost executor costs nothing but its task.  Files go through ``pyarrow.fs`` to the shared folder.
 
@@ -18,13 +19,13 @@ before it) once; the vocabulary's pre-tokenizer never joins two such chunks, so
 its chunks' ids in order.  Texts that hold an added token's string go to the encoder whole.
 
 Defined cases: a null or empty text is a record of the end id alone; equal doc_ids keep all their
-rows; null doc_ids are left out (they have no place in the order); an empty table gives no rows
-and no files; other columns of the input are ignored.
+rows; null doc_ids come last; an empty table gives no rows and no files; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import re
 import struct
 import uuid
@@ -44,10 +45,14 @@ END = 0
 MASK = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 META = struct.Struct("<qB")
-INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
+NO_ID = 128
+RANGE_BYTES = 256 << 20  # of text in a file, about
+READ_BYTES = 4 << 20
+INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
 #: Unicode white space, as the vocabulary's pre-tokenizer sees it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+MARKS = (".", ",")
 CACHE = 1_500_000  # chunks a worker remembers; some 200 MB
 
 
@@ -75,20 +80,25 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
     chunked = [None if any(x in s for x in added) else _CHUNKS.findall(s) for s in texts]
     if len(cache) > CACHE:
         cache.clear()
-    new = list(set().union(*(x for x in chunked if x)).difference(cache))
+    new = set().union(*(x for x in chunked if x)).difference(cache)
+    # letters and a mark after them are never joined: such a chunk is its stem's ids and the mark's
+    marked = [c for c in new if c[-1] in MARKS and c[:-1].lstrip(" ").isalpha()]
+    stems = list(new.difference(marked).union([c[:-1] for c in marked], MARKS).difference(cache))
     code = "H" if kind == "<u2" else "I"
-    for lo in range(0, len(new), 20_000):
-        lot = new[lo : lo + 20_000]
+    for lo in range(0, len(stems), 20_000):
+        lot = stems[lo : lo + 20_000]
         for c, e in zip(lot, t.encode_batch_fast(lot, add_special_tokens=False), strict=True):
             cache[c] = array(code, e.ids).tobytes()
+    for c in marked:
+        cache[c] = cache[c[:-1]] + cache[c[-1]]
     get = cache.__getitem__
     native = np.dtype(kind).newbyteorder("=")
     return [np.array(t.encode(s, add_special_tokens=False).ids, native) if chunks is None else np.frombuffer(b"".join(map(get, chunks)), native) for s, chunks in zip(texts, chunked, strict=True)]
 
 
-def framed(doc: int, ids: np.ndarray) -> bytes:
+def framed(doc: int | None, ids: np.ndarray) -> bytes:
     width = 2 if ids.max() < 65536 else 4
-    payload = META.pack(doc, width) + ids.astype(f"<u{width}").tobytes()
+    payload = META.pack(doc or 0, width | (NO_ID if doc is None else 0)) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
@@ -96,8 +106,12 @@ def framed(doc: int, ids: np.ndarray) -> bytes:
 def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int | None = None) -> DataFrame:
     """Write doc_id and text of docs to folder; returns one row a file: part, name, docs, tokens (with end ids)."""
     spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    n = partitions
+    if n is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / RANGE_BYTES))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    dealt = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def write(batches):
         from pyarrow import fs
@@ -105,17 +119,16 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
         part, name, at, total, index, out = TaskContext.get().partitionId(), "", 0, 0, [], None
         store, root = fs.FileSystem.from_uri(folder)
         for b in slices(batches):
-            ids, texts = b.column(0).to_pylist(), [x or "" for x in b.column(1).to_pylist()]
             if out is None:
                 name = f"part-{part:05d}-{uuid.uuid4().hex}"
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/{name}.rec")
             frames = []
-            for doc, e in zip(ids, encode(texts, tokenizer), strict=True):
+            for doc, e in zip(b.column(0).to_pylist(), encode([x or "" for x in b.column(1).to_pylist()], tokenizer), strict=True):
                 v = np.append(e, e.dtype.type(END))
                 frame = framed(doc, v)
                 frames.append(frame)
-                index.append((doc, at, len(frame) - 16, len(v)))
+                index.append((doc or 0, doc is None, at, len(frame) - 16, len(v)))
                 at += len(frame)
                 total += len(v)
             out.write(b"".join(frames))
@@ -128,14 +141,20 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
     return dealt.mapInArrow(write, "part int, name string, docs long, tokens long")
 
 
-def read_record(f, offset: int, length: int) -> tuple[int, np.ndarray]:
-    """One record at an index entry's place, with both checksums verified."""
-    f.seek(offset)
-    frame = f.read(length + 16)
+def opened(frame: bytes, offset: int = 0) -> tuple[int | None, np.ndarray]:
+    """A record's doc_id and ids, with both checksums verified."""
+    length = len(frame) - 16
     if HEAD.unpack_from(frame)[0] != length or struct.unpack_from("<I", frame, 8)[0] != masked(frame[:8]) or struct.unpack_from("<I", frame, 12 + length)[0] != masked(frame[12 : 12 + length]):
         raise ValueError(f"damaged record at {offset}")
     doc, width = META.unpack_from(frame, 12)
-    return doc, np.frombuffer(frame, f"<u{width}", (length - META.size) // width, 12 + META.size)
+    size = width & ~NO_ID
+    return None if width & NO_ID else doc, np.frombuffer(frame, f"<u{size}", (length - META.size) // size, 12 + META.size)
+
+
+def read_record(f, offset: int, length: int) -> tuple[int | None, np.ndarray]:
+    """One record at an index entry's place."""
+    f.seek(offset)
+    return opened(f.read(length + 16), offset)
 
 
 def read_records(spark: SparkSession, files: list[tuple[str, int]], folder: str, with_ids: bool = False) -> DataFrame:
@@ -152,13 +171,20 @@ def read_records(spark: SparkSession, files: list[tuple[str, int]], folder: str,
                 with store.open_input_file(f"{root}/{name}.idx") as f:
                     index = np.frombuffer(f.read(), INDEX)
                 with store.open_input_file(f"{root}/{name}.rec") as f:
-                    for lo in range(0, len(index), 1000):
+                    lo = 0
+                    while lo < len(index):  # a run of records in one read
+                        base = int(index["offset"][lo])
+                        hi = max(lo + 1, int(np.searchsorted(index["offset"], base + READ_BYTES)))
+                        f.seek(base)
+                        data = f.read(int(index["offset"][hi - 1] + index["length"][hi - 1]) + 16 - base)
                         rows = []
-                        for x in index[lo : lo + 1000]:
-                            doc, ids = read_record(f, int(x["offset"]), int(x["length"]))
+                        for x in index[lo:hi]:
+                            a = int(x["offset"]) - base
+                            doc, ids = opened(data[a : a + int(x["length"]) + 16], int(x["offset"]))
                             row = {"doc_id": doc, "start": at, "n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())}
                             rows.append(row | {"ids": ids.astype(np.int32)} if with_ids else row)
                             at += len(ids)
+                        lo = hi
                         cols = {k: pa.array([r[k] for r in rows], pa.list_(pa.int32()) if k == "ids" else pa.int64()) for k in rows[0]}
                         yield pa.RecordBatch.from_pydict(cols)
 
