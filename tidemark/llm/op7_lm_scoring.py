@@ -47,6 +47,7 @@ CLASS_BITS, WORD_BITS = 5, 7
 WIDTH = CLASS_BITS + WORD_BITS
 ROWS = 8192
 STEP = 0.2
+LARGE = np.float32(5)  # of a history's weight; seven of them stay within single precision
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
@@ -115,6 +116,19 @@ def read(docs: pa.Table, shape: Shape, size: int) -> Texts:
     return Texts(np.concatenate(hs), np.concatenate(ks), np.cumsum(np.concatenate(lens)), found, at.astype(np.int32).reshape(-1, FEATURES))
 
 
+def _exponentials(v: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """prior * exp(v . signs) of every history (a column), summing to one: products of exp(v), doubled bit by bit."""
+    ratio = np.exp(np.float32(2) * np.clip(v, -LARGE, LARGE))
+    out = np.empty((1 << len(v), v.shape[1]), np.float32)
+    out[0] = 1 / np.sqrt(ratio.prod(axis=0))
+    for j in range(len(v)):
+        np.multiply(out[: 1 << j], ratio[j], out=out[1 << j : 2 << j])
+    out = out[: len(prior)]
+    out *= prior
+    out /= out.sum(axis=0)
+    return out
+
+
 class Softmax(NamedTuple):
     """Both factors: class biases, and the sums of count + 1 (and of the unseen word) by class and code."""
 
@@ -122,18 +136,14 @@ class Softmax(NamedTuple):
     mass: np.ndarray
 
     def probabilities(self, v: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(class | history), and P(code | class, history) for each token's class."""
-        p = self.bias + v[:, :CLASS_BITS] @ signs(CLASS_BITS)[:, : len(self.bias)]
-        p = np.exp(p - p.max(axis=1, keepdims=True))
-        q = v[:, CLASS_BITS:] @ signs(WORD_BITS)
-        q = np.exp(q - q.max(axis=1, keepdims=True)) * self.mass[k]
-        return p / p.sum(axis=1, keepdims=True), q / q.sum(axis=1, keepdims=True)
+        """P(class | history), and P(code | class, history) for each token's class; both hold a token a column."""
+        return _exponentials(v.T[:CLASS_BITS], np.exp(self.bias)[:, None]), _exponentials(v.T[CLASS_BITS:], np.ascontiguousarray(self.mass.T)[:, k])
 
     def logs(self, v: np.ndarray, k: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Natural logs of P(word | history) for words with hashes h and counts n."""
         p, q = self.probabilities(v, k)
         i, s = np.arange(len(k)), codes(h)
-        return np.log(p[i, k].astype(np.float64)) + np.log(q[i, s].astype(np.float64)) + np.log((n + 1.0) / self.mass[k, s])
+        return np.log(p[k, i].astype(np.float64)) + np.log(q[s, i].astype(np.float64)) + np.log((n + 1.0) / self.mass[k, s])
 
 
 def fit(t: Texts, learn: np.ndarray, model: Softmax, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +155,7 @@ def fit(t: Texts, learn: np.ndarray, model: Softmax, shape: Shape) -> tuple[np.n
         i = order[lo : lo + shape.batch]
         r, k = t.at[i], t.k[i]
         p, q = model.probabilities(w[r].sum(axis=1), k)
-        g = np.concatenate([p @ c.T - c.T[k], q @ s.T - s.T[code[i]]], axis=1)
+        g = np.concatenate([c @ p - c[:, k], s @ q - s[:, code[i]]]).T
         flat = r.ravel()
         o = np.argsort(flat, kind="stable")
         at = np.flatnonzero(np.concatenate(([True], flat[o][1:] != flat[o][:-1])))
