@@ -33,7 +33,7 @@ def test_numbers_and_text(spark):
         (D.removed, ["Removed", "REMOVED", "active", None], [True, True, False, False]),
         (D.high_seas, ["High Seas / International", "high seas / international", None], [True, False, False]),
         (lambda c: D.has_token(c, ("HighSeas",)), ["a_HighSeas_1", "HighSeasX", "", None], [True, False, False, False]),
-        (DT.normalize_date, ["2026-05-28", "052826", "2026-02-30", "133126", "x", None], ["2026-05-28", "2026-05-28", None, None, None, None]),
+        (DT.normalize_date, ["2026-05-28", "052826", "2026-02-30", "133126", "x", None, " 2026-05-28\t"], ["2026-05-28", "2026-05-28", None, None, None, None, "2026-05-28"]),
         (DT.page_date, ["Navigator_AllSites_052826_x Last update: 05-30-2026", "2026-05-28T00:00:00Z", "Last update: 04-01-2026", None], ["2026-05-30", None, "2026-04-01", None]),
     ],
 )

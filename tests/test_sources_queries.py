@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from tidemark.functions import decode as D
 from tidemark.functions.fixed import CODED
 from tidemark.operators import manifest as MF
-from tidemark.plans import catalogue, views
+from tidemark.plans import catalogue, outputs, views  # noqa: F401
 from tidemark.sources import readers as S
 from tidemark.sources import writers as W
 
@@ -71,8 +71,9 @@ def test_extracts_and_shards_out(spark, tmp_path):
     lines = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x")], "shard string, seq long, feature string")
     W.write_shards(lines, f"file://{tmp_path}/s")
     assert sorted(r[0] for r in spark.read.text(f"file://{tmp_path}/s/shard=a").collect()) == ["x", "y"]
-    sizes = spark.createDataFrame([(1, 2, 3)], "added long, changed long, removed long")
-    assert W.run_summary(sizes, "2026-06-01").head()["version_tag"] == "v2026.06.01"
+    sizes = spark.createDataFrame([(1, 2, 3, 4), (0, 0, 0, 5), (0, 0, 0, 0)], "added long, changed long, removed long, refetch long")
+    runs = W.run_summary(sizes, "2026-06-01", "2026-05-28").collect()
+    assert runs[0]["version_tag"] == "v2026.06.01" and [(r["changed"], r["updated"], str(r["dataset_date"])) for r in runs] == [(True, 6, "2026-06-01"), (True, 5, "2026-06-01"), (False, 0, "2026-05-28")]
 
 
 @pytest.fixture(scope="module")

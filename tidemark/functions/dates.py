@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .decode import trimmed
+
 NEVER = 2**31 - 1
 
 # The marks of a dataset date in a page.
@@ -13,7 +15,8 @@ UPDATE_MARK = r"Last update:\s*([0-9]{2}-[0-9]{2}-[0-9]{4})"
 
 
 def normalize_date(c: Column) -> Column:
-    """ISO dates and MMDDYY of this century; impossible dates are null."""
+    """ISO dates and MMDDYY of this century, blanks around them aside; impossible dates are null."""
+    c = trimmed(c)
     iso = F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))
     short = F.when(c.rlike(r"^[0-9]{6}$"), F.try_to_timestamp(F.concat(F.lit("20"), F.substring(c, 5, 2), F.lit("-"), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 3, 2)), F.lit("yyyy-MM-dd")))
     return F.coalesce(iso, short).cast("date")

@@ -99,37 +99,68 @@ def point_in_geometry(geometry: Column, x: Column, y: Column) -> Column:
     return F.exists(geometry, lambda p: point_in_polygon(p, x, y))
 
 
-def _thin(ring: np.ndarray, tolerance: float) -> np.ndarray | None:
-    """Douglas-Peucker on one closed ring, with a stack; None if fewer than 4 points are left."""
-    keep_first = np.ones(len(ring), bool)
-    keep_first[1:] = (ring[1:] != ring[:-1]).any(axis=1)
-    p = ring[keep_first]
-    if len(p) < 4:
-        return None
-    keep = np.zeros(len(p), bool)
-    keep[[0, -1]] = True
-    stack = [(0, len(p) - 1)]
+def _far(xy: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distance of points ``at`` to the segments from points a to b."""
+    d, q = xy[b] - xy[a], xy[at] - xy[a]
+    size = (d * d).sum(axis=1)
+    t = np.clip(np.divide((q * d).sum(axis=1), size, out=np.zeros(len(d)), where=size > 0), 0, 1)
+    return ((q - t[:, None] * d) ** 2).sum(axis=1)
+
+
+def _thinned(xy: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: float) -> np.ndarray:
+    """Douglas-Peucker on many rings at once, level by level: which points stay."""
+    keep = np.zeros(len(xy), bool)
+    keep[first] = keep[last] = True
+    a, b = first, last
+    while len(a):
+        a, b = a[b - a > 1], b[b - a > 1]
+        n = b - a - 1
+        seg = np.repeat(np.arange(len(a)), n)
+        if not len(seg):
+            break
+        begin = np.cumsum(n) - n
+        at = a[seg] + 1 + np.arange(len(seg)) - begin[seg]
+        far = _far(xy, at, a[seg], b[seg])
+        most = np.maximum.reduceat(far, begin)
+        hit = np.flatnonzero(far == most[seg])
+        _, one = np.unique(seg[hit], return_index=True)
+        i, go = at[hit[one]], most > tolerance * tolerance
+        keep[i[go]] = True
+        a, b = np.concatenate((a[go], i[go])), np.concatenate((i[go], b[go]))
+    return keep
+
+
+def _least_thinned(ring: np.ndarray, tolerance: float) -> np.ndarray | None:
+    """A ring that thins to fewer than four points, thinned with the tolerance lowered by hundredths until four stay; None if none is low enough."""
+    worth = np.zeros(len(ring))
+    stack = [(0, len(ring) - 1, np.inf)]
     while stack:
-        a, b = stack.pop()
+        a, b, limit = stack.pop()
         if b - a < 2:
             continue
-        d = p[b] - p[a]
-        q = p[a + 1 : b] - p[a]
-        size = float(d @ d)
-        t = np.clip((q @ d) / size, 0, 1) if size else np.zeros(len(q))
-        far = ((q - t[:, None] * d) ** 2).sum(axis=1)
+        at = np.arange(a + 1, b)
+        far = np.sqrt(_far(ring, at, np.full(len(at), a), np.full(len(at), b)))
         i = int(far.argmax())
-        if far[i] > tolerance * tolerance:
-            keep[a + 1 + i] = True
-            stack += [(a, a + 1 + i), (a + 1 + i, b)]
-    out = p[keep]
-    return out if len(out) >= 4 else None
+        worth[a + 1 + i] = min(limit, far[i])
+        if far[i] > 0:
+            stack += [(a, a + 1 + i, worth[a + 1 + i]), (a + 1 + i, b, worth[a + 1 + i])]
+    second = np.sort(worth)[-2]
+    if second <= 0:
+        return None
+    lower = min(tolerance, tolerance * 0.99 ** np.ceil(np.log(second / tolerance) / np.log(0.99)))
+    while lower >= second:
+        lower *= 0.99
+    keep = worth > lower
+    keep[[0, -1]] = True
+    return ring[keep]
 
 
 def simplify_display(components: DataFrame, tolerance: float, decimals: int, polygon: str = "polygon") -> DataFrame:
     """components with display (thinned, then rounded), fallback, vertices_in and vertices_out.
 
-    A polygon with a ring that thins to fewer than four points keeps all vertices and is only rounded.
+    The tolerance bounds how far any dropped vertex lies from the line that replaces it; there is no pass by radial
+    distance before.  A ring that would thin to fewer than four points takes a lower tolerance.  A polygon with a ring of
+    fewer than four points once repeated vertices are gone, or with all of them on one line, keeps all vertices and is only rounded.
     """
 
     @F.arrow_udf(f"thin {POLYGON}, fallback boolean")
@@ -141,12 +172,20 @@ def simplify_display(components: DataFrame, tolerance: float, decimals: int, pol
         width = int(pc.max(pc.list_value_length(points)).as_py() or 2)
         xy = points.flatten().to_numpy().reshape(-1, width)
         at = np.concatenate(([0], np.cumsum(per_ring)))
-        old = [xy[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        new = [_thin(r, tolerance) for r in old]
         poly = np.repeat(np.arange(len(column)), per_poly)
+        new = np.ones(len(xy), bool)
+        new[1:] = (xy[1:] != xy[:-1]).any(axis=1)
+        new[at[:-1][per_ring > 0]] = True
+        clean, cuts_ = xy[new], np.concatenate(([0], np.cumsum(new)))[at]
+        many = np.flatnonzero(np.diff(cuts_) >= 4)
+        keep = _thinned(clean[:, :2], cuts_[many], cuts_[many + 1] - 1, tolerance)
+        left = np.diff(np.concatenate(([0], np.cumsum(keep)))[cuts_])
+        thinned: list[np.ndarray | None] = [clean[a:b][keep[a:b]] if m >= 4 else None for a, b, m in zip(cuts_[:-1], cuts_[1:], left, strict=True)]
+        for i in many[left[many] < 4]:
+            thinned[i] = _least_thinned(clean[cuts_[i] : cuts_[i + 1]], tolerance)
         bad = np.zeros(len(column), bool)
-        bad[poly[[r is None for r in new]]] = True
-        out = [o if bad[p] else n for o, n, p in zip(old, new, poly, strict=True)]
+        bad[poly[[r is None for r in thinned]]] = True
+        out = [xy[a:b] if bad[p] else n for a, b, n, p in zip(at[:-1], at[1:], thinned, poly, strict=True)]
         flat = np.concatenate(out) if out else np.zeros((0, width))
         cuts = lambda n: pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
         pts = pa.ListArray.from_arrays(cuts(np.full(len(flat), width)), pa.array(flat.ravel()))

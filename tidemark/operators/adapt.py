@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.decode import safe_number
 from ..functions.fixed import API_ONLY, DOWNLOAD_ONLY, NUMERIC, RENAMED
 from ..functions.geometry import flat_2d, polygons
+from ..sources.writers import geometry_text
 
 
 def site_key(df: DataFrame) -> Column:
@@ -29,3 +30,11 @@ def adapt(df: DataFrame) -> DataFrame:
     have = {RENAMED.get(c, c) for c in df.columns}
     out += [F.lit(None).cast("string").alias(c) for c in DOWNLOAD_ONLY if c not in have]
     return df.select(site_key(df).alias("SITE_ID"), *out, *cols)
+
+
+def detail_lines(details: DataFrame) -> DataFrame:
+    """(site_id, props, geometry) of detail records: canonical properties and GeoJSON as text; geometry is null if withheld."""
+    a = adapt(details)
+    names = [c for c in a.columns if c != "geometry"]
+    shape = geometry_text(F.col("geometry")) if "geometry" in a.columns else F.lit(None).cast("string")
+    return a.select(F.col("SITE_ID").alias("site_id"), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("props"), shape.alias("geometry"))

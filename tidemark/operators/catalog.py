@@ -67,6 +67,13 @@ def adopt_versions(legacy_ids: DataFrame, source: DataFrame) -> DataFrame:
     return legacy_ids.join(source, "site_id").select("site_id", "v_major", "v_minor")
 
 
+def versioned_parked(parked: DataFrame, source: DataFrame) -> DataFrame:
+    """The parked store with versions: a legacy list, where no row has one, adopts the source's."""
+    known = F.count_if(F.col("v_major").isNotNull() | F.col("v_minor").isNotNull())
+    n = parked.agg(F.count("*").alias("n"), known.alias("known")).head()
+    return adopt_versions(parked.select("site_id"), source) if n["n"] and not n["known"] else parked
+
+
 def delta_sizes(delta: DataFrame, index: DataFrame) -> DataFrame:
     """One row: added, changed, removed, refetch, mirror_size."""
     kinds = ["added", "changed", "removed", "refetch"]

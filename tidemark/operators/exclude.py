@@ -55,6 +55,12 @@ def fragments(tallies: DataFrame) -> DataFrame:
     return tallies.select("partition", F.struct(*REASONS, F.col("partitionDrop").alias("partition")).alias("drops"), F.struct(*COUNTS).alias("counts"), (F.col("partitionDrop") > 0).alias("excludedPartition"))
 
 
+def flat(fragments: DataFrame) -> DataFrame:
+    """Tallies again, from their nested form; leaves that a fragment lacks are 0."""
+    leaf = lambda path, name: F.coalesce(F.col(path), F.lit(0)).alias(name)
+    return fragments.select("partition", *(leaf(f"drops.{r}", r) for r in REASONS), leaf("drops.partition", "partitionDrop"), *(leaf(f"counts.{c}", c) for c in COUNTS))
+
+
 def merge(tallies: DataFrame) -> DataFrame:
     """One row: every count summed over partitions, missing ones as 0, and the sorted partition names."""
     leaves = [*REASONS, "partitionDrop", *COUNTS]

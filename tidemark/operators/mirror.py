@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ LINES = "shard string, seq bigint, site_id string, props string, geometry string
 INDEX = "site_id string, v_major double, v_minor double, last_update date"
 PARKED = "site_id string, v_major double, v_minor double"
 STATE = "version bigint, schema string, dataset_date date, download_date date, last_sweep_date date, last_full_census_date date, site_count bigint"
+MORE = ", data_version string"
 
 
 def rewrite_lines(lines: DataFrame, refreshed: DataFrame, removed: DataFrame) -> DataFrame:
@@ -66,37 +71,64 @@ def seed_state(index: DataFrame, dataset_date: str, download_date: str, version:
     return index.agg(F.count("*").alias("site_count")).withColumn("ok", ok).select(F.lit(version).cast("long").alias("version"), F.lit("mirror-state/1").alias("schema"), day.alias("dataset_date"), F.lit(download_date).cast("date").alias("download_date"), F.when(F.col("ok").isNull(), day).alias("last_sweep_date"), F.lit(None).cast("date").alias("last_full_census_date"), "site_count")
 
 
+def touched_shards(lines: DataFrame, ids: DataFrame) -> list[str]:
+    """Shards that hold a line of some id; one row a shard reaches the driver."""
+    return sorted(r[0] for r in lines.join(ids.select("site_id").distinct(), "site_id", "left_semi").select("shard").distinct().collect())
+
+
 class Mirror:
     """Snapshots under one folder.  A snapshot is complete once its row is in the state table, written last,
 
     so a run that dies leaves the mirror as it was, and readers never see half of one.  Columns of the
-    state row tell which version the data are in: a quiet run adds a state row alone.
+    state row tell which version the data are in: a quiet run adds a state row alone.  Lines are kept by shard, and each
+    version has a table of the version that every shard was last written in, so a delta rewrites the shards that it touches.
+    Versions of data have an attempt in their name: two writers never write one folder, and the last state row decides.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def state(self) -> dict:
-        rows = self.spark.read.schema(STATE + ", data_version bigint").parquet(f"{self.root}/state")
+        rows = self.spark.read.schema(STATE + MORE).parquet(f"{self.root}/state")
         return rows.orderBy(F.desc("version")).limit(1).collect()[0].asDict()
 
-    def table(self, name: str, version: int) -> DataFrame:
-        return self.spark.read.schema({"lines": LINES, "index": INDEX, "parked": PARKED}[name]).parquet(f"{self.root}/{name}/version={version}")
+    def table(self, name: str, version: str) -> DataFrame:
+        return self.spark.read.schema({"index": INDEX, "parked": PARKED}[name]).parquet(f"{self.root}/{name}/version={version}")
+
+    def shards(self) -> dict[str, str]:
+        """The version of each shard's lines; a row a shard."""
+        rows = self.spark.read.schema("shard string, written string").parquet(f"{self.root}/shards/version={self.state()['data_version']}")
+        return {r["shard"]: r["written"] for r in rows.collect()}
+
+    def lines(self, only: list[str] | None = None) -> DataFrame:
+        """Lines of all shards, or of some."""
+        found = [self.spark.read.schema(LINES).parquet(f"{self.root}/lines/version={v}/shard={quote(s)}").withColumn("shard", F.lit(s)) for s, v in self.shards().items() if only is None or s in only]
+        return functools.reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], LINES)
 
     def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         v = self.state()["data_version"]
-        return tuple(self.table(n, v) for n in ("lines", "index", "parked"))
+        return self.lines(), self.table("index", v), self.table("parked", v)
 
-    def commit(self, state: dict, lines: DataFrame | None = None, index: DataFrame | None = None, parked: DataFrame | None = None) -> None:
-        v = state["version"]
+    def commit(self, state: dict, lines: DataFrame | None = None, index: DataFrame | None = None, parked: DataFrame | None = None, kept: dict[str, str] | None = None) -> None:
+        """Write a state row; with data, these first.  lines has whole shards; kept: the versions of all others."""
         if lines is not None:
-            for name, df in (("lines", lines), ("index", index), ("parked", parked)):
-                schema = {"lines": LINES, "index": INDEX, "parked": PARKED}[name]
-                cols = [c.split()[0] for c in schema.split(", ")]
-                df.select(*cols).write.mode("overwrite").parquet(f"{self.root}/{name}/version={v}")
+            v = f"{state['version']}-{uuid.uuid4().hex[:8]}"
+            cols = [c.split()[0] for c in LINES.split(", ")]
+            path = f"{self.root}/lines/version={v}"
+            lines.select(*cols).repartitionByRange("shard", "seq").sortWithinPartitions("shard", "seq").write.partitionBy("shard").parquet(path)
+            new = self.spark.read.schema(LINES).parquet(path).select("shard").distinct().withColumn("written", F.lit(v))
+            old = self.spark.createDataFrame(sorted((kept or {}).items()), "shard string, written string")
+            new.unionByName(old).coalesce(1).write.parquet(f"{self.root}/shards/version={v}")
+            for name, df in (("index", index), ("parked", parked)):
+                schema = {"index": INDEX, "parked": PARKED}[name]
+                df.select(*(c.split()[0] for c in schema.split(", "))).write.parquet(f"{self.root}/{name}/version={v}")
             state = state | {"data_version": v, "site_count": self.table("index", v).count()}
-        self.spark.createDataFrame([state], STATE + ", data_version bigint").coalesce(1).write.mode("append").parquet(f"{self.root}/state")
+        self.spark.createDataFrame([state], STATE + MORE).coalesce(1).write.mode("append").parquet(f"{self.root}/state")
 
     def seed(self, lines: DataFrame, index: DataFrame, dataset_date: str, download_date: str) -> None:
         row = seed_state(index, dataset_date, download_date).collect()[0].asDict()
         self.commit(row, lines, index, self.spark.createDataFrame([], PARKED))
+
+    def log(self, summary: DataFrame) -> None:
+        """Append a run's row."""
+        summary.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")

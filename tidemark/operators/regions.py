@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import ANTIMERIDIAN, ELSEWHERE, REGIONS
-from ..functions.geometry import center, crosses_antimeridian, point_in_geometry
+from ..functions.geometry import center, crosses_antimeridian, geometry_bbox, point_in_geometry
 
 
 def region_of(box: Column, regions=REGIONS) -> Column:
@@ -28,19 +28,25 @@ def tag(components: DataFrame, regions=REGIONS) -> DataFrame:
 MAX_REGIONS = 10_000
 
 
-def tag_by_join(components: DataFrame, regions: DataFrame, key: list[str]) -> DataFrame:
+def tag_by_join(components: DataFrame, regions: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Any tiling (ordinal, region, geometry): the first region in order that holds the centre.
 
-    The tiling is broadcast after its rows are counted; a larger one is an error.  key tells components apart.
+    The tiling becomes one broadcast row, after its regions are counted; a larger one is an error.  Each component
+    looks at the regions whose box holds its centre, so nothing is shuffled.
     """
     if regions.limit(MAX_REGIONS + 1).count() > MAX_REGIONS:
         raise ValueError(f"more than {MAX_REGIONS} regions")
+    one = regions.select(F.struct("ordinal", "region", geometry_bbox(F.col("geometry")).alias("box"), "geometry").alias("r")).agg(F.array_sort(F.collect_list("r")).alias("__tiling"))
     x, y = center(F.col("bbox"))
-    points = components.withColumns({"__x": x, "__y": y})
-    inside = points.select(*key, "__x", "__y").join(F.broadcast(regions), point_in_geometry(F.col("geometry"), F.col("__x"), F.col("__y")))
-    first = inside.groupBy(*key).agg(F.min_by("region", "ordinal").alias("__region"))
-    crossing = F.coalesce(crosses_antimeridian(F.col("bbox")), F.lit(False))
-    return points.join(first, key, "left").withColumn("region", F.when(crossing, ANTIMERIDIAN).otherwise(F.coalesce("__region", F.lit(ELSEWHERE)))).drop("__x", "__y", "__region")
+
+    def holds(r: Column) -> Column:
+        near = (F.col("__x") >= r["box"]["minx"]) & (F.col("__x") <= r["box"]["maxx"]) & (F.col("__y") >= r["box"]["miny"]) & (F.col("__y") <= r["box"]["maxy"])
+        return near & point_in_geometry(r["geometry"], F.col("__x"), F.col("__y"))
+
+    t = components.withColumns({"__x": x, "__y": y}).join(F.broadcast(one))
+    first = F.get(F.filter("__tiling", holds), 0)["region"]
+    region = F.when(F.coalesce(crosses_antimeridian(F.col("bbox")), F.lit(False)), ANTIMERIDIAN).otherwise(F.coalesce(first, F.lit(ELSEWHERE)))
+    return t.withColumn("region", region).drop("__x", "__y", "__tiling")
 
 
 def region_meta(tagged: DataFrame) -> DataFrame:

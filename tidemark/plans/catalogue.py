@@ -50,12 +50,30 @@ _O = "o AS (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice / 4 AS area, CA
 _COARSE = {name: f"least({', '.join(f'r_{c}' for c in cs)}, 4)" for name, cs in COARSE.items()}
 _RANKED = f"{_O}, r AS (SELECT *, {', '.join(f'{_rank(i)} AS r_{c}' for c, i in _AT.items())} FROM o)"
 _BAN = f"(({_COARSE['entry']}) = 0 OR ({_COARSE['anchoring']}) = 0)"
-_REASON = f"CASE WHEN k % 12 + 1 = 9 THEN 'categoryId' WHEN area > 50000 AND NOT {_BAN} THEN 'areaWithoutHardBan' WHEN (CASE WHEN k % 211 = 0 THEN 120 ELSE 1 END) > 90 AND NOT {_BAN} THEN 'bboxSpanWithoutHardBan' END"
+_X = [f"((c * 37 + k * 101 + {i * 1777}) % 36000 / 100.0::DOUBLE - 180)" for i in range(3)]
+_Y = [f"((k * 53 + {i * 911}) % 18000 / 100.0::DOUBLE - 90)" for i in range(3)]
+_HALF = "((k % 7 + 1) / 100.0::DOUBLE)"
+
+
+def _side(at: list[str]) -> str:
+    """The extent of the first 1 to 3 squares in one direction."""
+    ends = [[f"({v} {sign} {_HALF})" for v in at] for sign in "+-"]
+    return " ".join(["CASE k % 3", *(f"WHEN {n - 1} THEN {'greatest' if n > 1 else ''}({', '.join(ends[0][:n])}) - {'least' if n > 1 else ''}({', '.join(ends[1][:n])})" for n in (1, 2, 3)), "END"])
+
+
+_SPAN = f"greatest(CASE WHEN k % 97 = 0 THEN 359 ELSE {_side(_X)} END, {_side(_Y)})"
+_REASON = f"CASE WHEN k % 12 + 1 = 9 THEN 'categoryId' WHEN area > 50000 AND NOT {_BAN} THEN 'areaWithoutHardBan' WHEN {_SPAN} > 90 AND NOT {_BAN} THEN 'bboxSpanWithoutHardBan' END"
 _JUDGED = f"{_RANKED}, j AS (SELECT *, {_REASON} AS drop_reason, k % 3 + 1 AS components, 'P' || (k % 3) || CASE WHEN k % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END AS part FROM r)"
 _COMP = f"""{_JUDGED}, g AS (SELECT k, c, CAST(unnest(range(0, k % 3 + 1)) AS INT) AS i FROM j WHERE drop_reason IS NULL AND k % 29 <> 0),
 p AS (SELECT k, i, (c * 37 + k * 101 + i * 1777) % 36000 / 100.0::DOUBLE - 180 AS lon, (k * 53 + i * 911) % 18000 / 100.0::DOUBLE - 90 AS lat, (k % 7 + 1) / 100.0::DOUBLE AS half FROM g),
 b AS (SELECT k, i, CASE WHEN k % 97 = 0 THEN -179.5 ELSE lon - half END AS minx, lat - half AS miny, CASE WHEN k % 97 = 0 THEN 179.5 ELSE lon + half END AS maxx, lat + half AS maxy FROM p)"""
 _REGION = "CASE WHEN maxx - minx > 180 THEN 'sw-pacific' " + " ".join(f"WHEN (minx + maxx) / 2 >= {w} AND (minx + maxx) / 2 < {e} AND (miny + maxy) / 2 >= {s} AND (miny + maxy) / 2 < {n} THEN '{name}'" for name, w, s, e, n in REGIONS) + " ELSE 'other' END"
+
+
+def _coarse_label(name: str) -> str:
+    return _label(_COARSE[name])
+
+
 _IDX = "idx AS (SELECT 'S' || o_orderkey AS site_id, CAST(o_orderkey % 3 + 1 AS DOUBLE) AS v_major, CAST(o_custkey % 4 AS DOUBLE) AS v_minor, CAST(o_orderdate AS DATE) AS last_update FROM orders WHERE o_orderkey % 50 <> 0)"
 _ROWS = "rows_ AS (SELECT page, 'S' || o_orderkey AS site_id, CAST(o_orderkey % 3 + 1 AS DOUBLE) AS v_major, CAST(o_custkey % 4 + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END + page - 1 AS DOUBLE) AS v_minor, CAST(o_orderdate AS DATE) AS last_update, o_custkey % 40 = 0 AS hs FROM orders, (VALUES (1), (2)) t(page) WHERE o_orderkey % 40 <> 1 AND (page = 1 OR o_orderkey % 23 = 0))"
 _CAT = f"{_ROWS}, cat AS (SELECT site_id, v_major, v_minor, last_update, hs FROM rows_ QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY page DESC) = 1)"
@@ -166,17 +184,22 @@ def round_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("k").alias("site_key"), "component_index", F.expr("d[0][0] AS x0"), F.expr("d[0][1] AS y0"), F.expr("d[2][0] AS x1"), F.expr("d[2][1] AS y1"), F.size("d").alias("vertices"))
 
 
-@query()
+@query(f"WITH {_COMP}, q AS (SELECT {_REGION} AS region, k % 23 = 0 AS bad FROM b) SELECT region, 401 * count(*) AS vertices_in, CAST(sum(CASE WHEN bad THEN 401 ELSE 5 END) AS BIGINT) AS vertices_out, count(*) FILTER (WHERE bad) AS fallbacks FROM q GROUP BY region")
 def simplify_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every component's ring with 400 points on its sides, thinned again: by region vertices in and out and fallbacks."""
+    """Every component's ring with 400 points on its sides, thinned again: by region vertices in and out and fallbacks.
+
+    Every 19th key's ring is far below the tolerance and keeps its corners all the same; every 23rd's is one point.
+    """
     c = R.tag(V.components(spark, sf_dir))
 
     def side(p, q):
         return F.transform(F.sequence(F.lit(0), F.lit(99)), lambda t: F.array(p[0] + (q[0] - p[0]) * t / 100, p[1] + (q[1] - p[1]) * t / 100))
 
     ring = F.element_at("polygon", 1)
+    size = F.when(F.col("k") % 23 == 0, 0.0).when(F.col("k") % 19 == 0, 2.0**-10).otherwise(1.0)
+    ring = F.transform(ring, lambda p: F.transform(p, lambda v: v * size))
     dense = F.concat(*(side(ring[i], ring[i + 1]) for i in range(4)), F.array(ring[0]))
-    s = G.simplify_display(c.withColumn("polygon", F.array(dense)), DEFAULT.tolerance_deg, DEFAULT.decimals)
+    s = G.simplify_display(c.withColumn("polygon", F.array(dense)).select("region", "polygon"), DEFAULT.tolerance_deg, DEFAULT.decimals)
     return s.groupBy("region").agg(F.sum("vertices_in").alias("vertices_in"), F.sum("vertices_out").alias("vertices_out"), F.count_if("fallback").alias("fallbacks"))
 
 
@@ -193,7 +216,7 @@ def box_regions(spark: SparkSession) -> DataFrame:
 
 @query(f"WITH {_COMP} SELECT region, count(*) AS n FROM (SELECT {_REGION} AS region FROM b) GROUP BY region")
 def region_tag_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = R.tag_by_join(V.components(spark, sf_dir), box_regions(spark), ["k", "component_index"])
+    tagged = R.tag_by_join(V.components(spark, sf_dir), box_regions(spark))
     return tagged.groupBy("region").agg(F.count("*").alias("n"))
 
 
@@ -238,10 +261,9 @@ def removals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.removals(index, parked, gone, active)
 
 
-@query(f"WITH {_KIND} SELECT DISTINCT site_id FROM w WHERE site_id IN (SELECT site_id FROM act)")
+@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR AND event_type <> 'signup'")
 def changed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    active, _ = C.split_window(V.window_rows(spark, sf_dir))
-    return active.select("site_id").distinct()
+    return S.changed_ids(V.window_rows(spark, sf_dir))
 
 
 @query(f"WITH {_WIN} SELECT act.site_id, coalesce(wp.v_major IS NOT DISTINCT FROM act.v_major AND wp.site_id IS NOT NULL, false) AS skipped FROM act LEFT JOIN wp ON act.site_id = wp.site_id WHERE act.site_id NOT IN (SELECT site_id FROM wi)")
@@ -357,14 +379,3 @@ def adapt_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     a = A.adapt(api)
     return a.select(F.col("SITE_ID").alias("site_id"), "marine_area", "anchoring", "wdpa_id", F.col("geometry").isNotNull().alias("has_geometry"), F.when(F.col("geometry").isNotNull(), F.size(F.expr("geometry[0][0][0]"))).alias("dimensions"), "other_helpful_links")
-
-
-# --- streaming --------------------------------------------------------------------------------
-
-
-@query("SELECT CAST(user_id AS VARCHAR) AS site_id, CASE WHEN event_type = 'error' THEN 'Removed' ELSE 'active' END AS status, event_type = 'signup' AS hs, event_id AS seq FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
-def sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of change windows by day: the newest row of each id, and whether it is gone."""
-    from ..streaming.changes import newest_by_stream
-
-    return newest_by_stream(spark, sf_dir)

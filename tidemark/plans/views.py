@@ -9,12 +9,13 @@ from ..functions import decode as D
 from ..functions import geometry as G
 from ..functions.fixed import CATEGORIES, CODED
 from ..operators import exclude as X
+from ..sources.readers import dealt
 
 DRIFT = "Renamed Category"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
 def code_expr(i: int) -> str:
@@ -48,7 +49,6 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CAST(k % 3 + 1 AS STRING)").alias("site_major_version"),
         F.expr("CAST(c % 4 AS STRING)").alias("site_minor_version"),
         *(F.expr(f"CAST({code_expr(i)} AS STRING)").alias(name) for i, name in enumerate(CODED)),
-        (F.when(F.col("k") % 211 == 0, 120.0).otherwise(1.0)).alias("feature_span"),
         geometry().alias("geometry"),
     )
 
@@ -75,7 +75,7 @@ def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites with coarse levels, area, drop_reason, components and fallbacks."""
     s = ranked(spark, sf_dir).withColumn("coarse", D.coarse()).withColumn("area", D.safe_number(F.col("marine_area")))
-    reason = X.drop_reason(D.category_id(F.col("category_name")), F.col("area"), F.col("feature_span"), X.hard_ban())
+    reason = X.drop_reason(D.category_id(F.col("category_name")), F.col("area"), G.span(G.geometry_bbox(F.col("geometry"))), X.hard_ban())
     return s.withColumns({"drop_reason": reason, "components": F.size("geometry"), "fallbacks": F.lit(0)})
 
 
@@ -92,7 +92,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of landed catalogue pages; every 23rd key is listed on two pages with different versions."""
     o = orders(spark, sf_dir).where("o_orderkey % 40 <> 1").withColumn("page", F.expr("explode(CASE WHEN o_orderkey % 23 = 0 THEN array(1, 2) ELSE array(1) END)"))
-    return o.selectExpr("page", "o_orderkey AS pos", "concat('S', o_orderkey) AS site_id", "CAST(o_orderkey % 3 + 1 AS DOUBLE) AS v_major", "CAST(o_custkey % 4 + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END + page - 1 AS DOUBLE) AS v_minor", "CAST(o_orderdate AS DATE) AS last_update", "o_custkey % 40 = 0 AS hs")
+    return o.selectExpr("page", "o_orderkey AS pos", "concat('S', o_orderkey) AS site_id", "CAST(o_orderkey % 3 + 1 AS DOUBLE) AS v_major", "CAST(o_custkey % 4 + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END + page - 1 AS DOUBLE) AS v_minor", "CAST(o_orderdate AS DATE) AS last_update", "CASE WHEN o_custkey % 40 = 0 THEN 'High Seas / International' ELSE 'Fiji' END AS country").withColumn("hs", D.high_seas(F.col("country"))).drop("country")
 
 
 def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     last = e.agg((F.max("ts") - F.expr("INTERVAL 6 HOURS")).alias("since"))
     e = e.crossJoin(F.broadcast(last)).where("ts >= since")
-    return e.selectExpr("user_id", "CAST(user_id AS STRING) AS site_id", "CASE WHEN event_type = 'error' THEN 'Removed' ELSE 'active' END AS status", "event_type = 'signup' AS hs", "CAST(event_id % 5 AS DOUBLE) AS v_major", "CAST(NULL AS DOUBLE) AS v_minor", "CAST(ts AS DATE) AS last_update", "event_id AS seq")
+    return e.selectExpr("user_id", "CAST(user_id AS STRING) AS site_id", "CASE WHEN event_type = 'error' THEN 'Removed' ELSE 'active' END AS status", "CASE WHEN event_type = 'signup' THEN 'High Seas / International' END AS country", "CAST(event_id % 5 AS DOUBLE) AS v_major", "CAST(NULL AS DOUBLE) AS v_minor", "CAST(ts AS DATE) AS last_update", "event_id AS seq").withColumn("hs", D.high_seas(F.col("country")))
 
 
 def window_stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

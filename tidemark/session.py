@@ -10,6 +10,23 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where it is unset, as in tests, a local one.
+
+    Without the setting a session on several machines is refused: each would write to its own disk.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _own:
+        _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    return _own[sc.applicationId]
 
 
 #: Bytes in a batch sent to a Python worker: rows can be long texts, so a bound on rows alone bounds no memory.

@@ -38,6 +38,12 @@ def case_sensitive(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores at least: a small table in one file would be one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _features(spark: SparkSession, df: DataFrame, root: str = "") -> DataFrame:
     """One flat row a feature: SITE_ID, other properties, geometry type and coordinates text."""
     with case_sensitive(spark):
@@ -78,6 +84,15 @@ def shards(spark: SparkSession, path: str, partitions: int | None = None) -> Dat
     return df.repartition(partitions) if partitions else df
 
 
+def components(spark: SparkSession, path: str | list[str], properties: str) -> DataFrame:
+    """Components from lines of features, blank lines skipped; properties: their schema as DDL.  Several paths are one table."""
+    meta = "struct<componentIndex:int,bbox:struct<minx:double,miny:double,maxx:double,maxy:double>,region:string>"
+    shape = "struct<type:string,coordinates:array<array<array<double>>>>"
+    kind = f"type string, properties struct<{properties}>, geometry {shape}, _meta {meta}"
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", kind).alias("f"))
+    return lines.select("f.properties.*", F.col("f.geometry.coordinates").alias("polygon"), F.col("f._meta.componentIndex").alias("component_index"), F.col("f._meta.bbox").alias("bbox"), F.col("f._meta.region").alias("region"))
+
+
 def regions(spark: SparkSession, path: str) -> DataFrame:
     """region, ordinal and geometry of a tiling, in array order; regions of several polygons are one row."""
     feature = "struct<properties:struct<region:string>,geometry:struct<type:string,coordinates:string>>"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.decode import scalar_columns
@@ -39,8 +39,32 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     write_json(manifest.coalesce(1), path)
 
 
-def run_summary(delta_sizes: DataFrame, today: str) -> DataFrame:
-    """One row: changed, added, updated, removed, dataset_date, version_tag."""
+def feature_text(props: Column, geometry: Column) -> Column:
+    """A feature as one line of text, of its properties and geometry as JSON."""
+    return F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}"))
+
+
+def geometry_text(geometry: Column) -> Column:
+    """GeoJSON of an array of polygons; null stays null."""
+    return F.when(F.size(geometry) == 1, F.to_json(F.struct(F.lit("Polygon").alias("type"), geometry[0].alias("coordinates")))).when(F.size(geometry) > 1, F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), geometry.alias("coordinates"))))
+
+
+def write_components(components: DataFrame, path: str) -> None:
+    """Components as lines of features by variant: properties, a polygon, and _meta with index, box and region."""
+    c = variants(components)
+    skip = {"variant", "geometry", "bbox", "region", "component_index", "fallback", "vertices_in", "vertices_out"}
+    meta = F.struct(F.col("component_index").alias("componentIndex"), F.col("bbox"), F.col("region"))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.col("geometry").alias("coordinates"))
+    line = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*(x for x in c.columns if x not in skip)).alias("properties"), shape.alias("geometry"), meta.alias("_meta")), {"ignoreNullFields": "false"})
+    c.select("variant", line.alias("value")).write.mode("overwrite").partitionBy("variant").text(path)
+
+
+def run_summary(delta_sizes: DataFrame, today: str, dataset_date: str | None = None) -> DataFrame:
+    """One row: changed, added, updated, removed, dataset_date, version_tag.
+
+    Parked sites that were fetched again count as updated; the dataset's date is today's unless nothing moved.
+    """
     day = F.lit(today).cast("date")
-    moved = F.col("added") + F.col("changed") + F.col("removed") > 0
-    return delta_sizes.select(moved.alias("changed"), "added", F.col("changed").alias("updated"), "removed", day.alias("dataset_date"), F.date_format(day, "'v'yyyy.MM.dd").alias("version_tag"))
+    moved = F.col("added") + F.col("changed") + F.col("refetch") + F.col("removed") > 0
+    date = day if dataset_date is None else F.when(moved, day).otherwise(F.lit(dataset_date).cast("date"))
+    return delta_sizes.select(moved.alias("changed"), "added", (F.col("changed") + F.col("refetch")).alias("updated"), "removed", date.alias("dataset_date"), F.date_format(day, "'v'yyyy.MM.dd").alias("version_tag"))

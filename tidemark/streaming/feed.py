@@ -3,47 +3,61 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..operators import mirror as M
-from ..sources.readers import PAGE, site_rows
+from ..sources import writers as W
+from ..sources.readers import PAGE, catalog, require_complete, site_rows, window
 
 
 def _apply(mirror: M.Mirror, delta: DataFrame, entries: DataFrame, details: DataFrame, today: dt.date, census: bool) -> dict:
-    """Apply a classified delta; details: site_id, props, geometry of any sites.  Returns sizes."""
-    lines, index, parked = mirror.tables()
-    state = mirror.state()
+    """Apply a classified delta; details: site_id, props, geometry of any sites.  Returns sizes.
+
+    The delta is written once, so that gates, writes and the summary see the same rows.  Only shards that it touches are rewritten.
+    """
+    spark, state = mirror.spark, mirror.state()
+    index, stored = (mirror.table(n, state["data_version"]) for n in ("index", "parked"))
+    parked = C.versioned_parked(stored, entries)
+    before = str(state["dataset_date"])
     state |= {"version": state["version"] + 1, "last_sweep_date": today}
     if census:
         state["last_full_census_date"] = today
     split = C.split_added(delta.where("kind = 'added'"), entries, parked)
-    skipped = split.where("skipped").select("site_id")
-    delta = delta.join(skipped, "site_id", "left_anti")
-    sizes = C.delta_sizes(delta, index).head().asDict()
+    path = f"{mirror.root}/deltas/{state['version']}-{uuid.uuid4().hex[:8]}"
+    delta.join(split.where("skipped"), "site_id", "left_anti").select("site_id", "kind").write.parquet(path)
+    delta = spark.read.schema("site_id string, kind string").parquet(path)
+    summed = C.delta_sizes(delta, index)
+    sizes = summed.head().asDict()
     if not sum(sizes[k] for k in ("added", "changed", "removed", "refetch")):
         mirror.commit(state)  # quiet: the data stay, the high-water mark moves
+        mirror.log(W.run_summary(summed, str(today), before))
         return sizes
     removed = delta.where("kind = 'removed'").select("site_id")
     wanted = delta.where("kind <> 'removed'").select("site_id")
     refreshed = details.join(wanted, "site_id", "left_semi").dropDuplicates(["site_id"])
-    used = M.consumed(lines, refreshed, removed)
-    after = M.rewrite_lines(lines, refreshed, removed).unionByName(M.new_lines(refreshed, used))
+    held = mirror.shards()
+    touched = M.touched_shards(mirror.lines(), delta)
+    some = mirror.lines(sorted({*touched, "updates"} & set(held)))
+    used = M.consumed(some, refreshed, removed)
+    after = M.rewrite_lines(some, refreshed, removed).unionByName(M.new_lines(refreshed, used))
     idx, par = M.patch_stores(index, parked, removed, refreshed, used, entries)
-    mirror.commit(state | {"dataset_date": today}, after, idx, par)
+    mirror.commit(state | {"dataset_date": today}, after, idx, par, {s: v for s, v in held.items() if s not in touched and s != "updates"})
+    mirror.log(W.run_summary(summed, str(today), before))
     return sizes
 
 
-def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: dt.date) -> dict:
-    """One increment.  Applying a window twice gives the same mirror, so a replayed batch is harmless."""
+def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: dt.date, caps: dict | None = None) -> dict:
+    """One increment, within caps (of delta_fault).  Applying a window twice gives the same mirror, so a replayed batch is harmless."""
     C.require(C.flag_fault(rows))
     _, index, parked = mirror.tables()
     active, gone = C.split_window(rows)
     drop = C.removals(index, parked, gone, active).withColumn("kind", F.lit("removed"))
     delta = C.classify(index, parked, active).unionByName(drop)
-    C.require(C.delta_sizes(delta, index).select(C.delta_fault().alias("fault")))
+    C.require(C.delta_sizes(delta, index).select(C.delta_fault(**(caps or {})).alias("fault")))
     return _apply(mirror, delta, active, details, today, census=False)
 
 
@@ -60,21 +74,32 @@ def apply_census(mirror: M.Mirror, catalog: DataFrame, details: DataFrame, today
 
 
 def sync(mirror: M.Mirror, catalog: DataFrame, rows: DataFrame, details: DataFrame, today: dt.date, forced: bool = False) -> dict:
-    """A census if one is due, else an increment."""
+    """A census if one is due, else an increment of the rows from the stored high-water mark on, its day included."""
     s = mirror.state()
     one = mirror.spark.range(1).select(C.wants_census(F.lit(s["last_sweep_date"]).cast("date"), F.lit(s["last_full_census_date"]).cast("date"), F.lit(today), forced).alias("c"))
+    since = window(rows, F.lit(s["last_sweep_date"]).cast("date")) if s["last_sweep_date"] else None
     if one.head()["c"]:
-        return apply_census(mirror, catalog, details, today, rows if s["last_sweep_date"] else None)
-    return apply_window(mirror, rows, details, today)
+        return apply_census(mirror, catalog, details, today, since)
+    return apply_window(mirror, since, details, today)
 
 
-def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: DataFrame, today: dt.date):
-    """Apply landed pages of change windows as they come, then stop."""
+def sync_pages(mirror: M.Mirror, catalog_pages: DataFrame, window_pages: DataFrame, details: DataFrame, today: dt.date, forced: bool = False, limit: int = 500) -> dict:
+    """sync from landed pages, which must be complete: a cut-off listing would look like removals."""
+    for pages in (catalog_pages, window_pages):
+        require_complete(pages, limit)
+    return sync(mirror, catalog(site_rows(catalog_pages)), site_rows(window_pages), details, today, forced)
+
+
+def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: DataFrame, today: dt.date, caps: dict | None = None):
+    """Apply landed pages of change windows as they come, then stop.
+
+    All state is in the mirror, so a stream that starts again from its checkpoint goes on where it was.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
         rows = site_rows(df)
         if not rows.isEmpty():
-            apply_window(mirror, rows, details, today)
+            apply_window(mirror, rows, details, today, caps)
 
     feed = spark.readStream.schema(PAGE).json(landing)
     return feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
