@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,6 +153,7 @@ def _prefix_tokens(order):
 
 def _postings(order, live):
     def run(batches):
+        seen = np.zeros(0, U)  # sets of this task that are in the lists already: a task's copies are one
         for b in slices(batches):
             v, offs = shingle_sets(b)
             sig = signatures(v, offs)
@@ -161,6 +162,11 @@ def _postings(order, live):
             use = may_hold(live.value, tok)
             n = np.diff(offs)
             share = 1000 * np.bincount(row, weights=use, minlength=len(n)) // np.maximum(1, prefix_length(n))
+            _, first = np.unique(sig, return_index=True)
+            new = np.zeros(len(n), bool)
+            new[first] = ~np.isin(sig[first], seen)
+            seen = np.concatenate((seen, sig[new]))
+            use &= new[row]
             row, tok, pos = row[use], tok[use], pos[use]
             yield pa.RecordBatch.from_arrays([pa.array(tok), pa.array(longs(sig[row])), pa.array(n[row].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(share[row].astype(np.int32))], ["tok", "sig", "n", "pos", "share"])
 
@@ -237,8 +243,10 @@ def _compared(near: DataFrame, d: DataFrame) -> DataFrame:
     return written(two.select("a", "b", "ma", "mb").mapInArrow(_overlaps, "a long, b long, common long, na long, nb long"), "compared")
 
 
-def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) that pass the bitmap test: (a, b, differ)."""
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) that pass the bitmap test: (a, b, differ).  sets: (sig, n, bits) of documents; only those asked for move."""
+    asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    nodes = sets.join(asked, "sig", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     x = pairs.join(nodes.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
     x = x.join(nodes.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a")
     return written(x.select("a", "b", "na", "nb", "x", "y").mapInArrow(_alike, "a long, b long, differ long"), "near")
@@ -258,7 +266,7 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scan = written(d.mapInArrow(_scan, "kind int, x long, n long, sig long, bits binary"), "sets")
     sets = scan.where("kind = 0").select(F.col("x").alias("doc_id"), "n", "sig")
-    nodes = scan.where("kind = 0 and n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    nodes = scan.where("kind = 0 and n > 0").select("sig", "n", "bits")
     often = scan.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(FREQUENT).toArrow()  # at most FREQUENT rows
     tok = often.column("sig").to_numpy().view(U)
     by_count = np.lexsort((tok, often.column("n").to_numpy()))
@@ -268,13 +276,14 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     order = spark.sparkContext.broadcast((tok[o], place[o]))
 
     live = id_filter(d.select("text").mapInArrow(_prefix_tokens(order), "tok long").groupBy("tok").count().where("count > 1"), "tok")
-    found = d.select("text").mapInArrow(_postings(order, live), "tok long, sig long, n int, pos int, share int").groupBy("tok", "sig").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("share").alias("share"))
-    index = written(found.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.12))).cast("int")), "postings")
-
+    # the lists meet once, by token; lists of one set are of no use
+    found = d.select("text").mapInArrow(_postings(order, live), "tok long, sig long, n int, pos int, share int").repartition("tok").dropDuplicates(["tok", "sig"])
+    found = found.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.12))).cast("int"))
     # a leader in each list and band of sizes: the set with the largest share of its prefix in lists, as the
     # original of a group of edited copies has, while each copy's own edits are in no list
-    lead = index.groupBy("tok", "band").agg(F.count("*").alias("c"), F.max(F.struct("share", "sig", "n", "pos")).alias("lead")).where("c > 1")
-    led = index.join(lead.select("tok", "band", F.col("lead.sig").alias("lead"), F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lp")), ["tok", "band"], "left")
+    lists, bands = Window.partitionBy("tok"), Window.partitionBy("tok", "band")
+    led = found.withColumns({"sets": F.count("*").over(lists), "top": F.max(F.struct("share", "sig", "n", "pos")).over(bands), "c": F.count("*").over(bands)}).where("sets > 1")
+    led = written(led.select("tok", "sig", "n", "pos", *(F.when(F.col("c") > 1, F.col(f"top.{x}")).alias(y) for x, y in (("sig", "lead"), ("n", "ln"), ("pos", "lp")))), "lists")
     stars = led.where("lead <> sig and " + _reach("n", "pos", "ln", "lp")).select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
     stars = written(stars, "stars")
     close = _near(stars, nodes)
@@ -285,9 +294,9 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # what that leaves open: pairs of one list in different components
     known = first.select(F.col("a").alias("lead"), F.col("b").alias("sig"), (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("jl"))
-    open_ = led.join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-    mixed = open_.groupBy("tok").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("tok")
-    open_ = open_.join(mixed, "tok", "left_semi").join(known, ["lead", "sig"], "left").withColumn("jl", F.when(F.col("lead") == F.col("sig"), 1.0).otherwise(F.col("jl")))
+    open_ = led.drop("ln", "lp").join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    open_ = open_.withColumns({"least": F.min("comp").over(lists), "most": F.max("comp").over(lists)}).where("least <> most").drop("least", "most")
+    open_ = open_.join(known, ["lead", "sig"], "left").withColumn("jl", F.when(F.col("lead") == F.col("sig"), 1.0).otherwise(F.col("jl")))
     open_ = written(open_.select("tok", "sig", "n", "pos", "comp", "lead", "jl"), "open")
     blocks = open_.groupBy("tok", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     x, y = blocks.alias("x"), blocks.alias("y")
