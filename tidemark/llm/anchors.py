@@ -314,6 +314,11 @@ def _passing(wanted, hold: bool = True, report: Callable | None = None):
     return reported if report else run
 
 
+def only_with(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Documents, from keyed(), that have ranges, and few others: an id filter passes them."""
+    return docs.select("d", "r", "text").mapInArrow(_passing(id_filter(ranges, "d")), "d long, r long, text string")
+
+
 def cover(ranges: list[tuple[int, int]], n: int) -> np.ndarray:
     """True where a symbol is in some range."""
     edge = np.zeros(n + 1, np.int32)
@@ -329,5 +334,5 @@ def with_ranges(docs: DataFrame, ranges: DataFrame, schema: str, report: Callabl
     marked = id_filter(ranges, "d")
     cols = docs.select("d", "r", F.col("doc_id").cast("long").alias("doc_id"), "text")
     inside = cols.mapInArrow(_passing(marked), "d long, r long, doc_id long, text string").join(ranges, ["d", "r"], "left").select("doc_id", "text", "ranges")
-    outside = cols.withColumn("ranges", F.lit(None).cast("array<struct<lo:int,hi:int>>")).mapInArrow(_passing(marked, False, report), schema)
+    outside = cols.withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType)).mapInArrow(_passing(marked, False, report), schema)
     return inside.mapInArrow(report, schema).unionByName(outside)

@@ -8,6 +8,10 @@ neighbours in the suffix array in text order with Kasai's bound (it shrinks by a
 suffix to the next).  A window is repeated if a neighbour shares 400 bytes.  An anchor with too many different
 segments for one shard is dealt over several, whose window classes are merged by grouping their 64-bit hashes.
 
+The query also reports ``n_passage``, the bytes that shorter repeats cover: strings of 256 bytes, which a passage of
+some 50 words has and 400 bytes may miss.  Documents without any of these have no repeat of 400 bytes either, so the
+longer search reads the others alone.
+
 Defined cases: a null text is empty; texts below 400 bytes keep everything; matches never cross
 documents; rows equal in doc_id and text repeat each other; an empty table gives no rows; other columns
 are ignored.
@@ -15,19 +19,22 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .anchors import Spec, cover, keyed, repeated_ranges, with_ranges
+from .anchors import PIECE, Spec, keyed, only_with, repeated_ranges, with_ranges
 from .store import documents
-from .text import U, mix, raw
+from .text import U, mix, raw, slices
 
-LENGTH = 400
+LENGTH, PASSAGE = 400, 256
 _VALUE = mix(np.arange(1, 257, dtype=U) * U(0xC2B2AE3D27D4EB4F))
-SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,hi:int>>"
+SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, n_passage long, kept_sha256 string, spans array<struct<lo:int,hi:int>>"
 
 
 def byte_symbols(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +139,7 @@ def repeated(text: np.ndarray, raw_bytes: np.ndarray, ends: np.ndarray, length:
     return both
 
 
-def byte_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray) -> np.ndarray:
+def byte_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """0 for each window of the segments that occurs more than once in the shard, else -1."""
     lens = np.array([len(x) for x in segs], np.int64)
     data = np.frombuffer(b"\0".join(segs) + b"\0", np.uint8)
@@ -140,7 +147,7 @@ def byte_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray) -> np.
     text = data.astype(np.int64) + 1
     text[first + lens] = 0
     ends = np.repeat(first + lens, lens + 1)
-    hit = repeated(text, data, ends, LENGTH)
+    hit = repeated(text, data, ends, length)
     at = np.repeat(first, windows) + np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
     return np.where(hit[at], 0, -1)
 
@@ -148,30 +155,52 @@ def byte_match(segs: list[bytes], windows: np.ndarray, order: np.ndarray) -> np.
 SPEC = Spec(LENGTH, 200, byte_symbols, byte_cut, byte_match, earlier=False)
 
 
+def shorter(spec: Spec, length: int) -> Spec:
+    return spec._replace(length=length, gram=length // 2, match=functools.partial(byte_match, length=length))
+
+
+def _covered(buf: np.ndarray, offs: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """True for each byte of all texts that a range of its row covers."""
+    n = len(buf) + 1
+    depth = np.zeros(n, np.int32)
+    np.add.at(depth, offs[row] + lo, 1)
+    np.add.at(depth, offs[row] + hi, -1)
+    return np.cumsum(depth[:-1], dtype=np.int32) > 0
+
+
 def _report(batches):
-    for b in batches:
-        if not b.num_rows:
-            continue
+    span = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
+    for b in slices(batches, max_bytes=PIECE):
         buf, offs = raw(b)
-        rows = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
-        for i, (doc, found) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)):
-            x = buf[offs[i] : offs[i + 1]]
-            gone = cover([(r["lo"], r["hi"]) for r in found or []], len(x))
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-            rows["doc_id"].append(doc)
-            rows["n_bytes"].append(len(x))
-            rows["n_removed"].append(int(gone.sum()))
-            rows["n_spans"].append(len(edge) // 2)
-            rows["kept_sha256"].append(hashlib.sha256(x[~gone].tobytes() if len(edge) else x.tobytes()).hexdigest())
-            rows["spans"].append([{"lo": int(lo), "hi": int(hi)} for lo, hi in zip(edge[::2], edge[1::2], strict=True)])
-        span = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([pa.array(v, span if k == "spans" else pa.string() if k == "kept_sha256" else pa.int64()) for k, v in rows.items()], list(rows))
-
-
-def dedup_bytes(docs: DataFrame, spec: Spec = SPEC) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every document."""
+        lists = b.column(2)
+        per = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        flat = lists.flatten()
+        row = np.repeat(np.arange(b.num_rows), per)
+        lo, hi, whole = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi", "whole"))
+        gone, passage = _covered(buf, offs, row[whole], lo[whole], hi[whole]), _covered(buf, offs, row, lo, hi)
+        before = np.concatenate(([False], gone[:-1])) if len(gone) else gone
+        before[offs[:-1][offs[:-1] < len(buf)]] = False
+        after = np.append(gone[1:], False) if len(gone) else gone
+        after[offs[1:][offs[1:] > 0] - 1] = False
+        starts, ends = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+        first = np.searchsorted(starts, offs)
+        at = offs[np.searchsorted(offs, starts, side="right") - 1]
+        count = lambda mask: np.diff(np.concatenate(([0], np.cumsum(mask)))[offs])
+        removed, data = count(gone), buf.tobytes()
+        keys = [hashlib.sha256(buf[x:y][~gone[x:y]].tobytes() if r else data[x:y]).hexdigest() for x, y, r in zip(offs[:-1].tolist(), offs[1:].tolist(), removed.tolist(), strict=True)]
+        pairs = pa.StructArray.from_arrays([pa.array((starts - at).astype(np.int32)), pa.array((ends - at).astype(np.int32))], fields=list(span))
+        spans = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pairs)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offs)), pa.array(removed), pa.array(np.diff(first)), pa.array(count(passage)), pa.array(keys, pa.string()), spans], ["doc_id", "n_bytes", "n_removed", "n_spans", "n_passage", "kept_sha256", "spans"])
+
+
+def dedup_bytes(docs: DataFrame, spec: Spec = SPEC, passage: int = PASSAGE) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, n_passage, kept_sha256 and the removed spans of every document."""
     d = keyed(docs)
-    return with_ranges(d, repeated_ranges(d, spec), SCHEMA, _report)
+    short = repeated_ranges(d, shorter(spec, passage))
+    long = repeated_ranges(only_with(d, short), spec)
+    both = [x.select("d", "r", F.transform("ranges", lambda y: F.struct(y["lo"].alias("lo"), y["hi"].alias("hi"), F.lit(whole).alias("whole"))).alias("ranges")) for x, whole in ((short, False), (long, True))]
+    ranges = both[0].unionByName(both[1]).groupBy("d", "r").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))  # two rows a document
+    return with_ranges(d, ranges, SCHEMA, _report)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
