@@ -48,6 +48,7 @@ META = struct.Struct("<qB")
 NO_ID = 128
 RANGE_BYTES = 256 << 20  # of text in a file, about
 READ_BYTES = 4 << 20
+WRITE_BYTES = 512 << 10  # of text encoded at once; the chunks of more only cost memory
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
 #: Unicode white space, as the vocabulary's pre-tokenizer sees it.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -118,7 +119,8 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
 
         part, name, at, total, index, out = TaskContext.get().partitionId(), "", 0, 0, [], None
         store, root = fs.FileSystem.from_uri(folder)
-        for b in slices(batches):
+        pa.default_memory_pool().release_unused()  # of a stage that the worker served before
+        for b in slices(batches, max_bytes=WRITE_BYTES):
             if out is None:
                 name = f"part-{part:05d}-{uuid.uuid4().hex}"
                 store.create_dir(root, recursive=True)
