@@ -25,9 +25,16 @@ def flat_points(geometry: Column) -> Column:
     return F.flatten(F.flatten(geometry))
 
 
+def once(value: Column, f) -> Column:
+    """f(value), with value computed once however often f names it; projects and pushed filters would repeat it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def bbox_of_points(points: Column) -> Column:
-    x, y = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
-    return F.struct(F.array_min(x).alias("minx"), F.array_min(y).alias("miny"), F.array_max(x).alias("maxx"), F.array_max(y).alias("maxy"))
+    """The extent, in one pass over the points; nulls inside if there are none."""
+    sides = {"minx": (F.least, 0), "miny": (F.least, 1), "maxx": (F.greatest, 0), "maxy": (F.greatest, 1)}
+    none = F.struct(*(F.lit(None).cast("double").alias(c) for c in sides))
+    return F.aggregate(points, none, lambda box, p: F.struct(*(f(box[c], p[i]).alias(c) for c, (f, i) in sides.items())))
 
 
 def polygon_bbox(polygon: Column) -> Column:
@@ -40,7 +47,7 @@ def geometry_bbox(geometry: Column) -> Column:
 
 def span(box: Column) -> Column:
     """The larger side; 0 without a geometry."""
-    return F.coalesce(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"]), F.lit(0.0))
+    return F.coalesce(once(box, lambda b: F.greatest(b["maxx"] - b["minx"], b["maxy"] - b["miny"])), F.lit(0.0))
 
 
 def center(box: Column) -> tuple[Column, Column]:

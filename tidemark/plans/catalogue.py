@@ -198,7 +198,7 @@ def simplify_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = F.element_at("polygon", 1)
     size = F.when(F.col("k") % 23 == 0, 0.0).when(F.col("k") % 19 == 0, 2.0**-10).otherwise(1.0)
     ring = F.transform(ring, lambda p: F.transform(p, lambda v: v * size))
-    dense = F.concat(*(side(ring[i], ring[i + 1]) for i in range(4)), F.array(ring[0]))
+    dense = G.once(ring, lambda r: F.concat(*(side(r[i], r[i + 1]) for i in range(4)), F.array(r[0])))
     s = G.simplify_display(c.withColumn("polygon", F.array(dense)).select("region", "polygon"), DEFAULT.tolerance_deg, DEFAULT.decimals)
     return s.groupBy("region").agg(F.sum("vertices_in").alias("vertices_in"), F.sum("vertices_out").alias("vertices_out"), F.count_if("fallback").alias("fallbacks"))
 
