@@ -12,6 +12,9 @@ from .op7_lm_scoring import op7_lm_scoring
 from .op8_jaccard_join import op8_jaccard_join
 from .op9_binary_output import op9_binary_output
 from .op10_decontamination import op10_decontamination
+from .op11_fill_in_middle import OP11_SQL, op11_fill_in_middle
+from .op12_spelling_variants import op12_spelling_variants
+from .op13_cover_tree_dedup import OP13_SQL, op13_cover_tree_dedup
 
 
 def queries() -> dict:
@@ -26,10 +29,15 @@ def queries() -> dict:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_binary_output": op9_binary_output,
         "op10_decontamination": op10_decontamination,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_cover_tree_dedup": op13_cover_tree_dedup,
     }
 
 
 def oracle_sql() -> dict:
     return {
         "op4_url_filter": OP4_SQL,
+        "op11_fill_in_middle": OP11_SQL,
+        "op13_cover_tree_dedup": OP13_SQL,
     }
