@@ -58,13 +58,26 @@ def crosses_antimeridian(box: Column) -> Column:
     return box["maxx"] - box["minx"] > 180
 
 
-def explode_components(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """One row a polygon, with component_index, polygon and bbox."""
+def explode_components(df: DataFrame, geometry: str = "geometry", outer: bool = False) -> DataFrame:
+    """One row a polygon, with component_index, polygon and bbox; outer: a row of nulls for no polygon."""
     kept = [c for c in df.columns if c != geometry]
-    out = df.select(*kept, F.posexplode(geometry).alias("component_index", "polygon"))
+    out = df.select(*kept, (F.posexplode_outer if outer else F.posexplode)(geometry).alias("component_index", "polygon"))
     return out.withColumn("bbox", polygon_bbox(F.col("polygon")))
 
 
+def _spread(v: Column) -> Column:
+    """The low 16 bits, with a zero before each."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return v
+
+
+def curve(x: Column, y: Column) -> Column:
+    """A place on a Z-shaped curve through all cells of a grid of 2^16 by 2^16: close places are mostly close on the map."""
+    step = lambda v, low, width: F.greatest(F.lit(0), F.least(F.lit(65535), F.floor((v - low) / width * 65536))).cast("long")
+    return _spread(step(x, -180.0, 360.0)).bitwiseOR(F.shiftleft(_spread(step(y, -90.0, 180.0)), 1))
+
+
 def half_up(x: Column, decimals: int) -> Column:
     """Rounded half up towards positive infinity."""
     f = float(10**decimals)
@@ -138,7 +151,7 @@ def _thinned(xy: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: flo
 
 
 def _least_thinned(ring: np.ndarray, tolerance: float) -> np.ndarray | None:
-    """A ring that thins to fewer than four points, thinned with the tolerance lowered by hundredths until four stay; None if none is low enough."""
+    """Which points of a ring stay that thins to fewer than four, with the tolerance lowered by hundredths until four do; None if none is low enough."""
     worth = np.zeros(len(ring))
     stack = [(0, len(ring) - 1, np.inf)]
     while stack:
@@ -159,7 +172,7 @@ def _least_thinned(ring: np.ndarray, tolerance: float) -> np.ndarray | None:
         lower *= 0.99
     keep = worth > lower
     keep[[0, -1]] = True
-    return ring[keep]
+    return keep
 
 
 def simplify_display(components: DataFrame, tolerance: float, decimals: int, polygon: str = "polygon") -> DataFrame:
@@ -183,20 +196,24 @@ def simplify_display(components: DataFrame, tolerance: float, decimals: int, pol
         new = np.ones(len(xy), bool)
         new[1:] = (xy[1:] != xy[:-1]).any(axis=1)
         new[at[:-1][per_ring > 0]] = True
-        clean, cuts_ = xy[new], np.concatenate(([0], np.cumsum(new)))[at]
+        clean, cuts_ = xy[new][:, :2], np.concatenate(([0], np.cumsum(new)))[at]
         many = np.flatnonzero(np.diff(cuts_) >= 4)
-        keep = _thinned(clean[:, :2], cuts_[many], cuts_[many + 1] - 1, tolerance)
+        keep = _thinned(clean, cuts_[many], cuts_[many + 1] - 1, tolerance)
         left = np.diff(np.concatenate(([0], np.cumsum(keep)))[cuts_])
-        thinned: list[np.ndarray | None] = [clean[a:b][keep[a:b]] if m >= 4 else None for a, b, m in zip(cuts_[:-1], cuts_[1:], left, strict=True)]
+        short = np.diff(cuts_) < 4  # rings without a shape
         for i in many[left[many] < 4]:
-            thinned[i] = _least_thinned(clean[cuts_[i] : cuts_[i + 1]], tolerance)
+            some = _least_thinned(clean[cuts_[i] : cuts_[i + 1]], tolerance)
+            short[i] = some is None
+            keep[cuts_[i] : cuts_[i + 1]] = True if some is None else some
         bad = np.zeros(len(column), bool)
-        bad[poly[[r is None for r in thinned]]] = True
-        out = [xy[a:b] if bad[p] else n for a, b, n, p in zip(at[:-1], at[1:], thinned, poly, strict=True)]
-        flat = np.concatenate(out) if out else np.zeros((0, width))
+        bad[poly[short]] = True
+        stay = np.zeros(len(xy), bool)
+        stay[np.flatnonzero(new)[keep]] = True
+        stay |= np.repeat(bad[poly], per_ring)
+        flat, sizes = xy[stay], np.diff(np.concatenate(([0], np.cumsum(stay)))[at])
         cuts = lambda n: pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
         pts = pa.ListArray.from_arrays(cuts(np.full(len(flat), width)), pa.array(flat.ravel()))
-        ring = pa.ListArray.from_arrays(cuts([len(r) for r in out]), pts)
+        ring = pa.ListArray.from_arrays(cuts(sizes), pts)
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(cuts(per_poly), ring), pa.array(bad)], ["thin", "fallback"])
 
     t = components.withColumn("__thin", thin(F.col(polygon)))

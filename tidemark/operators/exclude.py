@@ -50,6 +50,25 @@ def tally(features: DataFrame, config: Config = DEFAULT) -> DataFrame:
     )
 
 
+def tally_rows(rows: DataFrame) -> DataFrame:
+    """``tally`` of rows that were exploded already: partition, drop_reason, excluded, component_index and fallback.
+
+    A feature with several components has a row each, any other one row without an index.
+    """
+    one = F.coalesce(F.col("component_index"), F.lit(0)) == 0
+    live, whole = ~F.col("excluded"), F.col("component_index").isNotNull()
+    return rows.groupBy("partition").agg(
+        *(F.count_if(one & live & (F.col("drop_reason") == r)).alias(r) for r in REASONS),
+        F.max(F.col("excluded").cast("long")).alias("partitionDrop"),
+        F.count_if(one & live).alias("featuresIn"),
+        F.count_if(one & live & F.col("drop_reason").isNull()).alias("kept"),
+        F.count_if(whole).alias("componentsFull"),
+        F.count_if(whole).alias("componentsDisplay"),
+        F.count_if(whole & F.col("fallback")).alias("simplifyFallbacks"),
+        F.count_if(one & ~live).alias("features_skipped"),
+    )
+
+
 def fragments(tallies: DataFrame) -> DataFrame:
     """Nested form of tallies, as written."""
     return tallies.select("partition", F.struct(*REASONS, F.col("partitionDrop").alias("partition")).alias("drops"), F.struct(*COUNTS).alias("counts"), (F.col("partitionDrop") > 0).alias("excludedPartition"))

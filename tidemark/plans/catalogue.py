@@ -220,6 +220,18 @@ def region_tag_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.groupBy("region").agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""WITH {_COMP}, t AS (SELECT o_orderkey AS ordinal, o_orderkey * 7919 % 36000 / 100.0::DOUBLE - 180 AS x, o_orderkey * 104729 % 18000 / 100.0::DOUBLE - 90 AS y, (o_orderkey % 40 + 1) / 10.0::DOUBLE + 0.005::DOUBLE AS h FROM orders),
+ct AS (SELECT DISTINCT (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM b WHERE maxx - minx <= 180),
+f AS (SELECT cx, cy, min(ordinal) AS ordinal FROM ct JOIN t ON cx BETWEEN x - h AND x + h AND cy BETWEEN y - h AND y + h WHERE ordinal % 2 = 0 OR abs(cx - x) + abs(cy - y) < h GROUP BY cx, cy)
+SELECT k AS site_key, i AS component_index, CASE WHEN maxx - minx > 180 THEN 'sw-pacific' ELSE coalesce('R' || ordinal, 'other') END AS region FROM b LEFT JOIN f ON cx = (minx + maxx) / 2 AND cy = (miny + maxy) / 2"""
+)
+def region_tag_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tiling with as many regions as there are orders."""
+    tagged = R.tag_by_cells(V.components(spark, sf_dir), V.many_regions(spark, sf_dir))
+    return tagged.select(F.col("k").alias("site_key"), "component_index", "region")
+
+
 _META = f"{_COMP}, meta AS (SELECT region, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy, count(*) AS feature_count FROM (SELECT *, {_REGION} AS region FROM b) GROUP BY region)"
 
 

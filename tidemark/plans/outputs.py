@@ -59,6 +59,26 @@ def feature_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select(F.col("SITE_ID").alias("site_id"), "partition", F.size(g).cast("long").alias("polygons"), F.col("site_major_version").alias("v_major"))
 
 
+def land_collections(spark: SparkSession, sf_dir: str) -> str:
+    """The view of sites as GeoJSON documents, one a partition."""
+    path = _folder(spark, "collections")
+    f = feature_lines(spark, sf_dir).select("shard", "seq", "feature")
+    ends = f.groupBy("shard").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    rows = f.join(F.broadcast(ends), "shard").select("shard", "seq", F.concat(F.when(F.col("seq") == F.col("first"), "").otherwise(","), "feature").alias("value"))
+    head = ends.select("shard", (F.col("first") - 1).alias("seq"), F.lit('{"type": "FeatureCollection", "crs": {"features": [{}]}, "features" : [').alias("value"))
+    tail = ends.select("shard", (F.col("last") + 1).alias("seq"), F.lit("]}").alias("value"))
+    rows.unionByName(head).unionByName(tail).repartition("shard").sortWithinPartitions("shard", "seq").select("shard", "value").write.partitionBy("shard").text(path)
+    return path
+
+
+@query("SELECT 'P' || (o_orderkey % 3) || CASE WHEN o_orderkey % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END AS partition, row_number() OVER (PARTITION BY 'P' || (o_orderkey % 3) || (o_orderkey % 29 = 0) ORDER BY o_orderkey) - 1 AS place, CASE WHEN o_orderkey % 31 <> 0 THEN 'S' || o_orderkey ELSE '' END AS site_id, o_orderkey % 3 + 1 AS polygons, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS v_major FROM orders")
+def collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of whole documents, which many tasks read, with their places."""
+    f = S.feature_collection(spark, land_collections(spark, sf_dir))
+    g = G.polygons(F.col("geometry_type"), F.col("coordinates"))
+    return f.select(F.regexp_extract("_file", "shard=([^/]+)/", 1).alias("partition"), F.col("_pos").alias("place"), F.col("SITE_ID").alias("site_id"), F.size(g).cast("long").alias("polygons"), F.col("site_major_version").alias("v_major"))
+
+
 @query("SELECT 'P' || (o_orderkey % 3) || CASE WHEN o_orderkey % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END AS shard, count(*) AS lines, count(*) FILTER (WHERE o_orderkey % 31 <> 0) AS named FROM orders GROUP BY ALL")
 def shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "shards")

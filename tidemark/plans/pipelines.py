@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from ..operators import exclude as X
 from ..operators import manifest as MF
 from ..operators import mirror as M
 from ..operators import regions as R
+from ..session import shared_dir
 from ..sources import readers as S
 from ..sources import writers as W
 
@@ -25,19 +27,31 @@ def judged(features: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return f.withColumns({"drop_reason": reason, "restrictions": F.col("coarse")})
 
 
-def normalize(features: DataFrame, config: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """(components, tallies): decode, exclude, explode, thin and tag; and what that kept by partition.
+def normalized(features: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """A row for each component: its feature's decoded properties, polygon, display, fallback, bbox, component_index, region.
 
-    components: the decoded properties, polygon, display, fallback, bbox, component_index, region and partition.
+    A feature without components, as it is dropped or has no polygon, is one row with a null index and no properties, so that
+    the rows tell what became of every feature.
     """
     f = judged(features, config)
-    kept = X.without_partitions(f, config=config).where("drop_reason IS NULL").select("partition", *D.PROPERTIES, "geometry")
-    parts = G.simplify_display(G.explode_components(kept), config.tolerance_deg, config.decimals)
-    parts = R.tag(parts)
-    slips = parts.groupBy("partition").agg(F.count_if("fallback").alias("slips"))  # one row a partition
-    t = X.tally(f.select("partition", "drop_reason", F.coalesce(F.size("geometry"), F.lit(0)).alias("components"), F.lit(0).alias("fallbacks")), config)
-    t = t.join(slips, "partition", "left").withColumn("simplifyFallbacks", F.coalesce("slips", F.lit(0)).cast("long")).drop("slips")
-    return parts, t
+    out = D.has_token(F.col("partition"), config.exclude_partitions)
+    live = ~out & F.col("drop_reason").isNull()
+    rows = f.select("partition", "drop_reason", out.alias("excluded"), *(F.when(live, F.col(c)).alias(c) for c in D.PROPERTIES), F.when(live, F.col("geometry")).alias("geometry"))
+    parts = G.simplify_display(G.explode_components(rows, outer=True), config.tolerance_deg, config.decimals)
+    return R.tag(parts)
+
+
+def normalize(features: DataFrame, config: Config = DEFAULT, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(components, tallies): decode, exclude, explode, thin and tag; and what that kept by partition.
+
+    The input is read, and every ring thinned, once: the rows of ``normalized`` go to path (by default a new one in the shared
+    folder), and both results read them back, the tallies five columns only.
+    """
+    path = path or f"{shared_dir(features.sparkSession)}/normalized-{uuid.uuid4().hex}"
+    rows = normalized(features, config)
+    rows.withColumn("whole", F.col("component_index").isNotNull()).write.partitionBy("whole").parquet(path)
+    rows = features.sparkSession.read.schema(rows.schema.add("whole", "boolean")).parquet(path)
+    return rows.where("whole").drop("whole", "drop_reason", "excluded"), X.tally_rows(rows)
 
 
 @dataclass(frozen=True)

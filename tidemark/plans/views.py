@@ -15,7 +15,7 @@ DRIFT = "Renamed Category"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dealt(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return dealt(spark.read.parquet(f"{sf_dir}/orders.parquet"), written=True)
 
 
 def code_expr(i: int) -> str:
@@ -134,3 +134,12 @@ def parked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 31 <> 0").selectExpr("concat('C', c_custkey) AS site_id", "CAST(c_nationkey AS DOUBLE) AS v_major", "1D AS v_minor", "DATE'2024-01-01' AS last_update")
+
+
+def many_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region an order, boxes and diamonds that overlap; none has a border where centres of components lie."""
+    o = orders(spark, sf_dir).selectExpr("CAST(o_orderkey AS LONG) AS ordinal", "concat('R', o_orderkey) AS region", "o_orderkey * 7919 % 36000 / 100D - 180 AS x", "o_orderkey * 104729 % 18000 / 100D - 90 AS y", "(o_orderkey % 40 + 1) / 10D + 0.005D AS h", "o_orderkey % 2 = 0 AS box")
+    ring = lambda *at: F.array(*(F.array(F.expr(p), F.expr(q)) for p, q in at))
+    box = ring(("x - h", "y - h"), ("x + h", "y - h"), ("x + h", "y + h"), ("x - h", "y + h"), ("x - h", "y - h"))
+    diamond = ring(("x - h", "y"), ("x", "y - h"), ("x + h", "y"), ("x", "y + h"), ("x - h", "y"))
+    return o.select("ordinal", "region", F.array(F.array(F.when(F.col("box"), box).otherwise(diamond))).alias("geometry"))

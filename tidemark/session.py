@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _own: dict[str, str] = {}
@@ -22,13 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     if d:
         return d.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _own:
         _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return _own[sc.applicationId]
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder once and read back, so that several uses do not compute it again."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Bytes in a batch sent to a Python worker: rows can be long texts, so a bound on rows alone bounds no memory.
 BATCH_BYTES = 4 << 20
 

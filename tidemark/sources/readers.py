@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions.decode import high_seas, safe_number
 from ..functions.fixed import CODED, IDENTITY
+from ..session import kept
+from .collections import feature_texts
 
 _S = T.StringType()
 SHAPE = T.StructType([T.StructField("type", _S), T.StructField("coordinates", _S)])
@@ -38,10 +40,15 @@ def case_sensitive(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """df over as many partitions as there are cores at least: a small table in one file would be one task."""
+def dealt(df: DataFrame, written: bool = False) -> DataFrame:
+    """df over as many partitions as there are cores at least: a small table in one file would be one task.
+
+    Filters and projections are pushed below the exchange, back into that one task; written stops them by a table in between.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return kept(df.repartition(cores), "dealt") if written else df.repartition(cores)
 
 
 def _features(spark: SparkSession, df: DataFrame, root: str = "") -> DataFrame:
@@ -57,12 +64,14 @@ def _features(spark: SparkSession, df: DataFrame, root: str = "") -> DataFrame:
         )
 
 
-def feature_collection(spark: SparkSession, path: str) -> DataFrame:
-    """Features of whole GeoJSON documents, one a file; _pos is a feature's place."""
+def feature_collection(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Features of whole GeoJSON documents, each cut into ranges for many tasks; _pos is a feature's place in its document, _file.
+
+    Numbers in the coordinates' text keep their values as doubles, not their spelling.
+    """
     with case_sensitive(spark):
-        schema = T.StructType([T.StructField("features", T.ArrayType(FEATURE))])
-        df = spark.read.option("multiLine", True).schema(schema).json(path).select(F.posexplode("features").alias("_pos", "f"))
-    return _features(spark, df, "f.")
+        df = feature_texts(spark, path).select(F.col("file").alias("_file"), F.col("place").alias("_pos"), F.from_json("text", FEATURE).alias("f"))
+        return _features(spark, df, "f.")
 
 
 def ndjson(spark: SparkSession, path: str) -> DataFrame:
@@ -161,8 +170,42 @@ def sidecars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("region string, bbox array<double>, featureCount bigint").json(path).orderBy("region")
 
 
-def assets(spark: SparkSession, path: str, with_content: bool = False) -> DataFrame:
-    """Files with their size, and with_content their sha256 (whole files in memory: keep them below 2 GB)."""
+#: Files up to this size are hashed as one value, larger ones in chunks.
+WHOLE_FILE = 16 << 20
+CHUNK = 4 << 20
+
+
+def _digests(batches):
+    """(path, length, sha256) of files that are read in chunks of bounded size."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for b in batches:
+        found = []
+        for path in b.column(0).to_pylist():
+            system, at = fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with system.open_input_stream(at) as stream:
+                while chunk := stream.read(CHUNK):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.string())], ["path", "length", "sha256"])
+
+
+def assets(spark: SparkSession, path: str, with_content: bool = False, whole: int = WHOLE_FILE) -> DataFrame:
+    """Files with their size, and with_content their sha256; Spark lists no empty ones.
+
+    A task holds a file of ``whole`` bytes or a chunk of a larger one.  Larger files need a store that Arrow opens by its URI
+    (local, HDFS, S3, GCS); what only Spark's own readers reach stays below ``whole``.
+    """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.element_at(F.split("path", "/"), -1).alias("name")
-    return df.select("path", name, F.col("length").alias("size"), *([F.sha2("content", 256).alias("sha256")] if with_content else []))
+    if not with_content:
+        return df.select("path", name, F.col("length").alias("size"))
+    small = df.where(F.col("length") <= whole).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    # a path's scheme decides the file system; Spark writes local ones as file:/x
+    large = df.where(F.col("length") > whole).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length")
+    large = large.repartition("path").mapInArrow(_digests, "path string, length long, sha256 string")
+    return small.unionByName(large).select("path", name, F.col("length").alias("size"), "sha256")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.decode import scalar_columns
+from ..functions.geometry import curve
 
 
 def variants(components: DataFrame) -> DataFrame:
@@ -14,15 +15,26 @@ def variants(components: DataFrame) -> DataFrame:
     return components.withColumn("v", F.explode(both)).select("*", "v.variant", "v.geometry").drop("v", "polygon", "display")
 
 
-def write_extracts(components: DataFrame, path: str) -> None:
-    """Extracts by region and variant, scalar columns only, sorted so that bbox statistics prune row groups.
+#: Bytes of an extract's file before compression, about, and of its row groups.
+FILE_BYTES = 256 << 20
+GROUP_BYTES = 16 << 20
 
-    Rows are dealt by region and a place on the map, so a region of a third of all rows is many files.
+
+def write_extracts(components: DataFrame, path: str, file_bytes: int = FILE_BYTES, group_bytes: int = GROUP_BYTES) -> None:
+    """Extracts by region and variant, scalar columns only, as files of about equal size.
+
+    Rows stand along a curve that keeps close places together, so a file, and a row group of it, covers a small box, and its
+    statistics prune in both directions; a region of a third of all rows is many files.  components is read twice: for its size,
+    which needs two columns, and for writing.
     """
     flat = scalar_columns(variants(components))
     flat = flat.withColumns({"minx": F.col("bbox.minx"), "miny": F.col("bbox.miny"), "maxx": F.col("bbox.maxx"), "maxy": F.col("bbox.maxy")}).drop("bbox")
-    n = int(components.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flat.repartitionByRange(n, "region", "variant", "minx", "miny").sortWithinPartitions("region", "variant", "minx", "miny").write.mode("overwrite").partitionBy("region", "variant").parquet(path)
+    points = lambda c: F.coalesce(F.aggregate(c, F.lit(0), lambda s, r: s + F.size(r)), F.lit(0))
+    size = components.agg(F.sum(points(F.col("polygon")) * 24 + points(F.col("display")) * 24 + 2048)).head()[0] or 0
+    along = curve((F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2)
+    order = ["region", "variant", "__along"]
+    dealt = flat.withColumn("__along", along).repartitionByRange(max(1, -(-size // file_bytes)), *order).sortWithinPartitions(*order).drop("__along")
+    dealt.write.mode("overwrite").option("parquet.block.size", group_bytes).partitionBy("region", "variant").parquet(path)
 
 
 def write_shards(lines: DataFrame, path: str) -> None:
