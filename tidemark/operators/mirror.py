@@ -1,19 +1,42 @@
-"""The mirror: lines of features by shard, an index, parked sites and a state, in versioned snapshots."""
+"""The mirror: lines of features by shard, an index, parked and removed sites and a state, in versioned snapshots."""
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import json
+import os
 import uuid
-from urllib.parse import quote
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINES = "shard string, seq bigint, site_id string, props string, geometry string"
-INDEX = "site_id string, v_major double, v_minor double, last_update date"
+INDEX = "site_id string, v_major double, v_minor double, last_update date, shards array<string>"
 PARKED = "site_id string, v_major double, v_minor double"
+GONE = "site_id string, last_update date"
+TABLES = {"lines": LINES, "index": INDEX, "parked": PARKED, "gone": GONE}
 STATE = "version bigint, schema string, dataset_date date, download_date date, last_sweep_date date, last_full_census_date date, site_count bigint"
-MORE = ", data_version string"
+MORE = ", data_version string, buckets int, mark date"
+
+
+#: The shard of lines that a delta adds.
+UPDATES = "updates"
+
+
+def changes(refreshed: DataFrame, removed: DataFrame) -> DataFrame:
+    """(site_id, hit, new_props, new_geometry, gone): one row an id of a delta; refreshed has one row an id."""
+    r = refreshed.select("site_id", F.lit(True).alias("hit"), F.col("props").alias("new_props"), F.col("geometry").alias("new_geometry"))
+    gone = removed.select("site_id").distinct().withColumn("gone", F.lit(True))
+    return r.join(gone, "site_id", "full_outer").where("site_id <> ''")
+
+
+def apply_changes(lines: DataFrame, delta: DataFrame) -> DataFrame:
+    """lines after a delta of ``changes``, in one join: bucketed like the delta, the lines are not shuffled."""
+    j = lines.join(delta, "site_id", "left").where("gone is null")
+    return j.select("shard", "seq", "site_id", F.when(F.col("hit"), F.col("new_props")).otherwise(F.col("props")).alias("props"), F.coalesce("new_geometry", "geometry").alias("geometry"), F.when(F.col("hit"), "update").otherwise("keep").alias("action"))
 
 
 def rewrite_lines(lines: DataFrame, refreshed: DataFrame, removed: DataFrame) -> DataFrame:
@@ -22,11 +45,7 @@ def rewrite_lines(lines: DataFrame, refreshed: DataFrame, removed: DataFrame) ->
     A refreshed record without a geometry keeps the old one; lines without an id always stay; every line of
     an id is kept.  refreshed has one row an id: site_id, props, geometry.
     """
-    r = refreshed.select("site_id", F.col("props").alias("new_props"), F.col("geometry").alias("new_geometry"), F.lit(1).alias("hit"))
-    known = F.col("site_id") != ""
-    j = lines.where(known).join(removed.select("site_id").distinct(), "site_id", "left_anti").join(r, "site_id", "left")
-    out = j.select("shard", "seq", "site_id", F.when(F.col("hit") == 1, F.col("new_props")).otherwise(F.col("props")).alias("props"), F.coalesce("new_geometry", "geometry").alias("geometry"), F.when(F.col("hit") == 1, "update").otherwise("keep").alias("action"))
-    return out.unionByName(lines.where(~known | F.col("site_id").isNull()).withColumn("action", F.lit("keep")))
+    return apply_changes(lines, changes(refreshed, removed))
 
 
 def consumed(lines: DataFrame, refreshed: DataFrame, removed: DataFrame) -> DataFrame:
@@ -43,12 +62,19 @@ def new_lines(refreshed: DataFrame, used: DataFrame, shard: str = "updates") ->
 def patch_stores(index: DataFrame, parked: DataFrame, removed: DataFrame, refreshed: DataFrame, used: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Index and parked store after a delta; rows it does not touch are carried forward.
 
-    A refreshed id with a geometry or an updated line is indexed, else parked, with the entry's version and date.
+    A refreshed id with a geometry or an updated line is indexed, else parked, with the entry's version and date.  An index
+    with the shards of each id's lines keeps them; an id without lines gets those of ``new_lines``.
     """
     touched = removed.select("site_id").union(refreshed.select("site_id")).distinct()
     new = refreshed.select("site_id", F.col("geometry").isNotNull().alias("shape")).join(used.select("site_id", F.lit(True).alias("used")), "site_id", "left").join(entries.select("site_id", "v_major", "v_minor", "last_update"), "site_id", "left")
     shown = F.col("shape") | F.coalesce("used", F.lit(False))
-    idx = index.join(touched, "site_id", "left_anti").select("site_id", "v_major", "v_minor", "last_update").unionByName(new.where(shown).select("site_id", "v_major", "v_minor", "last_update"))
+    cols = ["site_id", "v_major", "v_minor", "last_update"]
+    fresh = new.where(shown)
+    if "shards" in index.columns:
+        cols.append("shards")
+        fresh = fresh.join(index.select("site_id", F.col("shards").alias("held")), "site_id", "left")
+        fresh = fresh.withColumn("shards", F.when(F.col("used") & (F.size("held") > 0), F.col("held")).otherwise(F.array(F.lit(UPDATES))))
+    idx = index.join(touched, "site_id", "left_anti").select(*cols).unionByName(fresh.select(*cols))
     par = parked.join(touched, "site_id", "left_anti").select("site_id", "v_major", "v_minor").unionByName(new.where(~shown).select("site_id", "v_major", "v_minor"))
     return idx, par
 
@@ -71,62 +97,130 @@ def seed_state(index: DataFrame, dataset_date: str, download_date: str, version:
     return index.agg(F.count("*").alias("site_count")).withColumn("ok", ok).select(F.lit(version).cast("long").alias("version"), F.lit("mirror-state/1").alias("schema"), day.alias("dataset_date"), F.lit(download_date).cast("date").alias("download_date"), F.when(F.col("ok").isNull(), day).alias("last_sweep_date"), F.lit(None).cast("date").alias("last_full_census_date"), "site_count")
 
 
-def touched_shards(lines: DataFrame, ids: DataFrame) -> list[str]:
-    """Shards that hold a line of some id; one row a shard reaches the driver."""
-    return sorted(r[0] for r in lines.join(ids.select("site_id").distinct(), "site_id", "left_semi").select("shard").distinct().collect())
+def touched_shards(index: DataFrame, ids: DataFrame) -> list[str]:
+    """Shards that hold a line of some id, by the index; one row a shard reaches the driver."""
+    held = index.join(ids.select("site_id").distinct(), "site_id", "left_semi").select(F.explode("shards").alias("shard"))
+    return sorted(r[0] for r in held.distinct().collect())
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed the version first; nothing of it is lost, and nothing of this run is in the mirror."""
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its whole content, unless there is one; whether that was done.
+
+    A link on a local or mounted disk, elsewhere a rename, which Hadoop's file systems refuse onto a file that exists.
+    """
+    at = urlparse(path)
+    if at.scheme in ("", "file"):
+        target = Path(at.path)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        draft = target.with_name(f".{uuid.uuid4().hex}")
+        draft.write_text(text)
+        try:
+            os.link(draft, target)
+        except FileExistsError:
+            return False
+        finally:
+            draft.unlink()
+        return True
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    draft = hadoop(target.getParent(), f".{uuid.uuid4().hex}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    done = not fs.exists(target) and fs.rename(draft, target)
+    if not done:
+        fs.delete(draft, False)
+    return done
 
 
 class Mirror:
-    """Snapshots under one folder.  A snapshot is complete once its row is in the state table, written last,
+    """Snapshots under one folder, in a log of versions.
 
-    so a run that dies leaves the mirror as it was, and readers never see half of one.  Columns of the
-    state row tell which version the data are in: a quiet run adds a state row alone.  Lines are kept by shard, and each
-    version has a table of the version that every shard was last written in, so a delta rewrites the shards that it touches.
-    Versions of data have an attempt in their name: two writers never write one folder, and the last state row decides.
+    A version is a file of the log with its state; it is created whole and only if no other writer has created it, so of
+    two runs that start from one version the second fails with ``Conflict`` and can start again from what the first left.  All data
+    are written before, in folders of their own: a run that dies, or loses, leaves the mirror as it was, and readers never see half a version.
+
+    Tables are bucketed by id, all with the number of buckets of the first snapshot, so joins with a delta that is bucketed alike
+    shuffle none of them.  Lines also stand by shard, and a version lists which version wrote each shard last: a delta
+    rewrites the shards that its ids are in, which the index tells, and reads no others.  When lines are spread over
+    ``most`` versions, the next delta rewrites all.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, most: int = 16):
+        self.spark, self.root, self.most = spark, root.rstrip("/"), most
+        self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def state(self) -> dict:
-        rows = self.spark.read.schema(STATE + MORE).parquet(f"{self.root}/state")
+        rows = self.spark.read.schema(STATE + MORE).json(f"{self.root}/log")
         return rows.orderBy(F.desc("version")).limit(1).collect()[0].asDict()
 
-    def table(self, name: str, version: str) -> DataFrame:
-        return self.spark.read.schema({"index": INDEX, "parked": PARKED}[name]).parquet(f"{self.root}/{name}/version={version}")
-
-    def shards(self) -> dict[str, str]:
+    def _name(self, kind: str, version: str) -> str:
+        return f"tidemark_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}_{kind}_{version.replace('-', '_')}"
+
+    def bucketed(self, kind: str, version: str, df: DataFrame, buckets: int) -> DataFrame:
+        """df as a table bucketed by id; lines by shard too."""
+        write = df.repartition(buckets, "site_id").write.bucketBy(buckets, "site_id").sortBy("site_id").option("path", f"{self.root}/{kind}/version={version}")
+        (write.partitionBy("shard") if kind == "lines" else write).saveAsTable(self._name(kind, version))
+        return self.spark.table(self._name(kind, version))
+
+    def table(self, kind: str, version: str, buckets: int) -> DataFrame:
+        name = self._name(kind, version)
+        if not self.spark.catalog.tableExists(name):
+            # another session wrote it
+            parts = "PARTITIONED BY (shard)" if kind == "lines" else ""
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TABLES[kind]}) USING parquet {parts} CLUSTERED BY (site_id) SORTED BY (site_id) INTO {buckets} BUCKETS LOCATION '{self.root}/{kind}/version={version}'")
+            if parts:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return self.spark.table(name)
+
+    def shards(self, state: dict | None = None) -> dict[str, str]:
         """The version of each shard's lines; a row a shard."""
-        rows = self.spark.read.schema("shard string, written string").parquet(f"{self.root}/shards/version={self.state()['data_version']}")
+        rows = self.spark.read.schema("shard string, written string").parquet(f"{self.root}/shards/version={(state or self.state())['data_version']}")
         return {r["shard"]: r["written"] for r in rows.collect()}
 
-    def lines(self, only: list[str] | None = None) -> DataFrame:
-        """Lines of all shards, or of some."""
-        found = [self.spark.read.schema(LINES).parquet(f"{self.root}/lines/version={v}/shard={quote(s)}").withColumn("shard", F.lit(s)) for s, v in self.shards().items() if only is None or s in only]
+    def lines(self, only: list[str] | None = None, state: dict | None = None) -> DataFrame:
+        """Lines of all shards, or of some: a scan for each version that wrote one of them."""
+        state = state or self.state()
+        by: dict[str, list[str]] = {}
+        for s, v in self.shards(state).items():
+            if only is None or s in only:
+                by.setdefault(v, []).append(s)
+        found = [self.table("lines", v, state["buckets"]).where(F.col("shard").isin(names)) for v, names in sorted(by.items())]
         return functools.reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], LINES)
 
+    def stores(self, state: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """index, parked and gone."""
+        state = state or self.state()
+        return tuple(self.table(k, state["data_version"], state["buckets"]) for k in ("index", "parked", "gone"))
+
     def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        v = self.state()["data_version"]
-        return self.lines(), self.table("index", v), self.table("parked", v)
+        state = self.state()
+        return self.lines(state=state), *self.stores(state)[:2]
 
-    def commit(self, state: dict, lines: DataFrame | None = None, index: DataFrame | None = None, parked: DataFrame | None = None, kept: dict[str, str] | None = None) -> None:
-        """Write a state row; with data, these first.  lines has whole shards; kept: the versions of all others."""
+    def commit(self, state: dict, lines: DataFrame | None = None, index: DataFrame | None = None, parked: DataFrame | None = None, gone: DataFrame | None = None, kept: dict[str, str] | None = None) -> None:
+        """Make state its version's; with data, these are written first.  lines has whole shards; kept: the versions of all others."""
+        state = {"buckets": self._buckets} | {k: v for k, v in state.items() if v is not None}
         if lines is not None:
             v = f"{state['version']}-{uuid.uuid4().hex[:8]}"
-            cols = [c.split()[0] for c in LINES.split(", ")]
-            path = f"{self.root}/lines/version={v}"
-            lines.select(*cols).repartitionByRange("shard", "seq").sortWithinPartitions("shard", "seq").write.partitionBy("shard").parquet(path)
-            new = self.spark.read.schema(LINES).parquet(path).select("shard").distinct().withColumn("written", F.lit(v))
+            n = state["buckets"]
+            new = self.bucketed("lines", v, lines.select(*(c.split()[0] for c in LINES.split(", "))), n).select("shard").distinct().withColumn("written", F.lit(v))
             old = self.spark.createDataFrame(sorted((kept or {}).items()), "shard string, written string")
             new.unionByName(old).coalesce(1).write.parquet(f"{self.root}/shards/version={v}")
-            for name, df in (("index", index), ("parked", parked)):
-                schema = {"index": INDEX, "parked": PARKED}[name]
-                df.select(*(c.split()[0] for c in schema.split(", "))).write.parquet(f"{self.root}/{name}/version={v}")
-            state = state | {"data_version": v, "site_count": self.table("index", v).count()}
-        self.spark.createDataFrame([state], STATE + MORE).coalesce(1).write.mode("append").parquet(f"{self.root}/state")
+            for kind, df in (("index", index), ("parked", parked), ("gone", gone if gone is not None else self.spark.createDataFrame([], GONE))):
+                self.bucketed(kind, v, df.select(*(c.split()[0] for c in TABLES[kind].split(", "))), n)
+            state |= {"data_version": v, "site_count": self.table("index", v, n).count()}
+        if not publish(self.spark, f"{self.root}/log/{state['version']:020d}.json", json.dumps(state, default=str)):
+            raise Conflict(f"version {state['version']} of {self.root} is another writer's")
 
     def seed(self, lines: DataFrame, index: DataFrame, dataset_date: str, download_date: str) -> None:
         row = seed_state(index, dataset_date, download_date).collect()[0].asDict()
+        held = lines.groupBy("site_id").agg(F.sort_array(F.collect_set("shard")).alias("shards"))
+        index = index.join(held, "site_id", "left").withColumn("shards", F.coalesce("shards", F.array().cast("array<string>")))
         self.commit(row, lines, index, self.spark.createDataFrame([], PARKED))
 
     def log(self, summary: DataFrame) -> None:

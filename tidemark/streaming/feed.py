@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog as C
@@ -14,63 +14,118 @@ from ..sources import writers as W
 from ..sources.readers import PAGE, catalog, require_complete, site_rows, window
 
 
-def _apply(mirror: M.Mirror, delta: DataFrame, entries: DataFrame, details: DataFrame, today: dt.date, census: bool) -> dict:
-    """Apply a classified delta; details: site_id, props, geometry of any sites.  Returns sizes.
+def _once(details: DataFrame) -> DataFrame:
+    """One detail record an id, the same one in every replay: with a geometry rather than without, then the greatest text."""
+    best = F.max(F.struct(F.col("geometry").isNotNull().alias("shape"), "props", "geometry")).alias("d")
+    return details.groupBy("site_id").agg(best).select("site_id", "d.props", "d.geometry")
 
-    The delta is written once, so that gates, writes and the summary see the same rows.  Only shards that it touches are rewritten.
+
+def _apply(mirror: M.Mirror, state: dict, delta: DataFrame, entries: DataFrame, details: DataFrame, today: dt.date, gate: Column, rows: DataFrame, catalog_size: int | None = None) -> dict:
+    """Apply a classified delta to the version of state; details: site_id, props, geometry of any sites.  Returns sizes.
+
+    The delta is written once, and its sizes are observed in that pass: gates, writes and the summary see the same rows, and
+    a gate that refuses leaves the mirror as it is.  Only shards that the delta touches are read and rewritten.
     """
-    spark, state = mirror.spark, mirror.state()
-    index, stored = (mirror.table(n, state["data_version"]) for n in ("index", "parked"))
+    spark = mirror.spark
+    index, stored, gone = mirror.stores(state)
     parked = C.versioned_parked(stored, entries)
+    census = catalog_size is not None
     before = str(state["dataset_date"])
-    state |= {"version": state["version"] + 1, "last_sweep_date": today}
-    if census:
-        state["last_full_census_date"] = today
+    state = state | {"version": state["version"] + 1, "last_sweep_date": today} | ({"last_full_census_date": today} if census else {})
     split = C.split_added(delta.where("kind = 'added'"), entries, parked)
-    path = f"{mirror.root}/deltas/{state['version']}-{uuid.uuid4().hex[:8]}"
-    delta.join(split.where("skipped"), "site_id", "left_anti").select("site_id", "kind").write.parquet(path)
-    delta = spark.read.schema("site_id string, kind string").parquet(path)
-    summed = C.delta_sizes(delta, index)
-    sizes = summed.head().asDict()
-    if not sum(sizes[k] for k in ("added", "changed", "removed", "refetch")):
+    attempt = f"{state['version']}-{uuid.uuid4().hex[:8]}"
+    kinds = ("added", "changed", "removed", "refetch")
+    count = [F.count_if(F.col("kind") == k).alias(k) for k in kinds]
+    judged, left = Observation(), Observation()
+    path = f"{mirror.root}/deltas/{attempt}"
+    delta.observe(judged, *count).join(split.where("skipped"), "site_id", "left_anti").select("site_id", "kind").observe(left, *count).write.parquet(path)
+    sizes = left.get | {"mirror_size": state["site_count"]}
+    one = lambda x: spark.createDataFrame([x | {"mirror_size": state["site_count"], "catalog_size": catalog_size or 0}])
+    C.require(one(judged.get).select(gate.alias("fault")))
+    newest = rows.agg(F.max("last_update")).head()[0]
+    state["mark"] = max((d for d in (state.get("mark"), newest) if d), default=None)
+    summed = one(left.get)
+    if not sum(sizes[k] for k in kinds):
         mirror.commit(state)  # quiet: the data stay, the high-water mark moves
         mirror.log(W.run_summary(summed, str(today), before))
         return sizes
+    delta = spark.read.schema("site_id string, kind string").parquet(path)
     removed = delta.where("kind = 'removed'").select("site_id")
     wanted = delta.where("kind <> 'removed'").select("site_id")
-    refreshed = details.join(wanted, "site_id", "left_semi").dropDuplicates(["site_id"])
-    held = mirror.shards()
-    touched = M.touched_shards(mirror.lines(), delta)
-    some = mirror.lines(sorted({*touched, "updates"} & set(held)))
-    used = M.consumed(some, refreshed, removed)
-    after = M.rewrite_lines(some, refreshed, removed).unionByName(M.new_lines(refreshed, used))
+    refreshed = _once(details.join(wanted, "site_id", "left_semi"))
+    held = mirror.shards(state)
+    crowded = len(set(held.values())) >= mirror.most
+    touched = list(held) if crowded else sorted({*M.touched_shards(index, delta), M.UPDATES} & set(held))
+    moved = mirror.bucketed("moved", attempt, M.changes(refreshed, removed), state["buckets"])
+    refreshed = moved.where("hit").select("site_id", F.col("new_props").alias("props"), F.col("new_geometry").alias("geometry"))
+    had = index.where(F.size("shards") > 0).select("site_id")
+    used = M.consumed(had, refreshed, removed)
+    after = M.apply_changes(mirror.lines(touched, state), moved).unionByName(M.new_lines(refreshed, used))
     idx, par = M.patch_stores(index, parked, removed, refreshed, used, entries)
-    mirror.commit(state | {"dataset_date": today}, after, idx, par, {s: v for s, v in held.items() if s not in touched and s != "updates"})
+    # an id that went keeps its date, so that a late row cannot bring it back; ids that are back lose it
+    dated = rows.groupBy("site_id").agg(F.max("last_update").alias("last_update"))
+    late = gone.join(moved, "site_id", "left_anti").unionByName(removed.join(dated, "site_id").select("site_id", "last_update").where("last_update is not null"))
+    mirror.commit(state | {"dataset_date": today}, after, idx, par, late, {s: v for s, v in held.items() if s not in touched})
     mirror.log(W.run_summary(summed, str(today), before))
     return sizes
 
 
-def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: dt.date, caps: dict | None = None) -> dict:
-    """One increment, within caps (of delta_fault).  Applying a window twice gives the same mirror, so a replayed batch is harmless."""
-    C.require(C.flag_fault(rows))
-    _, index, parked = mirror.tables()
-    active, gone = C.split_window(rows)
-    drop = C.removals(index, parked, gone, active).withColumn("kind", F.lit("removed"))
-    delta = C.classify(index, parked, active).unionByName(drop)
-    C.require(C.delta_sizes(delta, index).select(C.delta_fault(**(caps or {})).alias("fault")))
-    return _apply(mirror, delta, active, details, today, census=False)
+def _again(run, attempts: int) -> dict:
+    """run, from the mirror's new state if another writer was first."""
+    for i in range(attempts):
+        try:
+            return run()
+        except M.Conflict:
+            if i + 1 == attempts:
+                raise
 
 
-def apply_census(mirror: M.Mirror, catalog: DataFrame, details: DataFrame, today: dt.date, rows: DataFrame | None = None) -> dict:
-    """A full comparison with the catalogue, with a window's corrections if given."""
-    _, index, parked = mirror.tables()
-    diff = C.census_diff(index, catalog)
-    gate = C.delta_sizes(diff, index).crossJoin(catalog.agg(F.count("*").alias("catalog_size")))
-    C.require(gate.select(C.census_fault().alias("fault")))
-    if rows is not None:
+def newest_only(mirror: M.Mirror, rows: DataFrame, lateness: int) -> DataFrame:
+    """rows without those that an id's newer row, or its removal, has overtaken, and those older than the mark by more than lateness days.
+
+    Pages may come in any order: an id's date in the index, or of its removal, is what a row has to reach.
+    """
+    state = mirror.state()
+    index, _, gone = mirror.stores(state)
+    if state["mark"]:
+        rows = rows.where(F.col("last_update") >= F.lit(state["mark"]) - F.lit(lateness))
+    known = index.select("site_id", F.col("last_update").alias("known")).unionByName(gone.select("site_id", F.col("last_update").alias("known"))).where("known is not null")
+    return rows.join(known, "site_id", "left").where("known is null or last_update >= known").drop("known")
+
+
+def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: dt.date, caps: dict | None = None, lateness: int | None = None, attempts: int = 3) -> dict:
+    """One increment, within caps (of delta_fault).  Applying a window twice gives the same mirror, so a replayed batch is harmless.
+
+    lateness: rows may be older than what the mirror holds, see ``newest_only``.
+    """
+
+    def run() -> dict:
+        live = rows if lateness is None else newest_only(mirror, rows, lateness)
         C.require(C.flag_fault(rows))
-        diff = C.fold_census(diff, index, parked, catalog, C.split_window(rows)[0])
-    return _apply(mirror, diff, catalog.where(~F.col("hs")).select("site_id", "v_major", "v_minor", "last_update"), details, today, census=True)
+        state = mirror.state()
+        index, parked, _ = mirror.stores(state)
+        active, gone = C.split_window(live)
+        drop = C.removals(index, parked, gone, active).withColumn("kind", F.lit("removed"))
+        delta = C.classify(index, parked, active).unionByName(drop)
+        return _apply(mirror, state, delta, active, details, today, C.delta_fault(**(caps or {})), live)
+
+    return _again(run, attempts)
+
+
+def apply_census(mirror: M.Mirror, catalog: DataFrame, details: DataFrame, today: dt.date, rows: DataFrame | None = None, attempts: int = 3) -> dict:
+    """A full comparison with the catalogue, with a window's corrections if given."""
+
+    def run() -> dict:
+        state = mirror.state()
+        index, parked, _ = mirror.stores(state)
+        listed = catalog.where(~F.col("hs")).select("site_id", "v_major", "v_minor", "last_update")
+        diff = C.census_diff(index, catalog)
+        if rows is not None:
+            C.require(C.flag_fault(rows))
+            diff = C.fold_census(diff, index, parked, catalog, C.split_window(rows)[0])
+        return _apply(mirror, state, diff, listed, details, today, C.census_fault(), catalog.where(~F.col("hs")), catalog.count())
+
+    return _again(run, attempts)
 
 
 def sync(mirror: M.Mirror, catalog: DataFrame, rows: DataFrame, details: DataFrame, today: dt.date, forced: bool = False) -> dict:
@@ -90,16 +145,23 @@ def sync_pages(mirror: M.Mirror, catalog_pages: DataFrame, window_pages: DataFra
     return sync(mirror, catalog(site_rows(catalog_pages)), site_rows(window_pages), details, today, forced)
 
 
-def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: DataFrame, today: dt.date, caps: dict | None = None):
-    """Apply landed pages of change windows as they come, then stop.
+#: Days that a streamed row may be older than the newest one applied.
+LATENESS = 30
+
+
+def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: DataFrame, today: dt.date, caps: dict | None = None, lateness: int = LATENESS, files: int | None = None):
+    """Apply landed pages of change windows as they come, ``files`` at once, then stop.
 
-    All state is in the mirror, so a stream that starts again from its checkpoint goes on where it was.
+    All state is in the mirror: a stream that starts again from its checkpoint goes on where it was.  The mark in the mirror's state,
+    the newest date applied, tells which rows are too old to count, and each id's own date which are overtaken, so pages may come
+    late or out of order.
     """
 
     def batch(df: DataFrame, _: int) -> None:
         rows = site_rows(df)
         if not rows.isEmpty():
-            apply_window(mirror, rows, details, today, caps)
+            apply_window(mirror, rows, details, today, caps, lateness)
 
-    feed = spark.readStream.schema(PAGE).json(landing)
+    feed = spark.readStream.schema(PAGE)
+    feed = (feed.option("maxFilesPerTrigger", files) if files else feed).json(landing)
     return feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
