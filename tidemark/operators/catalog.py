@@ -109,6 +109,7 @@ def newest_update(catalog: DataFrame) -> DataFrame:
     return catalog.where(~F.col("hs")).agg(F.max("last_update").alias("newest"))
 
 
-def wants_census(last_sweep: Column, last_census: Column, today: Column, forced: bool = False, config: Config = DEFAULT) -> Column:
+def wants_census(last_sweep: Column, last_census: Column, today: Column, forced: Column | bool = False, config: Config = DEFAULT) -> Column:
     """Forced, without a baseline, with one over 60 days old, or with the last census over 30 days ago."""
-    return F.lit(forced) | last_sweep.isNull() | (days_between(last_sweep, today) > config.baseline_days) | (days_between(last_census, today) > config.census_days)
+    forced = F.lit(forced) if isinstance(forced, bool) else forced
+    return forced | last_sweep.isNull() | (days_between(last_sweep, today) > config.baseline_days) | (days_between(last_census, today) > config.census_days)

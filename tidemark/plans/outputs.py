@@ -5,24 +5,24 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import decode as D
 from ..functions import geometry as G
-from ..functions.fixed import CODED, IDENTITY
+from ..functions.fixed import CODED, HIGH_SEAS, IDENTITY
 from ..operators import adapt as A
 from ..operators import catalog as C
 from ..operators import exclude as X
 from ..operators import mirror as M
 from ..operators import regions as R
-from ..session import shared_dir
+from ..session import kept, shared_dir
 from ..sources import readers as S
 from ..sources import writers as W
 from ..streaming import feed
 from . import pipelines as P
 from . import views as V
-from .catalogue import _CAT, _COMP, _DIFF, _IDX, _JUDGED, _KIND, _META, _SUMMED, _TALLY, _coarse_label, query
+from .catalogue import _CAT, _COMP, _DATES, _DIFF, _IDX, _JUDGED, _KIND, _META, _SUMMED, _TALLY, _coarse_label, _dated, query
 
 TODAY = dt.date(2026, 6, 1)
 RELEASE = P.Release("v1", "2026-05-28", "2026-06-01", "tables", "open", "cite", "no warranty", "thanks")
@@ -83,8 +83,8 @@ def collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "shards")
     W.write_shards(feature_lines(spark, sf_dir), path)
-    lines = spark.read.text(path).select("shard", F.get_json_object("value", "$.properties.SITE_ID").alias("site_id"))
-    return lines.groupBy("shard").agg(F.count("*").alias("lines"), F.count_if(F.col("site_id") != "").alias("named"))
+    lines = S.shards(spark, path, spark.sparkContext.defaultParallelism)
+    return lines.groupBy(F.col("_shard").alias("shard")).agg(F.count("*").alias("lines"), F.count_if(F.col("site_id") != "").alias("named"))
 
 
 _BUILT = f"{_COMP}, n AS (SELECT b.*, r.* EXCLUDE (k) FROM b JOIN r USING (k))"
@@ -120,8 +120,8 @@ def component_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts, _ = P.normalize(landed(spark, sf_dir))
     path = _folder(spark, "components")
     W.write_components(parts.select("siteId", "polygon", "display", "bbox", "region", "component_index"), path)
-    found = [S.components(spark, f"{path}/variant={v}", "siteId string").withColumn("variant", F.lit(v)) for v in ("full", "display")]
-    return found[0].unionByName(found[1]).groupBy("region", "variant").agg(F.count("*").alias("n"), F.min("bbox.minx").alias("minx"), F.max("bbox.maxy").alias("maxy"))
+    both = S.components(spark, [f"{path}/variant={v}" for v in ("full", "display")], "siteId string")
+    return both.withColumn("variant", F.regexp_extract(F.input_file_name(), "variant=([^/]+)/", 1)).groupBy("region", "variant").agg(F.count("*").alias("n"), F.min("bbox.minx").alias("minx"), F.max("bbox.maxy").alias("maxy"))
 
 
 @query(f"WITH {_META} SELECT region, feature_count AS n FROM meta")
@@ -194,8 +194,7 @@ def status_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = V.orders(spark, sf_dir).selectExpr("o_orderkey AS k", "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 90 AS INT)) AS today", "CASE WHEN o_orderkey % 41 <> 0 THEN CAST(o_orderdate AS DATE) END AS sweep")
     census = F.expr("date_sub(today, CAST(k % 43 AS INT))")
-    due = C.wants_census(F.col("sweep"), census, F.col("today"))
-    return o.select("k", ((F.col("k") % 97 == 0) | due).alias("census"))
+    return o.select("k", C.wants_census(F.col("sweep"), census, F.col("today"), F.col("k") % 97 == 0).alias("census"))
 
 
 @query(f"WITH {_DIFF}, s AS (SELECT count(*) FILTER (kind = 'added') AS a, count(*) FILTER (kind = 'changed') AS c, count(*) FILTER (kind = 'removed') AS r FROM diff) SELECT a + c + r > 0 AS changed, a AS added, c AS updated, r AS removed, CASE WHEN a + c + r > 0 THEN DATE '2026-06-01' ELSE DATE '2026-05-28' END AS dataset_date, 'v2026.06.01' AS version_tag FROM s")
@@ -244,39 +243,107 @@ def sync_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(*cols, F.lit("index").alias("store")).unionByName(parked.select(*cols, F.lit("parked").alias("store")))
 
 
-def land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """The event table as pages of 500 change rows each, written as JSON."""
-    path = _folder(spark, "pages")
+def land_pages(spark: SparkSession, sf_dir: str, path: str | None = None, part: str = "true") -> str:
+    """The event table as pages of 500 change rows each, those of a part (of page and pages), added as JSON to path."""
+    path = path or _folder(spark, "pages")
     e = S.dealt(spark.read.parquet(f"{sf_dir}/events.parquet"))
     low = e.agg(F.min("event_id")).head()[0] or 0
     row = F.struct(F.col("user_id").cast("string").alias("ps_id"), F.expr("CASE WHEN event_type = 'signup' THEN 'High Seas / International' ELSE 'Fiji' END AS country"), F.expr("CASE WHEN event_type = 'error' THEN 'Removed' ELSE 'active' END AS status"), F.expr("CAST(event_id % 5 AS STRING) AS site_major_version"), F.date_format("ts", "yyyy-MM-dd").alias("last_update"))
-    page = e.select(F.expr(f"CAST(floor((event_id - {low}) / 500) + 1 AS INT) AS page"), F.struct("event_id", row.alias("r")).alias("x"))
-    page.groupBy("page").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["r"]).alias("sites")).write.json(path)  # 500 rows a page
+    pages = (e.agg(F.max("event_id")).head()[0] - low) // 500 + 1
+    page = e.select(F.expr(f"CAST(floor((event_id - {low}) / 500) + 1 AS INT) AS page"), F.struct("event_id", row.alias("r")).alias("x")).withColumn("pages", F.lit(pages)).where(part)
+    page.groupBy("page").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["r"]).alias("sites")).write.mode("append").json(path)  # 500 rows a page
     return path
 
 
-_STREAM = """u AS (SELECT DISTINCT user_id, CAST(user_id AS VARCHAR) AS site_id FROM events),
-ev AS (SELECT user_id, CAST(user_id AS VARCHAR) AS site_id, event_type IN ('error', 'signup') AS gone, CAST(event_id % 5 AS DOUBLE) AS v_major, event_id FROM events),
-act AS (SELECT user_id, site_id, v_major FROM ev WHERE NOT gone QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY event_id DESC) = 1),
-rem AS (SELECT DISTINCT user_id, site_id FROM ev WHERE gone AND site_id NOT IN (SELECT site_id FROM act)),
+DETAIL = "ps_id string, site_id string, total_marine_area string, site_boundary struct<type:string,coordinates:string>"
+
+
+def land_details(spark: SparkSession, sites: DataFrame) -> str:
+    """Detail records of sites (site_id, shape: whether the boundary is published), written as JSON."""
+    path = _folder(spark, "details")
+    boundary = F.struct(F.when(F.col("shape"), "Polygon").otherwise("Point").alias("type"), F.when(F.col("shape"), "[[[1,2,0],[2,2,0],[2,3,0],[1,2,0]]]").otherwise("[1,2]").alias("coordinates"))
+    sites.select(F.col("site_id").alias("ps_id"), F.lit("1.5").alias("total_marine_area"), boundary.alias("site_boundary")).write.json(path)
+    return path
+
+
+_USERS = """u AS (SELECT DISTINCT user_id, CAST(user_id AS VARCHAR) AS site_id FROM events),
+lo AS (SELECT min(event_id) AS low, (max(event_id) - min(event_id)) // 500 + 1 AS pages FROM events),
+ev AS (SELECT user_id, CAST(user_id AS VARCHAR) AS site_id, event_type IN ('error', 'signup') AS gone, CAST(event_id % 5 AS DOUBLE) AS v_major, event_id, CASE WHEN (event_id - low) // 500 + 1 <= pages // 2 THEN 1 ELSE 2 END AS turn FROM events, lo),
+act AS (SELECT turn, user_id, site_id, v_major FROM ev WHERE NOT gone QUALIFY row_number() OVER (PARTITION BY turn, site_id ORDER BY event_id DESC) = 1),
+rem AS (SELECT DISTINCT turn, site_id FROM ev WHERE gone AND NOT EXISTS (SELECT 1 FROM act WHERE act.turn = ev.turn AND act.site_id = ev.site_id)),
 rf AS (SELECT * FROM act WHERE user_id % 7 <> 0)"""
 
 
 @query(
-    f"""WITH {_STREAM} SELECT site_id, CAST(1 AS DOUBLE) AS v_major, 'index' AS store FROM u WHERE user_id % 3 <> 0 AND site_id NOT IN (SELECT site_id FROM rem) AND site_id NOT IN (SELECT site_id FROM rf)
-UNION ALL SELECT site_id, v_major, CASE WHEN user_id % 5 <> 0 OR user_id % 3 <> 0 THEN 'index' ELSE 'parked' END FROM rf"""
+    f"""WITH {_USERS}, one AS (SELECT user_id, site_id, CAST(1 AS DOUBLE) AS v_major, 'index' AS store FROM u WHERE user_id % 3 <> 0 AND site_id NOT IN (SELECT site_id FROM rem WHERE turn = 1) AND site_id NOT IN (SELECT site_id FROM rf WHERE turn = 1)
+UNION ALL SELECT user_id, site_id, v_major, CASE WHEN user_id % 5 <> 0 OR user_id % 3 <> 0 THEN 'index' ELSE 'parked' END FROM rf WHERE turn = 1)
+SELECT site_id, v_major, store FROM one WHERE site_id NOT IN (SELECT site_id FROM rem WHERE turn = 2) AND site_id NOT IN (SELECT site_id FROM rf WHERE turn = 2)
+UNION ALL SELECT site_id, v_major, CASE WHEN user_id % 5 <> 0 OR site_id IN (SELECT site_id FROM one WHERE store = 'index') THEN 'index' ELSE 'parked' END FROM rf WHERE turn = 2"""
 )
 def sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both stores of a mirror that a stream of landed pages kept current; the stream is started twice, and goes on from its checkpoint."""
+    """Both stores of a mirror that a stream kept current: half of the pages land, the stream runs and stops, the others land, it goes on from its checkpoint.
+
+    The gates are on, as wide as a feed needs that changes every site.
+    """
     root = _folder(spark, "sync")
     m = M.Mirror(spark, f"{root}/mirror")
     u = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct().withColumn("site_id", F.col("user_id").cast("string"))
     index = u.where("user_id % 3 <> 0").selectExpr("site_id", "1D AS v_major", "CAST(NULL AS DOUBLE) AS v_minor", "DATE'2020-01-01' AS last_update")
     lines = u.where("user_id % 3 <> 0").selectExpr("concat('sh', user_id % 8) AS shard", "user_id AS seq", "site_id", "'old' AS props", "'old' AS geometry")
     m.seed(lines, index, "2020-01-01", "2020-01-01")
-    details = u.where("user_id % 7 <> 0").selectExpr("site_id", "'new' AS props", "CASE WHEN user_id % 5 <> 0 THEN 'new' END AS geometry")
-    pages = land_pages(spark, sf_dir)
-    for _ in range(2):
-        feed.stream_windows(spark, pages, f"{root}/checkpoint", m, details, TODAY, {"removed_abs": 1 << 60, "removed_ratio": 1.0, "delta_ratio": 1e9}).awaitTermination()
+    details = feed.landed_details(spark, land_details(spark, u.where("user_id % 7 <> 0").select("site_id", (F.col("user_id") % 5 != 0).alias("shape"))), DETAIL)
+    pages = f"{root}/pages"
+    for part in ("page <= pages div 2", "page > pages div 2"):
+        land_pages(spark, sf_dir, pages, part)
+        feed.stream_windows(spark, pages, f"{root}/checkpoint", m, details, TODAY, {"removed_abs": 1 << 40, "removed_ratio": 1.0, "delta_ratio": 2.0}).awaitTermination()
     _, idx, parked = m.tables()
     return idx.select("site_id", "v_major", F.lit("index").alias("store")).unionByName(parked.select("site_id", "v_major", F.lit("parked").alias("store")))
+
+
+def paged(spark: SparkSession, rows: DataFrame, limit: int) -> DataFrame:
+    """Landed pages of ``limit`` rows (ordered by key, r), the last one shorter: rows are numbered in ranges, each range apart."""
+    n = max(1, spark.sparkContext.defaultParallelism)
+    r = kept(rows.repartitionByRange(n, "key").withColumn("range", F.spark_partition_id()), "rows")
+    sizes = dict(r.groupBy("range").count().collect())  # a row a range
+    before = {p: sum(c for q, c in sizes.items() if q < p) for p in sizes}
+    first = F.create_map(*(F.lit(x) for p in sorted(before) for x in (p, before[p]))) if before else F.create_map(F.lit(0), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("key")) - 1 + first[F.col("range")]
+    page = r.withColumn("page", (F.floor(place / limit) + 1).cast("int"))
+    path = _folder(spark, "pages")
+    page.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("key", "r"))), lambda x: x["r"]).alias("sites")).write.json(path)
+    return S.pages(spark, path)
+
+
+@query(
+    f"""WITH {_DIFF}, det AS (SELECT 'S' || o_orderkey AS site_id, o_orderkey % 9 <> 0 AS shape FROM orders),
+fold AS (SELECT cat.site_id FROM cat JOIN idx USING (site_id) WHERE NOT cat.hs AND cat.last_update >= DATE '1998-01-01' AND cat.site_id NOT IN (SELECT site_id FROM diff)),
+k AS (SELECT d.site_id, d.kind, det.shape FROM (SELECT site_id, kind FROM diff UNION ALL SELECT site_id, 'changed' FROM fold) d JOIN det USING (site_id))
+SELECT site_id, v_major, v_minor, 'index' AS store, false AS fresh FROM idx WHERE site_id NOT IN (SELECT site_id FROM k) UNION ALL SELECT k.site_id, cat.v_major, cat.v_minor, CASE WHEN k.shape OR k.kind = 'changed' THEN 'index' ELSE 'parked' END, k.shape OR k.kind = 'changed' FROM k JOIN cat ON k.site_id = cat.site_id WHERE k.kind <> 'removed'"""
+)
+def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A census end to end from what has landed: pages of the catalogue and of the change window, and details; fresh: the site's line is new."""
+    m = M.Mirror(spark, _folder(spark, "paged"))
+    index = V.index(spark, sf_dir)
+    k = F.expr("CAST(substr(site_id, 2) AS BIGINT)")
+    m.seed(index.select(F.concat(F.lit("sh"), (k % 8).cast("string")).alias("shard"), k.alias("seq"), "site_id", F.lit("old").alias("props"), F.lit("old").alias("geometry")), index, "1998-01-01", "2026-06-01")
+    text = lambda c: F.col(c).cast("int").cast("string")
+    row = F.struct(F.col("site_id").alias("ps_id"), F.when(F.col("hs"), HIGH_SEAS).otherwise("Fiji").alias("country"), F.lit("active").alias("status"), text("v_major").alias("site_major_version"), text("v_minor").alias("site_minor_version"), F.date_format("last_update", "yyyy-MM-dd").alias("last_update"))
+    rows = V.catalog_rows(spark, sf_dir)
+    catalog = paged(spark, rows.select(F.struct("page", "pos").alias("key"), row.alias("r")), 500)
+    window = paged(spark, S.catalog(rows).select(F.struct("site_id").alias("key"), row.alias("r")), 500)
+    details = land_details(spark, V.orders(spark, sf_dir).selectExpr("concat('S', o_orderkey) AS site_id", "o_orderkey % 9 <> 0 AS shape"))
+    feed.sync_pages(m, catalog, window, feed.landed_details(spark, details, DETAIL), TODAY)
+    lines, index, parked = m.tables()
+    new = lines.where("props <> 'old'").select("site_id").distinct().withColumn("fresh", F.lit(True))
+    cols = ["site_id", "v_major", "v_minor"]
+    both = index.select(*cols, F.lit("index").alias("store")).unionByName(parked.select(*cols, F.lit("parked").alias("store")))
+    return both.join(new, "site_id", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+
+
+@query(f"WITH {_DATES} SELECT page_id, coalesce(dataset_date > DATE '2024-06-15', false) AS newer FROM e")
+def freshness_of_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages against the date in the manifest of a build."""
+    parts, tallies = P.normalize(landed(spark, sf_dir))
+    release = P.Release("v2", "2024-06-15", "2024-06-16")
+    P.regional_build(parts, tallies, path := _folder(spark, "build"), release)
+    return P.freshness(_dated(spark, sf_dir), spark.read.json(f"{path}/manifest"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode as D
 from ..functions import geometry as G
+from ..functions.dates import is_newer
 from ..functions.fixed import DEFAULT, Config
 from ..operators import exclude as X
 from ..operators import manifest as MF
@@ -83,6 +84,15 @@ def regional_build(components: DataFrame, tallies: DataFrame, path: str, release
     return spark.read.json(f"{path}/manifest")
 
 
+def freshness(pages: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(page_id, newer) of pages (page_id, dataset_date): whether a page names a newer dataset than the manifest publishes.
+
+    A manifest is one row; without one everything dated is newer.
+    """
+    published = manifest.select(F.to_date("datasetDate").alias("published")).agg(F.max("published").alias("published"))
+    return pages.join(F.broadcast(published)).select("page_id", is_newer(F.col("dataset_date"), F.col("published")).alias("newer"))
+
+
 def seed_mirror(mirror: M.Mirror, lines: DataFrame, dataset_date: str, download_date: str, config: Config = DEFAULT) -> DataFrame:
     """The first snapshot from lines of features (partition, seq, site_id, props, geometry, v_major, v_minor, last_update).
 

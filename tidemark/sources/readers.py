@@ -82,11 +82,13 @@ def ndjson(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Compressed shards of features: _shard, _seq (place in the shard), SITE_ID and the line itself.
+    """Compressed shards of features: _shard (by folder or file name), _seq (place in the shard), SITE_ID and the line itself.
 
     gzip does not split, so the lines are dealt out after the read.
     """
-    df = spark.read.text(path).select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1).alias("_shard"), F.monotonically_increasing_id().alias("_seq"), F.col("value").alias("line"))
+    text = spark.read.text(path)
+    shard = F.col("shard").cast("string") if "shard" in text.columns else F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
+    df = text.select(shard.alias("_shard"), F.monotonically_increasing_id().alias("_seq"), F.col("value").alias("line"))
     df = df.where(F.trim("line") != "")
     site = F.coalesce(F.get_json_object("line", "$.properties.SITE_ID"), F.get_json_object("line", "$.properties.site_id"), F.lit(""))
     df = df.withColumn("site_id", site)

@@ -4,24 +4,37 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import adapt as A
 from ..operators import catalog as C
 from ..operators import mirror as M
+from ..sources import readers as S
 from ..sources import writers as W
 from ..sources.readers import PAGE, catalog, require_complete, site_rows, window
 
 
+#: site_id, props, geometry of any sites, or a function that gives those of some ids.
+Details = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def landed_details(spark: SparkSession, path: str, schema: str):
+    """Details for ``sync``: of the ids that a delta asks for, the landed records at path, adapted to (site_id, props, geometry)."""
+    return lambda ids: A.detail_lines(S.details(spark, path, schema, ids))
+
+
 def _once(details: DataFrame) -> DataFrame:
     """One detail record an id, the same one in every replay: with a geometry rather than without, then the greatest text."""
     best = F.max(F.struct(F.col("geometry").isNotNull().alias("shape"), "props", "geometry")).alias("d")
     return details.groupBy("site_id").agg(best).select("site_id", "d.props", "d.geometry")
 
 
-def _apply(mirror: M.Mirror, state: dict, delta: DataFrame, entries: DataFrame, details: DataFrame, today: dt.date, gate: Column, rows: DataFrame, catalog_size: int | None = None) -> dict:
-    """Apply a classified delta to the version of state; details: site_id, props, geometry of any sites.  Returns sizes.
+def _apply(mirror: M.Mirror, state: dict, delta: DataFrame, entries: DataFrame, details: Details, today: dt.date, gate: Column, rows: DataFrame, catalog_size: int | None = None) -> dict:
+    """Apply a classified delta to the version of state; details: site_id, props, geometry of any sites, or what gives those of
+    some ids.  Returns sizes.
 
     The delta is written once, and its sizes are observed in that pass: gates, writes and the summary see the same rows, and
     a gate that refuses leaves the mirror as it is.  Only shards that the delta touches are read and rewritten.
@@ -52,7 +65,8 @@ def _apply(mirror: M.Mirror, state: dict, delta: DataFrame, entries: DataFrame,
     delta = spark.read.schema("site_id string, kind string").parquet(path)
     removed = delta.where("kind = 'removed'").select("site_id")
     wanted = delta.where("kind <> 'removed'").select("site_id")
-    refreshed = _once(details.join(wanted, "site_id", "left_semi"))
+    found = details(wanted) if callable(details) else details
+    refreshed = _once(found.join(wanted, "site_id", "left_semi"))
     held = mirror.shards(state)
     crowded = len(set(held.values())) >= mirror.most
     touched = list(held) if crowded else sorted({*M.touched_shards(index, delta), M.UPDATES} & set(held))
@@ -93,7 +107,7 @@ def newest_only(mirror: M.Mirror, rows: DataFrame, lateness: int) -> DataFrame:
     return rows.join(known, "site_id", "left").where("known is null or last_update >= known").drop("known")
 
 
-def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: dt.date, caps: dict | None = None, lateness: int | None = None, attempts: int = 3) -> dict:
+def apply_window(mirror: M.Mirror, rows: DataFrame, details: Details, today: dt.date, caps: dict | None = None, lateness: int | None = None, attempts: int = 3) -> dict:
     """One increment, within caps (of delta_fault).  Applying a window twice gives the same mirror, so a replayed batch is harmless.
 
     lateness: rows may be older than what the mirror holds, see ``newest_only``.
@@ -112,7 +126,7 @@ def apply_window(mirror: M.Mirror, rows: DataFrame, details: DataFrame, today: d
     return _again(run, attempts)
 
 
-def apply_census(mirror: M.Mirror, catalog: DataFrame, details: DataFrame, today: dt.date, rows: DataFrame | None = None, attempts: int = 3) -> dict:
+def apply_census(mirror: M.Mirror, catalog: DataFrame, details: Details, today: dt.date, rows: DataFrame | None = None, attempts: int = 3) -> dict:
     """A full comparison with the catalogue, with a window's corrections if given."""
 
     def run() -> dict:
@@ -128,7 +142,7 @@ def apply_census(mirror: M.Mirror, catalog: DataFrame, details: DataFrame, today
     return _again(run, attempts)
 
 
-def sync(mirror: M.Mirror, catalog: DataFrame, rows: DataFrame, details: DataFrame, today: dt.date, forced: bool = False) -> dict:
+def sync(mirror: M.Mirror, catalog: DataFrame, rows: DataFrame, details: Details, today: dt.date, forced: bool = False) -> dict:
     """A census if one is due, else an increment of the rows from the stored high-water mark on, its day included."""
     s = mirror.state()
     one = mirror.spark.range(1).select(C.wants_census(F.lit(s["last_sweep_date"]).cast("date"), F.lit(s["last_full_census_date"]).cast("date"), F.lit(today), forced).alias("c"))
@@ -138,7 +152,7 @@ def sync(mirror: M.Mirror, catalog: DataFrame, rows: DataFrame, details: DataFra
     return apply_window(mirror, since, details, today)
 
 
-def sync_pages(mirror: M.Mirror, catalog_pages: DataFrame, window_pages: DataFrame, details: DataFrame, today: dt.date, forced: bool = False, limit: int = 500) -> dict:
+def sync_pages(mirror: M.Mirror, catalog_pages: DataFrame, window_pages: DataFrame, details: Details, today: dt.date, forced: bool = False, limit: int = 500) -> dict:
     """sync from landed pages, which must be complete: a cut-off listing would look like removals."""
     for pages in (catalog_pages, window_pages):
         require_complete(pages, limit)
@@ -149,7 +163,7 @@ def sync_pages(mirror: M.Mirror, catalog_pages: DataFrame, window_pages: DataFra
 LATENESS = 30
 
 
-def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: DataFrame, today: dt.date, caps: dict | None = None, lateness: int = LATENESS, files: int | None = None):
+def stream_windows(spark: SparkSession, landing: str, checkpoint: str, mirror: M.Mirror, details: Details, today: dt.date, caps: dict | None = None, lateness: int = LATENESS, files: int | None = None):
     """Apply landed pages of change windows as they come, ``files`` at once, then stop.
 
     All state is in the mirror: a stream that starts again from its checkpoint goes on where it was.  The mark in the mirror's state,
