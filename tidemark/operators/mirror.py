@@ -17,9 +17,10 @@ LINES = "shard string, seq bigint, site_id string, props string, geometry string
 INDEX = "site_id string, v_major double, v_minor double, last_update date, shards array<string>"
 PARKED = "site_id string, v_major double, v_minor double"
 GONE = "site_id string, last_update date"
-TABLES = {"lines": LINES, "index": INDEX, "parked": PARKED, "gone": GONE}
+STORES = {"index": INDEX, "parked": PARKED, "gone": GONE}
+TABLES = {"lines": (LINES, "shard"), "stores": (f"{INDEX}, store string", "store")}
 STATE = "version bigint, schema string, dataset_date date, download_date date, last_sweep_date date, last_full_census_date date, site_count bigint"
-MORE = ", data_version string, buckets int, mark date"
+MORE = ", data_version string, buckets int, mark date, shards map<string,string>"
 
 
 #: The shard of lines that a delta adds.
@@ -163,25 +164,23 @@ class Mirror:
         return f"tidemark_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}_{kind}_{version.replace('-', '_')}"
 
     def bucketed(self, kind: str, version: str, df: DataFrame, buckets: int) -> DataFrame:
-        """df as a table bucketed by id; lines by shard too."""
+        """df as a table bucketed by id; those of ``TABLES`` also by folders."""
         write = df.repartition(buckets, "site_id").write.bucketBy(buckets, "site_id").sortBy("site_id").option("path", f"{self.root}/{kind}/version={version}")
-        (write.partitionBy("shard") if kind == "lines" else write).saveAsTable(self._name(kind, version))
+        (write.partitionBy(TABLES[kind][1]) if kind in TABLES else write).saveAsTable(self._name(kind, version))
         return self.spark.table(self._name(kind, version))
 
     def table(self, kind: str, version: str, buckets: int) -> DataFrame:
         name = self._name(kind, version)
         if not self.spark.catalog.tableExists(name):
             # another session wrote it
-            parts = "PARTITIONED BY (shard)" if kind == "lines" else ""
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TABLES[kind]}) USING parquet {parts} CLUSTERED BY (site_id) SORTED BY (site_id) INTO {buckets} BUCKETS LOCATION '{self.root}/{kind}/version={version}'")
-            if parts:
-                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+            columns, folder = TABLES[kind]
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({folder}) CLUSTERED BY (site_id) SORTED BY (site_id) INTO {buckets} BUCKETS LOCATION '{self.root}/{kind}/version={version}'")
+            self.spark.sql(f"MSCK REPAIR TABLE {name}")
         return self.spark.table(name)
 
     def shards(self, state: dict | None = None) -> dict[str, str]:
-        """The version of each shard's lines; a row a shard."""
-        rows = self.spark.read.schema("shard string, written string").parquet(f"{self.root}/shards/version={(state or self.state())['data_version']}")
-        return {r["shard"]: r["written"] for r in rows.collect()}
+        """The version of each shard's lines."""
+        return (state or self.state())["shards"]
 
     def lines(self, only: list[str] | None = None, state: dict | None = None) -> DataFrame:
         """Lines of all shards, or of some: a scan for each version that wrote one of them."""
@@ -194,9 +193,10 @@ class Mirror:
         return functools.reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], LINES)
 
     def stores(self, state: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """index, parked and gone."""
+        """index, parked and gone, which are one table."""
         state = state or self.state()
-        return tuple(self.table(k, state["data_version"], state["buckets"]) for k in ("index", "parked", "gone"))
+        t = self.table("stores", state["data_version"], state["buckets"])
+        return tuple(t.where(F.col("store") == k).select(*(c.split()[0] for c in kind.split(", "))) for k, kind in STORES.items())
 
     def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         state = self.state()
@@ -204,16 +204,15 @@ class Mirror:
 
     def commit(self, state: dict, lines: DataFrame | None = None, index: DataFrame | None = None, parked: DataFrame | None = None, gone: DataFrame | None = None, kept: dict[str, str] | None = None) -> None:
         """Make state its version's; with data, these are written first.  lines has whole shards; kept: the versions of all others."""
-        state = {"buckets": self._buckets} | {k: v for k, v in state.items() if v is not None}
+        state = {"buckets": self._buckets, "shards": {}} | {k: v for k, v in state.items() if v is not None}
         if lines is not None:
-            v = f"{state['version']}-{uuid.uuid4().hex[:8]}"
-            n = state["buckets"]
-            new = self.bucketed("lines", v, lines.select(*(c.split()[0] for c in LINES.split(", "))), n).select("shard").distinct().withColumn("written", F.lit(v))
-            old = self.spark.createDataFrame(sorted((kept or {}).items()), "shard string, written string")
-            new.unionByName(old).coalesce(1).write.parquet(f"{self.root}/shards/version={v}")
-            for kind, df in (("index", index), ("parked", parked), ("gone", gone if gone is not None else self.spark.createDataFrame([], GONE))):
-                self.bucketed(kind, v, df.select(*(c.split()[0] for c in TABLES[kind].split(", "))), n)
-            state |= {"data_version": v, "site_count": self.table("index", v, n).count()}
+            v, n = f"{state['version']}-{uuid.uuid4().hex[:8]}", state["buckets"]
+            new = self.bucketed("lines", v, lines.select(*(c.split()[0] for c in LINES.split(", "))), n)
+            state["shards"] = (kept or {}) | {r[0]: v for r in new.select("shard").distinct().collect()}
+            stores = [df.withColumn("store", F.lit(k)) for k, df in (("index", index), ("parked", parked), ("gone", gone)) if df is not None]
+            both = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stores)
+            both = self.bucketed("stores", v, both.select(*(c.split()[0] for c in TABLES["stores"][0].split(", "))), n)
+            state |= {"data_version": v, "site_count": both.where("store = 'index'").count()}
         if not publish(self.spark, f"{self.root}/log/{state['version']:020d}.json", json.dumps(state, default=str)):
             raise Conflict(f"version {state['version']} of {self.root} is another writer's")
 
@@ -221,7 +220,7 @@ class Mirror:
         row = seed_state(index, dataset_date, download_date).collect()[0].asDict()
         held = lines.groupBy("site_id").agg(F.sort_array(F.collect_set("shard")).alias("shards"))
         index = index.join(held, "site_id", "left").withColumn("shards", F.coalesce("shards", F.array().cast("array<string>")))
-        self.commit(row, lines, index, self.spark.createDataFrame([], PARKED))
+        self.commit(row, lines, index)
 
     def log(self, summary: DataFrame) -> None:
         """Append a run's row."""

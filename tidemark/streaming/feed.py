@@ -67,7 +67,7 @@ def _apply(mirror: M.Mirror, state: dict, delta: DataFrame, entries: DataFrame,
     wanted = delta.where("kind <> 'removed'").select("site_id")
     found = details(wanted) if callable(details) else details
     refreshed = _once(found.join(wanted, "site_id", "left_semi"))
-    held = mirror.shards(state)
+    held = state["shards"]
     crowded = len(set(held.values())) >= mirror.most
     touched = list(held) if crowded else sorted({*M.touched_shards(index, delta), M.UPDATES} & set(held))
     moved = mirror.bucketed("moved", attempt, M.changes(refreshed, removed), state["buckets"])
