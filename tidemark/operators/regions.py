@@ -29,11 +29,11 @@ def tag(components: DataFrame, regions=REGIONS) -> DataFrame:
 MAX_REGIONS = 10_000
 
 
-def tag_by_join(components: DataFrame, regions: DataFrame) -> DataFrame:
+def tag_by_join(components: DataFrame, regions: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Any tiling (ordinal, region, geometry): the first region in order that holds the centre.
 
     The tiling becomes one broadcast row, after its regions are counted; of more regions see ``tag_by_cells``.  Each component
-    looks at the regions whose box holds its centre, so nothing is shuffled.
+    looks at the regions whose box holds its centre, so nothing is shuffled.  key is not needed.
     """
     if regions.limit(MAX_REGIONS + 1).count() > MAX_REGIONS:
         return tag_by_cells(components, regions)

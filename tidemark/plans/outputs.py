@@ -74,7 +74,7 @@ def land_collections(spark: SparkSession, sf_dir: str) -> str:
 @query("SELECT 'P' || (o_orderkey % 3) || CASE WHEN o_orderkey % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END AS partition, row_number() OVER (PARTITION BY 'P' || (o_orderkey % 3) || (o_orderkey % 29 = 0) ORDER BY o_orderkey) - 1 AS place, CASE WHEN o_orderkey % 31 <> 0 THEN 'S' || o_orderkey ELSE '' END AS site_id, o_orderkey % 3 + 1 AS polygons, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS v_major FROM orders")
 def collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of whole documents, which many tasks read, with their places."""
-    f = S.feature_collection(spark, land_collections(spark, sf_dir))
+    f = S.feature_collection(spark, land_collections(spark, sf_dir), with_file=True)
     g = G.polygons(F.col("geometry_type"), F.col("coordinates"))
     return f.select(F.regexp_extract("_file", "shard=([^/]+)/", 1).alias("partition"), F.col("_pos").alias("place"), F.col("SITE_ID").alias("site_id"), F.size(g).cast("long").alias("polygons"), F.col("site_major_version").alias("v_major"))
 

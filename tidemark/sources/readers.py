@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.decode import high_seas, safe_number
 from ..functions.fixed import CODED, IDENTITY
-from ..session import kept
+from ..session import kept, shared_dir
 from .collections import feature_texts
 
 _S = T.StringType()
@@ -64,14 +65,20 @@ def _features(spark: SparkSession, df: DataFrame, root: str = "") -> DataFrame:
         )
 
 
-def feature_collection(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Features of whole GeoJSON documents, each cut into ranges for many tasks; _pos is a feature's place in its document, _file.
+def feature_collection(spark: SparkSession, path: str | list[str], with_file: bool = False) -> DataFrame:
+    """Features of whole GeoJSON documents, each cut into ranges for many tasks; _pos is a feature's place in its document, with_file also _file.
 
-    Numbers in the coordinates' text keep their values as doubles, not their spelling.
+    The features are written as lines to the shared folder, once, and read from there: only the reader of JSON files keeps
+    the spelling of coordinates, and lines can be read again without the document.
     """
+    lines = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
+    head = F.regexp_replace(F.to_json(F.struct(F.col("file").alias("_file"), F.col("place").alias("_pos"))), r"\}$", ',"f":')
+    # a line break stands between tokens only: within strings JSON has it escaped
+    feature_texts(spark, path).select(F.concat(head, F.translate("text", "\r\n", "  "), F.lit("}")).alias("value")).write.text(lines)
     with case_sensitive(spark):
-        df = feature_texts(spark, path).select(F.col("file").alias("_file"), F.col("place").alias("_pos"), F.from_json("text", FEATURE).alias("f"))
-        return _features(spark, df, "f.")
+        schema = T.StructType([T.StructField("_file", _S), T.StructField("_pos", T.LongType()), T.StructField("f", FEATURE)])
+        df = _features(spark, spark.read.schema(schema).json(lines), "f.")
+    return df if with_file else df.drop("_file")
 
 
 def ndjson(spark: SparkSession, path: str) -> DataFrame:
