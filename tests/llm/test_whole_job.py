@@ -80,3 +80,23 @@ def test_pipeline_keeps_every_clean_document(spark):
             want[i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] = copies[i]
     got = corpus_pipeline.run(spark, SF).collect()
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+
+
+FOREIGN = [
+    "Tämä on suomenkielinen teksti, joka ei kuulu mihinkään opituista kielistä, ja sen pitäisi siksi pudota pois aineistosta. Talvella järvet jäätyvät.",
+    "To jest tekst napisany po polsku, który nie należy do żadnego z wyuczonych języków i powinien zostać odrzucony. Zimą jeziora zamarzają.",
+    "Bu metin Türkçe yazılmıştır ve öğrenilen dillerden hiçbirine ait değildir, bu yüzden veri kümesinden çıkarılmalıdır. Kışın göller donar.",
+    "Это русский текст, который не относится ни к одному из выученных языков и должен быть удалён из набора данных.",
+    "Ez egy magyar nyelvű szöveg, amely nem tartozik a megtanult nyelvek egyikéhez sem, ezért ki kell esnie az adathalmazból.",
+    "x1 9z qq zzk 3u8 kkq wx yy zq jj vv xk qz kj zx",
+    "12345 67890 --- 2020",
+    None,
+]
+
+
+def test_language_stage_drops_foreign_text_and_nothing_else(spark):
+    """All rows of the table stay, in one of its languages each; texts in other languages, without letters or null go."""
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    more = spark.createDataFrame([(10**6 + i, t, None, "web", 0) for i, t in enumerate(FOREIGN)], table.schema)
+    got = corpus_pipeline.language_id(spark, table.unionByName(more), SF)
+    assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(r["doc_id"] for r in table.select("doc_id").collect())

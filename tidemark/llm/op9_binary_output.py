@@ -75,11 +75,11 @@ def encoder(path: str):
     return t, [x.content for x in t.get_added_tokens_decoder().values()], kind, {}
 
 
-def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text, without special tokens."""
+def encode(texts: list[str], path: str, most: int = CACHE) -> list[np.ndarray]:
+    """Ids of each text, without special tokens; the worker forgets its chunks when it has more than ``most``."""
     t, added, kind, cache = encoder(path)
     chunked = [None if any(x in s for x in added) else _CHUNKS.findall(s) for s in texts]
-    if len(cache) > CACHE:
+    if len(cache) > most:
         cache.clear()
     new = set().union(*(x for x in chunked if x)).difference(cache)
     # letters and a mark after them are never joined: such a chunk is its stem's ids and the mark's
@@ -104,7 +104,7 @@ def framed(doc: int | None, ids: np.ndarray) -> bytes:
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
-def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int | None = None) -> DataFrame:
+def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int | None = None, cache: int = CACHE) -> DataFrame:
     """Write doc_id and text of docs to folder; returns one row a file: part, name, docs, tokens (with end ids)."""
     spark = docs.sparkSession
     n = partitions
@@ -126,7 +126,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/{name}.rec")
             frames = []
-            for doc, e in zip(b.column(0).to_pylist(), encode([x or "" for x in b.column(1).to_pylist()], tokenizer), strict=True):
+            for doc, e in zip(b.column(0).to_pylist(), encode([x or "" for x in b.column(1).to_pylist()], tokenizer, cache), strict=True):
                 v = np.append(e, e.dtype.type(END))
                 frame = framed(doc, v)
                 frames.append(frame)
@@ -193,13 +193,13 @@ def read_records(spark: SparkSession, files: list[tuple[str, int]], folder: str,
     return frame.repartition(max(1, len(files)), "name").mapInArrow(read, schema) if files else spark.createDataFrame([], schema)
 
 
-def tokens_out(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def tokens_out(docs: DataFrame, tokenizer: str, folder: str | None = None, cache: int = CACHE) -> DataFrame:
     """Write docs, then what the files hold: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
     folder = folder or fresh(spark, "records")
     folder = folder if "://" in folder else f"file://{local_uri(folder)}"
     files, before = [], 0
-    for x in sorted(write_records(docs, tokenizer, folder).collect(), key=lambda x: x["part"]):  # one row a file
+    for x in sorted(write_records(docs, tokenizer, folder, cache=cache).collect(), key=lambda x: x["part"]):  # one row a file
         files.append((x["name"], before))
         before += x["tokens"]
     return read_records(spark, files, folder)
