@@ -27,6 +27,9 @@ from .text import U, mix, raw, slices
 
 PROFILE = 400
 UNKNOWN = "und"
+#: Bytes of text, or one document, whose n-grams are sorted at once: a worker holds some 100 times as much.
+SLICE = 512 << 10
+HELD = 1_500_000  # distinct n-grams that a task sums before it passes them on
 _DOC_BITS = 20
 _GRAM = (np.uint64(1) << np.uint64(64 - _DOC_BITS)) - np.uint64(1)
 
@@ -90,14 +93,14 @@ def _count(batches):
         return k[new], np.add.reduceat(n, new)
 
     shift = U(64 - _DOC_BITS)
-    for b in slices(batches):
+    for b in slices(batches, max_bytes=SLICE):
         names = b.column(b.schema.get_field_index("lang")).to_pylist()
         ids = np.array([known.setdefault(x, len(known)) for x in names], dtype=U)
         keys, n = _grams(*raw(b))
         keys = (ids[(keys >> shift).astype(np.int64)] << shift) | (keys & _GRAM)
         held.append((keys, n))
         size += len(keys)
-        if size > 4_000_000:
+        if size > HELD:
             held, size = [fold()], 0
             size = len(held[0][0]) // 2
     if held:
@@ -130,7 +133,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], profile_size: int
     def predict(batches):
         names, tables = sent.value
         shift = U(64 - _DOC_BITS)
-        for b in slices(batches, "__text"):
+        for b in slices(batches, "__text", SLICE):
             rows = b.num_rows
             keys, n = _grams(*raw(b, "__text"))
             row, gram = (keys >> shift).astype(np.int64), keys & _GRAM
