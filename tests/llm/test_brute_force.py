@@ -14,6 +14,7 @@ import corpus_pipeline
 from tidemark.llm import op2_fm_dedup as o2
 from tidemark.llm import op3_suffix_dedup as o3
 from tidemark.llm import op10_decontamination as o10
+from tidemark.llm.anchors import keyed, repeated_ranges
 from tidemark.llm.op1_source_mixing import min_cost_flow, op1_source_mixing, share_out
 from tidemark.llm.op4_url_filter import OP4_SQL, op4_url_filter
 from tidemark.llm.op5_learned_partitions import op5_learned_partitions
@@ -74,6 +75,50 @@ def test_bytes(spark, docs, hot):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("module", [o2, o3])
+def test_nothing_is_marked_past_the_index(spark, module):
+    """An index that finds nothing leaves every document as it is."""
+    blind = module.SPEC._replace(match=lambda segs, windows, order: np.full(int(windows.sum()), -1))
+    docs = keyed(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert repeated_ranges(docs, module.SPEC).count() > 0
+    assert repeated_ranges(docs, blind).count() == 0
+
+
+def variants(seed=5):
+    """Texts with copies, copies with one word changed, periodic texts, a long one, and rows equal in id and text."""
+    rng = np.random.default_rng(seed)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    base = [word(400) for _ in range(3)]
+    rows = []
+    for i in range(24):
+        w = list(base[i % 3])
+        if i % 4:
+            w[int(rng.integers(0, 400))] = f"x{i}"
+        rows.append((i, " ".join(w[: 60 + 40 * (i % 9)])))
+    rows += [(100, " ".join(["aa", "bb", "cc"] * 120)), (101, " ".join(word(30) * 6)), (102, " ".join(base[0] + base[1] + word(50) + base[0]))]
+    return rows + [rows[3], rows[3], rows[24], (104, None), (105, "")]
+
+
+@pytest.mark.parametrize("run", [1 << 16, 150])
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_words_of_variants(spark, hot, run):
+    rows = variants()
+    texts = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    gone = removed_windows(texts, 20, True)
+    got = o2.dedup_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), o2.SPEC._replace(hot=hot, run=run)).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == sorted((i, int(gone[i].sum())) for i, _ in rows)
+
+
+@pytest.mark.parametrize("run", [1 << 16, 500])
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_bytes_of_variants(spark, hot, run):
+    """Rows equal in id and text repeat each other."""
+    rows = variants()
+    gone = removed_windows({n: (t or "").encode() for n, (_, t) in enumerate(rows)}, 400, False)
+    got = o3.dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), o3.SPEC._replace(hot=hot, run=run)).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == sorted((i, int(gone[n].sum())) for n, (i, _) in enumerate(rows))
+
+
 def test_suffix_arrays_and_index():
     rng = np.random.default_rng(1)
     for n, k in ((1, 2), (50, 2), (3000, 3), (2000, 300)):

@@ -6,11 +6,14 @@ windows with one anchor is a segment.
 
 1. Anchors that occur once in the corpus cannot hold a repeat; a count by anchor hash finds the others.
 2. Segments of the others are summed up by (anchor, content): a group of copies becomes one row with its count and
-   its first occurrence (document order, then place), which alone travels on with its text.
-3. Those texts meet by anchor in shards of bounded size, where an exact index (``Spec.match``) finds equal windows.
-   An anchor with more than ``hot`` different segments is dealt over several shards, and their sorted window
-   classes are merged afterwards by grouping their 64-bit hashes.
-4. The repeated windows return to their documents as ranges of symbols.
+   its first and last occurrence (document order, then place).
+3. Texts meet in shards of bounded size, where an exact index (``Spec.match``) finds equal windows.
+   a) First occurrences of different segments of one anchor meet by anchor.  An anchor with more than ``hot`` of them is dealt over
+   several shards, and their sorted window classes are merged afterwards by grouping their 64-bit hashes.
+   b) Segments that recur whole and follow each other, in the document of their first occurrence and in that of their last, are
+   one run, so that neighbours' texts are not sent twice.  A run's two texts meet, and the index tells what they share.
+4. The repeated windows return to their documents as ranges of symbols.  Occurrences between the first and the last take over what
+   the index found at the last; nothing is marked that an index has not found.
 
 Documents are told apart by (d, r): d is the doc_id, null last; r is 0, or where doc_ids repeat a hash of
 the text, so rows equal in both count as one document, reported for each row.
@@ -23,7 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import id_filter, may_hold, written
@@ -34,6 +37,7 @@ _BI = pow(_B, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 BLOCK = 1 << 22
 PIECE = 1 << 20  # bytes of text hashed at a time
+ALONE, FIRST, LAST = 0, 1, 2  # a segment with its anchor; a run's first and last occurrence
 
 
 class Spec(NamedTuple):
@@ -45,6 +49,7 @@ class Spec(NamedTuple):
     earlier: bool  # only windows that also start earlier count
     shard_bytes: int = 700_000
     hot: int = 4096
+    run: int = 1 << 16  # symbols of a run, about
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +147,7 @@ def _cuts(spec: Spec):
             pos, n = flat.field("pos").to_numpy(), flat.field("n").to_numpy()
             texts = spec.cut(*raw(b), row, pos, n + spec.length - 1)
             at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([flat.field("a"), flat.field("salt"), flat.field("s"), flat.field("cnt"), b.column(0).take(at), b.column(1).take(at), flat.field("pos"), flat.field("n"), pa.array(texts, pa.binary())], ["a", "salt", "s", "cnt", "d", "r", "pos", "n", "seg"])
+            yield pa.RecordBatch.from_arrays([flat.field("a"), flat.field("salt"), flat.field("s"), flat.field("side"), b.column(0).take(at), b.column(1).take(at), flat.field("pos"), flat.field("n"), pa.array(texts, pa.binary())], ["a", "salt", "s", "side", "d", "r", "pos", "n", "seg"])
 
     return run
 
@@ -166,8 +171,17 @@ def _spans(hit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return seg[begin], begin - first[seg[begin]], end - first[seg[begin]]
 
 
-def _shard(t: pa.Table, spec: Spec) -> pa.RecordBatch | None:
-    """Marked symbols of the segments of one shard."""
+def _places(t: pa.Table) -> pa.Table:
+    """Each place once: rows equal in doc_id and text are one document."""
+    c = [t.column(x).to_numpy() for x in ("pos", "r", "d")]
+    o = np.lexsort(c)
+    same = np.all([x[o][1:] == x[o][:-1] for x in c], axis=0)
+    return t.take(pa.array(np.sort(o[np.concatenate(([True], ~same))])))
+
+
+def _shard(t: pa.Table, spec: Spec) -> pa.RecordBatch:
+    """Marked symbols of the segments of one shard; run: of the last occurrence of a run, its key."""
+    t = _places(t) if spec.earlier else t
     n = t.column("n").to_numpy().astype(np.int64)
     first = np.concatenate(([0], np.cumsum(n)))
     rank = _order(t)
@@ -180,17 +194,26 @@ def _shard(t: pa.Table, spec: Spec) -> pa.RecordBatch | None:
         hit[o[1:][group[o[1:]] == group[o[:-1]]]] = True
     else:
         hit[got] = True
-        hit |= np.repeat(t.column("cnt").to_numpy() > 1, n)
     s, lo, hi = _spans(hit, first)
     at = pa.array(s)
     pos = t.column("pos").to_numpy()[s]
-    return pa.RecordBatch.from_arrays([t.column("d").combine_chunks().take(at), t.column("r").combine_chunks().take(at), pa.array((pos + lo).astype(np.int32)), pa.array((pos + hi - 1 + spec.length).astype(np.int32))], ["d", "r", "lo", "hi"])
+    run = pa.array(t.column("a").to_numpy()[s], mask=t.column("side").to_numpy()[s] != LAST)
+    return pa.RecordBatch.from_arrays([t.column("d").combine_chunks().take(at), t.column("r").combine_chunks().take(at), pa.array((pos + lo).astype(np.int32)), pa.array((pos + hi - 1 + spec.length).astype(np.int32)), run], ["d", "r", "lo", "hi", "run"])
 
 
 def _shards(spec: Spec):
-    """Cut the rows of a partition, sorted by (a, salt), into shards that hold whole groups."""
+    """Cut the rows of a partition, sorted by (runs or not, a, salt), into shards that hold whole groups.
+
+    A place can be in a run and with its anchor, and would repeat itself: no shard holds both.
+    """
 
     def work(t: pa.Table):
+        runs = int(np.count_nonzero(t.column("salt").to_numpy() >= 0))
+        for part in (t.slice(0, runs), t.slice(runs)):
+            if part.num_rows:
+                yield from alike(part)
+
+    def alike(t: pa.Table):
         a, salt = t.column("a").to_numpy(), t.column("salt").to_numpy()
         heads = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (salt[1:] != salt[:-1]))))
         size = np.concatenate(([0], np.cumsum(pa.compute.binary_length(t.column("seg")).to_numpy(), dtype=np.int64)))
@@ -268,38 +291,52 @@ def _merge_hot(segs: DataFrame, spec: Spec) -> DataFrame:
     return segs.groupBy("a", "salt").cogroup(wide.groupBy("a", "salt")).applyInArrow(marks, "d long, r long, lo int, hi int")
 
 
+def _runs(reps: DataFrame, spec: Spec) -> DataFrame:
+    """Segments that recur whole, each with its run: those that follow each other at the same distance of the same two documents."""
+    apart = Window.partitionBy("d", "r", "yd", "yr", F.col("ypos") - F.col("pos")).orderBy("pos")
+    s = reps.where("cnt > 1").select("a", "s", "cnt", "d", "r", "pos", "n", "yd", "yr", "ypos")
+    s = s.withColumn("new", F.coalesce(F.lag(F.col("pos") + F.col("n")).over(apart) != F.col("pos"), F.lit(True)))
+    s = s.withColumn("island", F.sum(F.col("new").cast("int")).over(apart))
+    return s.withColumn("run", F.xxhash64("d", "r", "yd", "yr", F.col("ypos") - F.col("pos"), "island", F.floor(F.col("pos") / spec.run))).drop("new", "island")
+
+
 def repeated_ranges(docs: DataFrame, spec: Spec) -> DataFrame:
     """d, r, ranges (array of struct(lo, hi), symbols) of the documents, from keyed(), that hold repeated windows."""
     spark = docs.sparkSession
-    ends = "d long, r long, lo int, hi int"
+    marks = "d long, r long, lo int, hi int"
     again = docs.select("text").mapInArrow(_anchors(spec), "a long").groupBy("a").count().where("count > 1")
     live = id_filter(again, "a")
     occ = written(docs.select("d", "r", "text").mapInArrow(_occurrences(spec, live), "a long, s long, d long, r long, pos int, n int"), "occurrences")
-    by = occ.groupBy("a", "s").agg(F.count("*").alias("cnt"), F.min(F.struct("d", "r", "pos", "n")).alias("x"))
+    by = occ.groupBy("a", "s").agg(F.count("*").alias("cnt"), F.min(F.struct("d", "r", "pos", "n")).alias("x"), F.max(F.struct(F.col("d").alias("yd"), F.col("r").alias("yr"), F.col("pos").alias("ypos"))).alias("y"))
     per = by.groupBy("a").agg(F.sum("cnt").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     salt = F.pmod(F.xxhash64("s"), F.ceil(F.col("kinds") / spec.hot).cast("int")).cast("int")
-    reps = written(by.join(per, "a").select("a", "s", "cnt", "x.*", "kinds", salt.alias("salt"), (F.col("kinds") > spec.hot).alias("hot")), "segments")
-    # of a segment that recurs as a whole every occurrence is marked; if only earlier ones count, the first is not
-    more = reps.where("cnt > 1").select("a", "s", F.struct("d", "r", "pos").alias("first"))
-    marked = occ.join(more, ["a", "s"])
-    marked = marked.where(F.struct("d", "r", "pos") != F.col("first")) if spec.earlier else marked
-    whole = marked.select("d", "r", F.col("pos").alias("lo"), (F.col("pos") + F.col("n") - 1 + spec.length).cast("int").alias("hi"))
-    # where an anchor has several different segments, the text of each one's first occurrence goes to its shard
-    mixed = reps.where("kinds > 1")
-    wanted = id_filter(mixed, "d")
-    lists = mixed.groupBy("d", "r").agg(F.collect_list(F.struct("a", "salt", "s", "cnt", "pos", "n")).alias("segs"))
-    texts = docs.select("d", "r", "text").mapInArrow(_passing(wanted), "d long, r long, text string")
-    shape = "a long, salt int, s long, cnt long, d long, r long, pos int, n int, seg binary"
+    reps = written(by.join(per, "a").select("a", "s", "cnt", "x.*", "y.*", "kinds", salt.alias("salt"), (F.col("kinds") > spec.hot).alias("hot")), "segments")
+    whole = written(_runs(reps, spec), "runs")
+    ends = whole.groupBy("run").agg(*(F.min(c).alias(c) for c in ("d", "r", "pos", "yd", "yr", "ypos")), F.sum("n").cast("int").alias("n"))
+    seg = lambda a, salt, s, side, pos: F.struct(a.alias("a"), salt.alias("salt"), s.alias("s"), F.lit(side).alias("side"), pos.alias("pos"), F.col("n").cast("int").alias("n"))
+    run, none = F.col("run"), F.lit(-1)
+    wanted = reps.where("kinds > 1").select("d", "r", seg(F.col("a"), F.col("salt"), F.col("s"), ALONE, F.col("pos")).alias("seg"))
+    wanted = wanted.unionByName(ends.select("d", "r", seg(run, none, run, FIRST, F.col("pos")).alias("seg")))
+    wanted = wanted.unionByName(ends.select(F.col("yd").alias("d"), F.col("yr").alias("r"), seg(run, none, run, LAST, F.col("ypos")).alias("seg")))
+    lists = written(wanted.groupBy("d", "r").agg(F.collect_list("seg").alias("segs")), "lists")  # of one document
+    texts = docs.select("d", "r", "text").mapInArrow(passing(id_filter(lists, "d")), f"d long, r long, text {docs.schema['text'].dataType.simpleString()}")
+    shape = "a long, salt int, s long, side int, d long, r long, pos int, n int, seg binary"
     segs = texts.join(lists, ["d", "r"]).select("d", "r", "text", "segs").mapInArrow(_cuts(spec), shape)
     hot = not reps.where("hot").isEmpty()
     segs = written(segs, "texts") if hot else segs
-    found = segs.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(_shards(spec), ends).unionByName(whole)
+    found = written(segs.repartition("a", "salt").sortWithinPartitions(F.col("salt") < 0, "a", "salt").mapInArrow(_shards(spec), f"{marks}, run long"), "found")
+    # between its first and last occurrence a segment recurs as the index found its last one to
+    sure = whole.where("cnt > 2").join(found.where("run is not null").select("run", "lo", "hi"), "run").where((F.col("lo") <= F.col("ypos")) & (F.col("ypos") + F.col("n") - 1 + spec.length <= F.col("hi")))
+    sure = sure.select("a", "s", F.struct("d", "r", "pos").alias("first"), F.struct(F.col("yd").alias("d"), F.col("yr").alias("r"), F.col("ypos").alias("pos")).alias("last"))
+    place = F.struct("d", "r", "pos")
+    between = occ.join(sure, ["a", "s"]).where((place != F.col("first")) & (place != F.col("last")))
+    found = found.drop("run").unionByName(between.select("d", "r", F.col("pos").alias("lo"), (F.col("pos") + F.col("n") - 1 + spec.length).cast("int").alias("hi")))
     if hot:
-        found = found.unionByName(_merge_hot(segs.join(reps.where("hot").select("a", "s"), ["a", "s"], "left_semi").select("a", "salt", "s", "cnt", "d", "r", "pos", "n", "seg"), spec))
+        found = found.unionByName(_merge_hot(segs.join(reps.where("hot").select("a", "s"), ["a", "s"], "left_semi").select("a", "salt", "s", "d", "r", "pos", "n", "seg"), spec))
     return written(found.groupBy("d", "r").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
 
 
-def _passing(wanted, hold: bool = True, report: Callable | None = None):
+def passing(wanted, hold: bool = True, report: Callable | None = None):
     """Rows whose first column may be in the filter (or surely is not); report, if given, takes them over."""
 
     def run(batches):
@@ -314,11 +351,6 @@ def _passing(wanted, hold: bool = True, report: Callable | None = None):
     return reported if report else run
 
 
-def only_with(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Documents, from keyed(), that have ranges, and few others: an id filter passes them."""
-    return docs.select("d", "r", "text").mapInArrow(_passing(id_filter(ranges, "d")), "d long, r long, text string")
-
-
 def cover(ranges: list[tuple[int, int]], n: int) -> np.ndarray:
     """True where a symbol is in some range."""
     edge = np.zeros(n + 1, np.int32)
@@ -333,6 +365,6 @@ def with_ranges(docs: DataFrame, ranges: DataFrame, schema: str, report: Callabl
     """report(batches) over (doc_id, text, ranges) of all documents; those surely without ranges are not shuffled."""
     marked = id_filter(ranges, "d")
     cols = docs.select("d", "r", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    inside = cols.mapInArrow(_passing(marked), "d long, r long, doc_id long, text string").join(ranges, ["d", "r"], "left").select("doc_id", "text", "ranges")
-    outside = cols.withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType)).mapInArrow(_passing(marked, False, report), schema)
+    inside = cols.mapInArrow(passing(marked), "d long, r long, doc_id long, text string").join(ranges, ["d", "r"], "left").select("doc_id", "text", "ranges")
+    outside = cols.withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType)).mapInArrow(passing(marked, False, report), schema)
     return inside.mapInArrow(report, schema).unionByName(outside)

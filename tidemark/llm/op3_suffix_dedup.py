@@ -9,8 +9,8 @@ suffix to the next).  A window is repeated if a neighbour shares 400 bytes.  An
 segments for one shard is dealt over several, whose window classes are merged by grouping their 64-bit hashes.
 
 The query also reports ``n_passage``, the bytes that shorter repeats cover: strings of 256 bytes, which a passage of
-some 50 words has and 400 bytes may miss.  Documents without any of these have no repeat of 400 bytes either, so the
-longer search reads the others alone.
+some 50 words has and 400 bytes may miss.  A repeat of 400 bytes consists of these, so the longer search reads only the
+stretches of 400 bytes and more that they cover.
 
 Defined cases: a null text is empty; texts below 400 bytes keep everything; matches never cross
 documents; rows equal in doc_id and text repeat each other; an empty table gives no rows; other columns
@@ -28,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import PIECE, Spec, keyed, only_with, repeated_ranges, with_ranges
-from .store import documents
+from .anchors import PIECE, Spec, passing, keyed, repeated_ranges, with_ranges
+from .store import documents, id_filter, written
 from .text import U, mix, raw, slices
 
 LENGTH, PASSAGE = 400, 256
@@ -168,6 +168,15 @@ def _covered(buf: np.ndarray, offs: np.ndarray, row: np.ndarray, lo: np.ndarray,
     return np.cumsum(depth[:-1], dtype=np.int32) > 0
 
 
+def _edges(mask: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of a mask over all texts; runs end with their row."""
+    before = np.concatenate(([False], mask[:-1])) if len(mask) else mask
+    before[offs[:-1][offs[:-1] < len(mask)]] = False
+    after = np.append(mask[1:], False) if len(mask) else mask
+    after[offs[1:][offs[1:] > 0] - 1] = False
+    return np.flatnonzero(mask & ~before), np.flatnonzero(mask & ~after) + 1
+
+
 def _report(batches):
     span = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
     for b in slices(batches, max_bytes=PIECE):
@@ -178,11 +187,7 @@ def _report(batches):
         row = np.repeat(np.arange(b.num_rows), per)
         lo, hi, whole = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi", "whole"))
         gone, passage = _covered(buf, offs, row[whole], lo[whole], hi[whole]), _covered(buf, offs, row, lo, hi)
-        before = np.concatenate(([False], gone[:-1])) if len(gone) else gone
-        before[offs[:-1][offs[:-1] < len(buf)]] = False
-        after = np.append(gone[1:], False) if len(gone) else gone
-        after[offs[1:][offs[1:] > 0] - 1] = False
-        starts, ends = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+        starts, ends = _edges(gone, offs)
         first = np.searchsorted(starts, offs)
         at = offs[np.searchsorted(offs, starts, side="right") - 1]
         count = lambda mask: np.diff(np.concatenate(([0], np.cumsum(mask)))[offs])
@@ -193,13 +198,43 @@ def _report(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offs)), pa.array(removed), pa.array(np.diff(first)), pa.array(count(passage)), pa.array(keys, pa.string()), spans], ["doc_id", "n_bytes", "n_removed", "n_spans", "n_passage", "kept_sha256", "spans"])
 
 
+def _stretches(length: int):
+    """d, r, at, text of the maximal stretches, of ``length`` bytes at least, that the ranges of a document cover."""
+
+    def run(batches):
+        for b in slices(batches, max_bytes=PIECE):
+            buf, offs = raw(b)
+            lists = b.column(b.schema.get_field_index("ranges"))
+            flat = lists.flatten()
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            starts, ends = _edges(_covered(buf, offs, row, flat.field("lo").to_numpy(), flat.field("hi").to_numpy()), offs)
+            keep = ends - starts >= length
+            starts, ends = starts[keep], ends[keep]
+            row, data = np.searchsorted(offs, starts, side="right") - 1, buf.tobytes()
+            texts = [data[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array((starts - offs[row]).astype(np.int32)), pa.array(texts, pa.binary())], ["d", "r", "at", "text"])
+
+    return run
+
+
+def longer_ranges(docs: DataFrame, short: DataFrame, spec: Spec) -> DataFrame:
+    """repeated_ranges of the whole documents, looked for in what the ranges of shorter repeats cover."""
+    inside = docs.select("d", "r", "text").mapInArrow(passing(id_filter(short, "d")), "d long, r long, text string").join(short, ["d", "r"])
+    cut = inside.select("d", "r", "text", "ranges").mapInArrow(_stretches(spec.length), "d long, r long, at int, text binary")
+    cut = written(cut.withColumn("own", F.xxhash64("r", "at")), "stretches")
+    found = repeated_ranges(cut.select("d", F.col("own").alias("r"), "text"), spec).withColumnRenamed("r", "own")
+    back = found.join(cut.select("d", "own", "r", "at").distinct(), ["d", "own"])
+    moved = F.transform("ranges", lambda x: F.struct((x["lo"] + F.col("at")).alias("lo"), (x["hi"] + F.col("at")).alias("hi")))
+    return back.select("d", "r", moved.alias("ranges"))
+
+
 def dedup_bytes(docs: DataFrame, spec: Spec = SPEC, passage: int = PASSAGE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, n_passage, kept_sha256 and the removed spans of every document."""
     d = keyed(docs)
     short = repeated_ranges(d, shorter(spec, passage))
-    long = repeated_ranges(only_with(d, short), spec)
+    long = longer_ranges(d, short, spec)
     both = [x.select("d", "r", F.transform("ranges", lambda y: F.struct(y["lo"].alias("lo"), y["hi"].alias("hi"), F.lit(whole).alias("whole"))).alias("ranges")) for x, whole in ((short, False), (long, True))]
-    ranges = both[0].unionByName(both[1]).groupBy("d", "r").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))  # two rows a document
+    ranges = both[0].unionByName(both[1]).groupBy("d", "r").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))  # of one document
     return with_ranges(d, ranges, SCHEMA, _report)
 
 
