@@ -5,7 +5,7 @@
 2. On the driver a min-cost flow routes each pattern's word capacity to the quotas of its sources.
    The r-th repetition of a pattern costs 2r - 1 a word (the marginal cost of r squared), so
    repetition spreads evenly; ``max_repeats`` bounds it.  The graph has one node a pattern
-   and a source; more than ``max_patterns`` patterns is an error, never a silent cut.
+   and a source, and all paths of one cost are used at once; more than ``max_patterns`` patterns is an error, never a silent cut.
 3. Documents are selected in the order of a seeded hash.  A pattern whose flow is q times
    its words plus a rest repeats every document q times and, for the rest, takes whole hash buckets
    from the lowest on.  Only the one bucket a pattern in which the rest ends is ordered by
@@ -22,7 +22,6 @@ agree; other columns are kept by ``mix`` and its new columns replace any of the
 
 from __future__ import annotations
 
-import heapq
 import json
 import math
 
@@ -63,59 +62,87 @@ def share_out(sizes: dict, weights: dict, total: float, max_repeats: int = MAX_R
     return target
 
 
+def _distances(member: list[list[int]], holders: list[list[int]], flow: list[dict[int, int]], room: list[int]) -> tuple[list[int], list[int]]:
+    """Steps from each pattern and each source to a source with room, by a membership or by taking back a flow; -1 if there is no way."""
+    of_pattern, of_source = [-1] * len(member), [0 if r else -1 for r in room]
+    turn = [s for s, r in enumerate(room) if r]
+    for s in turn:  # grows while it is read
+        for p in holders[s]:
+            if of_pattern[p] < 0:
+                of_pattern[p] = of_source[s] + 1
+                for t, n in flow[p].items():
+                    if n and of_source[t] < 0:
+                        of_source[t] = of_pattern[p] + 1
+                        turn.append(t)
+    return of_pattern, of_source
+
+
+def _block(member: list[list[int]], holders: list[list[int]], flow: list[dict[int, int]], left: list[int], room: list[int]) -> bool:
+    """Push what fits along shortest ways until none is left; whether anything was pushed."""
+    of_pattern, of_source = _distances(member, holders, flow, room)
+    next_source, next_pattern = [0] * len(member), [0] * len(room)
+    pushed = False
+    for p in range(len(member)):
+        while left[p]:
+            way = [p]  # pattern, source, pattern whose flow to that source is taken back, source, ...
+            while way:
+                x = way[-1]
+                if len(way) % 2:
+                    arcs, i = member[x], next_source[x]
+                    while i < len(arcs) and of_source[arcs[i]] != of_pattern[x] - 1:
+                        i += 1
+                    next_source[x] = i
+                elif of_source[x] or not room[x]:
+                    arcs, i = holders[x] if of_source[x] else [], next_pattern[x]
+                    while i < len(arcs) and not (of_pattern[arcs[i]] == of_source[x] - 1 and flow[arcs[i]].get(x)):
+                        i += 1
+                    next_pattern[x] = i
+                else:
+                    break
+                if i < len(arcs):
+                    way.append(arcs[i])
+                    continue
+                way.pop()
+                if way and len(way) % 2:
+                    next_source[way[-1]] += 1
+                elif way:
+                    next_pattern[way[-1]] += 1
+            if not way:
+                break
+            n = min(left[p], room[way[-1]], *(flow[q][s] for s, q in zip(way[1::2], way[2::2], strict=False)))
+            left[p] -= n
+            room[way[-1]] -= n
+            for q, s in zip(way[::2], way[1::2], strict=True):
+                flow[q][s] = flow[q].get(s, 0) + n
+            for s, q in zip(way[1::2], way[2::2], strict=False):
+                flow[q][s] -= n
+            pushed = True
+    return pushed
+
+
 def min_cost_flow(patterns: list[tuple[list, int]], quotas: dict, max_repeats: int = MAX_REPEATS) -> list[dict]:
     """For each (sources, words) pattern the words routed to each source: a largest flow of least cost.
 
-    Successive shortest paths with potentials over origin -> pattern -> source -> sink.
+    Only the arcs from the origin to the patterns cost anything, so a shortest path costs what the repetition costs with which it begins.
+    Successive shortest paths never get shorter; hence all paths of one cost are used at once: one more repetition of every
+    pattern is opened, then blocking flows along ways of least length make the flow a largest one.  Each
+    blocking flow looks at a membership a few times, and their number depends on the sources, not on the patterns.
     """
     names = list(quotas)
-    at = {s: 1 + len(patterns) + i for i, s in enumerate(names)}
-    sink = 1 + len(patterns) + len(names)
-    graph: list[list[int]] = [[] for _ in range(sink + 1)]
-    to: list[int] = []
-    cap: list[int] = []
-    cost: list[int] = []
-
-    def arc(a: int, b: int, c: int, w: int) -> int:
-        graph[a].append(len(to))
-        graph[b].append(len(to) + 1)
-        to.extend((b, a))
-        cap.extend((c, 0))
-        cost.extend((w, -w))
-        return len(to) - 2
-
-    routes: list[dict] = []
-    for p, (sources, words) in enumerate(patterns):
-        for r in range(1, max_repeats + 1):
-            arc(0, 1 + p, words, 2 * r - 1)
-        routes.append({s: arc(1 + p, at[s], max_repeats * words, 0) for s in sources if s in at})
-    for s in names:
-        arc(at[s], sink, int(quotas[s]), 0)
-    high = [0] * (sink + 1)
-    while True:
-        dist: list[float] = [math.inf] * (sink + 1)
-        came = [-1] * (sink + 1)
-        dist[0], heap = 0, [(0, 0)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > dist[a]:
-                continue
-            for e in graph[a]:
-                if cap[e] > 0 and (x := d + cost[e] + high[a] - high[to[e]]) < dist[to[e]]:
-                    dist[to[e]], came[to[e]] = x, e
-                    heapq.heappush(heap, (x, to[e]))
-        if came[sink] < 0:
-            break
-        high = [h + int(d) if d < math.inf else h for h, d in zip(high, dist, strict=True)]
-        push, a = math.inf, sink
-        while a:
-            push, a = min(push, cap[came[a]]), to[came[a] ^ 1]
-        a = sink
-        while a:
-            cap[came[a]] -= push
-            cap[came[a] ^ 1] += push
-            a = to[came[a] ^ 1]
-    return [{s: cap[e ^ 1] for s, e in r.items() if cap[e ^ 1] > 0} for r in routes]
+    at = {s: i for i, s in enumerate(names)}
+    room = [max(0, int(q)) for q in quotas.values()]
+    member = [[at[s] for s in dict.fromkeys(sources) if s in at] for sources, _ in patterns]
+    holders: list[list[int]] = [[] for _ in names]
+    for p, m in enumerate(member):
+        for s in m:
+            holders[s].append(p)
+    flow: list[dict[int, int]] = [{} for _ in patterns]
+    left = [0] * len(patterns)
+    for _ in range(max_repeats):
+        left = [n + words for n, (_, words) in zip(left, patterns, strict=True)]
+        while _block(member, holders, flow, left, room):
+            pass
+    return [{names[s]: f[s] for s in m if f.get(s)} for m, f in zip(member, flow, strict=True)]
 
 
 TRIES = 16
