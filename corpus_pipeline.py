@@ -15,7 +15,7 @@ from tidemark.session import ship
 
 #: A document whose best profile fits worse than this is in none of the languages.
 LEAST_SCORE = 0.35
-#: Chunks that a worker of the last stage remembers: it still holds memory of the stages before.
+#: Chunks that a worker of the last stage remembers until its file is written: other stages may follow in the same worker.
 REMEMBERED = 400_000
 
 
@@ -53,7 +53,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def binary_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token records in files, and what they hold."""
     ship(spark)
-    return tokens_out(docs, tokenizer_path(), cache=REMEMBERED)
+    return tokens_out(docs, tokenizer_path(), cache=REMEMBERED, forget=True)
 
 
 STAGES = [

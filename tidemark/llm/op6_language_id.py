@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import documents
-from .text import U, mix, raw, slices
+from .text import U, mix, raw, slices, tidy
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -93,7 +93,7 @@ def _count(batches):
         return k[new], np.add.reduceat(n, new)
 
     shift = U(64 - _DOC_BITS)
-    for b in slices(batches, max_bytes=SLICE):
+    for b in slices(tidy(batches), max_bytes=SLICE):
         names = b.column(b.schema.get_field_index("lang")).to_pylist()
         ids = np.array([known.setdefault(x, len(known)) for x in names], dtype=U)
         keys, n = _grams(*raw(b))
@@ -133,7 +133,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], profile_size: int
     def predict(batches):
         names, tables = sent.value
         shift = U(64 - _DOC_BITS)
-        for b in slices(batches, "__text", SLICE):
+        for b in slices(tidy(batches), "__text", SLICE):
             rows = b.num_rows
             keys, n = _grams(*raw(b, "__text"))
             row, gram = (keys >> shift).astype(np.int64), keys & _GRAM

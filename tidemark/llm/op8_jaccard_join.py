@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .components import connected
 from .store import documents, id_filter, may_hold, written
-from .text import LOWER, U, longs, mix, raw, rows_of, slices, word_hashes, words
+from .text import LOWER, U, longs, mix, raw, rows_of, slices, tidy, word_hashes, words
 
 SHINGLE = 5
 #: The threshold as a fraction: 80 of 100.
@@ -112,7 +112,7 @@ def _scan(batches):
         use = n >= least
         return pa.RecordBatch.from_arrays([pa.array(np.ones(use.sum(), np.int32)), pa.array(np.zeros(use.sum(), np.int64)), pa.array(n[use]), pa.array(longs(t[at][use])), pa.nulls(int(use.sum()), pa.binary())], schema)
 
-    for b in slices(batches):
+    for b in slices(tidy(batches)):
         v, offs = shingle_sets(b)
         bits = pa.array(parities(v, offs), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column(0), pa.array(np.diff(offs)), pa.array(longs(signatures(v, offs))), bits], schema)
@@ -145,7 +145,7 @@ def _prefixes(v: np.ndarray, offs: np.ndarray, order: tuple[np.ndarray, np.ndarr
 
 def _prefix_tokens(order):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(tidy(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(longs(_prefixes(*shingle_sets(b), order.value)[1]))], ["tok"])
 
     return run
@@ -154,7 +154,7 @@ def _prefix_tokens(order):
 def _postings(order, live):
     def run(batches):
         seen = np.zeros(0, U)  # sets of this task that are in the lists already: a task's copies are one
-        for b in slices(batches):
+        for b in slices(tidy(batches)):
             v, offs = shingle_sets(b)
             sig = signatures(v, offs)
             row, tok, pos = _prefixes(v, offs, order.value)
@@ -177,7 +177,7 @@ def _members(wanted):
     """(sig, members as bytes) of the sets that may be wanted."""
 
     def run(batches):
-        for b in slices(batches):
+        for b in slices(tidy(batches)):
             v, offs = shingle_sets(b)
             sig = longs(signatures(v, offs))
             use = np.flatnonzero(may_hold(wanted.value, sig) & (np.diff(offs) > 0))
@@ -343,7 +343,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     def signed(hold: bool):
         def run(batches):
-            for b in slices(batches):
+            for b in slices(tidy(batches)):
                 v, offs = shingle_sets(b)
                 sig = longs(signatures(v, offs))
                 use = np.flatnonzero(((np.diff(offs) > 0) & may_hold(asked.value, sig)) == hold)

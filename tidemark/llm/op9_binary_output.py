@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import documents, fresh, local_uri
-from .text import slices
+from .text import slices, tidy
 
 END = 0
 MASK = 0xA282EAD8
@@ -104,8 +104,11 @@ def framed(doc: int | None, ids: np.ndarray) -> bytes:
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
-def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int | None = None, cache: int = CACHE) -> DataFrame:
-    """Write doc_id and text of docs to folder; returns one row a file: part, name, docs, tokens (with end ids)."""
+def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int | None = None, cache: int = CACHE, forget: bool = False) -> DataFrame:
+    """Write doc_id and text of docs to folder; returns one row a file: part, name, docs, tokens (with end ids).
+
+    A worker remembers the chunks it has seen, up to ``cache`` of them, until its file is written (forget) or for all its files.
+    """
     spark = docs.sparkSession
     n = partitions
     if n is None:
@@ -119,8 +122,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
 
         part, name, at, total, index, out = TaskContext.get().partitionId(), "", 0, 0, [], None
         store, root = fs.FileSystem.from_uri(folder)
-        pa.default_memory_pool().release_unused()  # of a stage that the worker served before
-        for b in slices(batches, max_bytes=WRITE_BYTES):
+        for b in slices(tidy(batches), max_bytes=WRITE_BYTES):
             if out is None:
                 name = f"part-{part:05d}-{uuid.uuid4().hex}"
                 store.create_dir(root, recursive=True)
@@ -138,6 +140,8 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, partitions: int
             out.close()
             with store.open_output_stream(f"{root}/{name}.idx") as f:
                 f.write(np.array(index, INDEX).tobytes())
+            if forget:
+                encoder(tokenizer)[3].clear()
             yield pa.RecordBatch.from_pylist([{"part": part, "name": name, "docs": len(index), "tokens": total}], pa.schema([("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
 
     return dealt.mapInArrow(write, "part int, name string, docs long, tokens long")
@@ -193,13 +197,13 @@ def read_records(spark: SparkSession, files: list[tuple[str, int]], folder: str,
     return frame.repartition(max(1, len(files)), "name").mapInArrow(read, schema) if files else spark.createDataFrame([], schema)
 
 
-def tokens_out(docs: DataFrame, tokenizer: str, folder: str | None = None, cache: int = CACHE) -> DataFrame:
+def tokens_out(docs: DataFrame, tokenizer: str, folder: str | None = None, cache: int = CACHE, forget: bool = False) -> DataFrame:
     """Write docs, then what the files hold: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
     folder = folder or fresh(spark, "records")
     folder = folder if "://" in folder else f"file://{local_uri(folder)}"
     files, before = [], 0
-    for x in sorted(write_records(docs, tokenizer, folder, cache=cache).collect(), key=lambda x: x["part"]):  # one row a file
+    for x in sorted(write_records(docs, tokenizer, folder, cache=cache, forget=forget).collect(), key=lambda x: x["part"]):  # one row a file
         files.append((x["name"], before))
         before += x["tokens"]
     return read_records(spark, files, folder)
