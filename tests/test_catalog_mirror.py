@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.fixed import HIGH_SEAS
 from tidemark.operators import catalog as C
 from tidemark.operators import mirror as M
+from tidemark.plans.outputs import paged
 from tidemark.sources import readers as S
 from tidemark.streaming import feed
 
@@ -76,6 +77,21 @@ def test_pages(spark):
             S.require_complete(bad, limit=2)
 
 
+def test_listings_of_any_length(spark):
+    long = spark.range(1, 702).select(F.col("id").cast("int").alias("page"), F.array_repeat(F.struct(*(F.lit("1").alias(f.name) for f in S.ROW)), F.when(F.col("id") < 701, 2).otherwise(1)).alias("sites"))
+    S.require_complete(long, limit=2)
+    with pytest.raises(ValueError, match="pages are missing"):
+        S.require_complete(long.where("page <> 350"), limit=2)
+
+
+def test_full_pages_end_with_an_empty_one(spark):
+    rows = spark.range(6).select(F.struct("id").alias("key"), F.struct(*(F.col("id").cast("string").alias(f.name) for f in S.ROW)).alias("r"))
+    pages = paged(spark, rows, 3)
+    S.require_complete(pages, limit=3)
+    assert sorted((r["page"], len(r["sites"])) for r in pages.collect()) == [(1, 3), (2, 3), (3, 0)]
+    assert S.site_rows(pages).count() == 6
+
+
 def seeded(spark, tmp_path):
     m = M.Mirror(spark, f"file://{tmp_path}/mirror")
     idx, _ = stores(spark)
