@@ -103,6 +103,26 @@ def test_cells_equal_the_broadcast_tiling(spark, hot):
     assert "CartesianProduct" not in cells._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rounds_of_regions_end_with_the_points(spark, monkeypatch):
+    """Regions that lie over each other are not all met: a point stops at its first one."""
+    rng = random.Random(7)
+    rows = [(i, (x - 0.1, y - 0.1, x + 0.1, y + 0.1)) for i, (x, y) in enumerate((rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(200))]
+    c = spark.createDataFrame(rows, "id int, bbox struct<minx:double,miny:double,maxx:double,maxy:double>")
+    met, plain = [], R._first_of
+    monkeypatch.setattr(R, "_first_of", lambda points, tiles, hot: met.append((points.count(), tiles.count())) or plain(points, tiles, hot))
+    t = tiling(spark, 150)
+    want = {r["id"]: r["region"] for r in R.tag_by_join(c, t).collect()}
+    for sent in (R.SENT, 0):
+        monkeypatch.setattr(R, "SENT", sent)
+        met.clear()
+        assert {r["id"]: r["region"] for r in R.tag_by_cells(c, t, first=8).collect()} == want
+        assert [n for _, n in met] == [8, 24, 96, 22] and [p for p, _ in met] == sorted((p for p, _ in met), reverse=True) and met[-1][0] < met[0][0]
+    world = [[[[-181.0, -91.0], [181.0, -91.0], [181.0, 91.0], [-181.0, 91.0], [-181.0, -91.0]]]]
+    met.clear()
+    assert {r["region"] for r in R.tag_by_cells(c, spark.createDataFrame([(i, f"w{i}", world) for i in range(60)], t.schema), first=5).collect()} == {"w0"}
+    assert met == [(200, 5)]
+
+
 def test_large_tilings_go_to_cells(spark, monkeypatch):
     monkeypatch.setattr(R, "MAX_REGIONS", 100)
     c = spark.createDataFrame([(1, (0.0, 0.0, 1.0, 1.0))], "id int, bbox struct<minx:double,miny:double,maxx:double,maxy:double>")
