@@ -61,6 +61,27 @@ def test_simplify(spark):
     assert r[2]["fallback"] and len(r[2]["display"][0]) == 4 and r[1]["polygon"][0][5] == circle[5]
 
 
+def test_small_rings_are_thinned_together(monkeypatch):
+    """Many rings far below the tolerance take a few passes, not one each, and stay as the tolerance that a ring alone would take leaves them."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    rings = [np.round(rng.normal(size=(rng.integers(4, 60), 2)), 2) * 10.0 ** -rng.integers(4, 9) for _ in range(300)]
+    rings = [np.concatenate((r, r[:1])) for r in rings]
+    calls, plain = [], G._farthest
+    monkeypatch.setattr(G, "_farthest", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    out = G._thin(pa.array([[r.tolist()] for r in rings], pa.list_(pa.list_(pa.list_(pa.float64())))), DEFAULT.tolerance_deg, 12).to_pylist()
+    assert len(calls) < 100
+    for r, got in zip(rings, out, strict=True):
+        clean = r[np.append(True, (r[1:] != r[:-1]).any(axis=1))]
+        tolerance = DEFAULT.tolerance_deg
+        at = lambda: G._thinned(clean[:, 0].copy(), clean[:, 1].copy(), np.array([0]), np.array([len(clean) - 1]), tolerance)  # noqa: E731, B023
+        while at().sum() < 4:
+            tolerance *= 0.99
+        assert not got["fallback"] and got["vertices_in"] == len(r) and abs(got["vertices_out"] - at().sum()) <= 1
+
+
 @pytest.mark.parametrize(
     ("category", "area", "span", "ban", "want"),
     [(9, 10.0, 1.0, True, "categoryId"), (3, 60000.0, 1.0, False, "areaWithoutHardBan"), (6, 60000.0, 1.0, True, None), (3, 50000.0, 1.0, False, None), (3, None, 91.0, False, "bboxSpanWithoutHardBan"), (3, None, 91.0, True, None), (None, None, 90.0, False, None)],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,16 @@ def geometry():
     return F.transform(F.sequence(F.lit(0), (F.col("k") % 3).cast("int")), square)
 
 
+def dense(rings: pa.Array) -> pa.Array:
+    """Polygons of rings of five points, with 100 points on each side."""
+    p = rings.flatten().flatten().to_numpy().reshape(-1, 5, 1, 2)
+    t = np.arange(100).reshape(1, 1, 100, 1)
+    sides = (p[:, :-1] + (p[:, 1:] - p[:, :-1]) * t / 100).reshape(-1, 400, 2)
+    points = np.concatenate((sides, p[:, 0]), axis=1)
+    every = lambda n, of: pa.ListArray.from_arrays(pa.array(np.arange(0, len(of) + 1, n, dtype=np.int32)), of)
+    return every(1, every(401, every(2, pa.array(points.ravel()))))
+
+
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.ranked(sites(spark, sf_dir))
 
