@@ -57,6 +57,15 @@ def test_regions_tallies_sidecars_assets(spark, tmp_path):
     assert got["version_tag"] == "v2026.05.28" and got["regions"][0]["assets"][0]["feature_count"] == 3
 
 
+def test_documents_are_joined_from_ranges(spark, tmp_path):
+    """Files of every range go into their shard's document in order; no task sorts a document."""
+    rows = spark.range(500).select(F.when(F.col("id") % 5 > 0, "a").otherwise("b").alias("shard"), F.col("id").alias("seq"), F.concat(F.when(F.col("id").isin(0, 1), "").otherwise(","), F.format_string('{"n":%d}', "id")).alias("value"))
+    W.write_documents(rows.repartitionByRange(13, "shard", "seq"), f"file://{tmp_path}/docs", '{"features":[', "]}")
+    for shard, want in (("a", [i for i in range(500) if i % 5]), ("b", list(range(0, 500, 5)))):
+        files = list((tmp_path / f"docs/shard={shard}").iterdir())
+        assert [f["n"] for f in json.loads(files[0].read_text())["features"]] == want and len(files) == 1
+
+
 def test_extracts_and_shards_out(spark, tmp_path):
     s = views.judged(spark, SF).limit(20)
     for c in ("country", "state", "managing_authority", "designation", "lfp", "season", "effective_from", "effective_to"):

@@ -26,9 +26,19 @@ def code_expr(i: int) -> str:
     return f"CASE WHEN {x} <= 3 THEN {x} END"
 
 
-def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw features with text properties, as a scan gives them, and their key k."""
-    o = orders(spark, sf_dir).selectExpr("o_orderkey AS k", "o_custkey AS c", "o_totalprice / 4D AS area", "CAST(o_orderdate AS DATE) AS last_update")
+#: Sites of a range, about.
+RANGE = 100_000
+
+
+def sites(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame:
+    """Raw features with text properties, as a scan gives them, and their key k; ranged: in order of partition and k, in as many ranges as there are ``RANGE`` of them.
+
+    The few columns that all others derive from are dealt, so neither the sampling of ranges nor their shuffle sees a wide row.
+    """
+    o = orders(spark, sf_dir).selectExpr("o_orderkey AS k", "o_custkey AS c", "o_totalprice / 4D AS area", "CAST(o_orderdate AS DATE) AS last_update", "concat('P', o_orderkey % 3, CASE WHEN o_orderkey % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END) AS partition")
+    if ranged:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-o.count() // RANGE))
+        o = o.repartitionByRange(n, "partition", "k").sortWithinPartitions("partition", "k")
     label = F.element_at(F.array(*map(F.lit, [*CATEGORIES, DRIFT])), (F.col("k") % 12 + 1).cast("int"))
     return o.select(
         "k",
@@ -36,7 +46,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         "last_update",
         F.concat(F.lit("S"), F.col("k").cast("string")).alias("SITE_ID"),
         label.alias("category_name"),
-        F.expr("concat('P', k % 3, CASE WHEN k % 29 = 0 THEN '_HighSeas_x' ELSE '_Coast_x' END)").alias("partition"),
+        "partition",
         F.col("area").cast("string").alias("marine_area"),
         F.expr("CASE WHEN k % 5 = 0 THEN '  ' ELSE concat(' Area ', k, ' ') END").alias("site_name"),
         F.expr("CASE k % 4 WHEN 0 THEN '0' WHEN 1 THEN concat(k, '; ', c) WHEN 2 THEN concat(k, '_B') END").alias("wdpa_id"),
