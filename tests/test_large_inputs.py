@@ -173,6 +173,15 @@ def test_a_box_reads_few_row_groups(spark, tmp_path):
     assert len(found) <= read < len(rows) / 4
 
 
+def test_features_are_ranged_before_they_are_wide(spark):
+    """What is sampled and shuffled for the ranges of landed features is the few columns that the others derive from."""
+    from tidemark.plans import outputs
+
+    plan = outputs.feature_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression", 1)
+    assert "SITE_ID" in above and "SITE_ID" not in below and "partition" in below
+
+
 def test_normalize_reads_its_input_once(spark, tmp_path):
     """Every feature passes the scan once, whatever is read back."""
     feats = [{"type": "Feature", "properties": {"SITE_ID": f"S{i}", "marine_area": str(i * 1000)}, "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]} if i % 4 else None} for i in range(60)]
