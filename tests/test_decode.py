@@ -56,3 +56,18 @@ def test_freshness_and_days(spark):
     df = spark.sql("select * from values (null, date'2024-01-01'), (date'2024-01-02', null), (date'2024-01-02', date'2024-01-02'), (date'2024-01-03', date'2024-01-02') as t(u, p)")
     assert [r[0] for r in df.select(DT.is_newer(F.col("u"), F.col("p"))).collect()] == [False, True, False, True]
     assert [r[0] for r in df.select(DT.days_between(F.col("p"), F.col("u"))).collect()] == [DT.NEVER, DT.NEVER, 0, 1]
+
+
+def test_trimming_takes_what_the_pattern_of_white_space_takes_without_a_pattern(spark, capsys):
+    points = [i for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([(f"{chr(i)}a{chr(i)}b{chr(i)}",) for i in points], "x string")
+    pattern = F.regexp_replace("x", r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$", "")
+    assert not df.where(~D.trimmed(F.col("x")).eqNullSafe(pattern)).count()
+    df.select(D.trimmed(F.col("x"))).explain()
+    assert "regexp" not in capsys.readouterr().out
+
+
+def test_summary_of_parts_that_are_absent_or_only_markup(spark):
+    df = spark.createDataFrame([(1, None, " ", None), (2, "<br>", None, None), (3, "a<br/>b", None, " c ")], "i int, x string, y string, z string")
+    got = [r["s"] for r in df.select("i", D.summary(*map(F.col, "xyz")).alias("s")).orderBy("i").collect()]
+    assert got == [None, "", "a\nb\n\nc"]

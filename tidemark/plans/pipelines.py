@@ -16,7 +16,7 @@ from ..operators import exclude as X
 from ..operators import manifest as MF
 from ..operators import mirror as M
 from ..operators import regions as R
-from ..session import shared_dir
+from ..session import shared_dir, split_code
 from ..sources import readers as S
 from ..sources import writers as W
 
@@ -50,9 +50,10 @@ def normalize(features: DataFrame, config: Config = DEFAULT, path: str | None =
     """
     path = path or f"{shared_dir(features.sparkSession)}/normalized-{uuid.uuid4().hex}"
     rows = normalized(features, config)
-    rows.withColumn("whole", F.col("component_index").isNotNull()).write.partitionBy("whole").parquet(path)
-    rows = features.sparkSession.read.schema(rows.schema.add("whole", "boolean")).parquet(path)
-    return rows.where("whole").drop("whole", "drop_reason", "excluded"), X.tally_rows(rows)
+    with split_code(features.sparkSession):
+        rows.write.parquet(path)
+    rows = features.sparkSession.read.schema(rows.schema).parquet(path)
+    return rows.where("component_index IS NOT NULL").drop("drop_reason", "excluded"), X.tally_rows(rows)
 
 
 @dataclass(frozen=True)
