@@ -108,3 +108,13 @@ def test_pipeline_stages(spark, docs, tmp_path):
             out = stage(spark, rows, d)
             assert out.columns == docs.columns, name
             out.collect()
+
+
+def test_groups_give_free_memory_back_before_and_after(monkeypatch):
+    from tidemark.llm import text
+
+    seen = []
+    monkeypatch.setattr(text, "release", lambda: seen.append("release"))
+    assert text.tidied(lambda a, b: seen.append("groups") or a + b)(1, 2) == 3
+    assert text.tidied(lambda a: seen.append("group") or a)(1) == 1
+    assert seen == ["release", "groups", "release", "release", "group", "release"]

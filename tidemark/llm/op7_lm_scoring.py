@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .op6_language_id import held_out
 from .store import documents, written
-from .text import LOWER, U, longs, mix, raw, slices, word_hashes, words
+from .text import LOWER, U, longs, mix, raw, slices, tidied, tidy, word_hashes, words
 
 GROUP_BYTES = 8 << 20
 END_TOKEN = np.uint64(0x656E64206F662074)
@@ -106,14 +106,15 @@ class Texts(NamedTuple):
 
 def read(docs: pa.Table, shape: Shape, size: int) -> Texts:
     hs, ks, lens, rows = [], [], [np.zeros(1, np.int64)], []
+    kind = np.int32 if FEATURES * size < 1 << 31 else np.int64  # sorted below, at half the memory
     for b in slices(docs.to_batches()):
         h, k, offs = tokens(b, shape)
         hs.append(h)
         ks.append(k)
         lens.append(np.diff(offs))
-        rows.append(histories(h, offs, size))
+        rows.append(histories(h, offs, size).astype(kind))
     found, at = np.unique(np.concatenate(rows).ravel(), return_inverse=True)
-    return Texts(np.concatenate(hs), np.concatenate(ks), np.cumsum(np.concatenate(lens)), found, at.astype(np.int32).reshape(-1, FEATURES))
+    return Texts(np.concatenate(hs), np.concatenate(ks), np.cumsum(np.concatenate(lens)), found.astype(np.int64), at.astype(np.int32).reshape(-1, FEATURES))
 
 
 def _exponentials(v: np.ndarray, prior: np.ndarray) -> np.ndarray:
@@ -194,6 +195,7 @@ def _cuts(rows: np.ndarray, size: int, shards: int) -> tuple[np.ndarray, int]:
 def weights(d: DataFrame, sent, shape: Shape, size: int, shards: int) -> DataFrame:
     """g, shard, body: trained weights of the rows that a group's texts meet in a shard, in order of the rows."""
 
+    @tidied
     def train(docs: pa.Table) -> pa.Table:
         docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("text", "ascending")]))  # whatever order they came in
         t = read(docs, shape, size)
@@ -209,6 +211,7 @@ def weights(d: DataFrame, sent, shape: Shape, size: int, shards: int) -> DataFra
         g = pa.repeat(docs.column("g")[0], len(out["shard"]))
         return pa.table([g, pa.array(out["shard"], pa.int32()), pa.array(out["body"], pa.binary())], ["g", "shard", "body"])
 
+    @tidied
     def merge(bodies: pa.Table) -> pa.Table:
         rows, n, w = [], [], []
         for body in bodies.column("body").to_pylist():
@@ -233,7 +236,7 @@ def _distinct(shape: Shape):
     """(group, token, class, n): tokens of each group with their number in training texts, summed over a run of rows."""
 
     def run(batches):
-        for b in slices(batches, max_bytes=8 << 20):
+        for b in slices(tidy(batches), max_bytes=8 << 20):
             h, k, offs = tokens(b, shape)
             g = np.repeat(b.column(1).to_numpy(zero_copy_only=False), np.diff(offs))
             learn = np.repeat(b.column(2).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offs))
@@ -268,6 +271,7 @@ def score(docs: DataFrame, held: Column, shape: Shape = Shape()) -> DataFrame:
     learned = written(weights(d, sent, shape, rows, groups), "weights")
     base_log = math.log10(total + distinct + 1)
 
+    @tidied
     def group(docs: pa.Table, known: pa.Table) -> pa.Table:
         none = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if not docs.num_rows:
