@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import documents
+from .text import tidy
 
 ERROR_RATE = 0.08
 MIN_CHARS = 20
@@ -159,7 +160,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
         def match(batches, sent=sent):
             items = sent.value
             machine = automaton(items, error_rate, min_chars)
-            for b in batches:
+            for b in tidy(batches):
                 rows = [(d, *hit) for d, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if s for hit in scan(s, machine, items, error_rate, min_chars)]
                 if rows:
                     cols = list(zip(*rows, strict=True))
@@ -181,7 +182,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
         def clean(batches, sent=sent):
             items = sent.value
             machine = automaton(items, error_rate, min_chars)
-            for b in batches:
+            for b in tidy(batches):
                 keep = [not (s and scan(s, machine, items, error_rate, min_chars)) for s in b.column(at).to_pylist()]
                 yield b.filter(pa.array(keep, pa.bool_()))
 
