@@ -16,9 +16,9 @@ rows it meets; the rows go to shards by row number, where those of all groups ar
 group gets back the rows that its texts meet.  On the way a weight has four bits (steps of ``STEP``).
 
 Counts cover the whole training corpus and are exact up to a 64-bit hash of the token.  Documents are
-dealt into groups of about ``GROUP_BYTES`` of text by a hash of their id; each group's distinct tokens get
-their corpus counts by one shuffle on the token and one back to the group, so a frequent token
-costs one row a group, and no task holds the vocabulary.
+dealt into groups of about ``GROUP_BYTES`` of text by a hash of their id; each group's distinct tokens go to the shards
+by ranges of their hash, with the rows, and come back with their corpus counts, so a frequent token
+costs one entry a group, and no task holds the vocabulary.  Texts are shuffled once, compressed: training and scoring are one plan.
 
 Defined cases: a null or empty text is the end token alone; with an empty training part N = V = 0 and
 all counts are 0; repeated rows are scored each; an empty table gives no rows; other columns are ignored.
@@ -32,7 +32,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .op6_language_id import held_out
@@ -104,77 +104,122 @@ class Texts(NamedTuple):
     at: np.ndarray
 
 
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and each value's place among them."""
+    coded = pa.array(x).dictionary_encode()
+    found = coded.dictionary.to_numpy()
+    o = np.argsort(found)
+    place = np.empty(len(o), np.int32)
+    place[o] = np.arange(len(o), dtype=np.int32)
+    return found[o], place[coded.indices.to_numpy()]
+
+
 def read(docs: pa.Table, shape: Shape, size: int) -> Texts:
     hs, ks, lens, rows = [], [], [np.zeros(1, np.int64)], []
-    kind = np.int32 if FEATURES * size < 1 << 31 else np.int64  # sorted below, at half the memory
+    kind = np.int32 if FEATURES * size < 1 << 31 else np.int64  # at half the memory
     for b in slices(docs.to_batches()):
         h, k, offs = tokens(b, shape)
         hs.append(h)
-        ks.append(k)
+        ks.append(k.astype(np.uint8))
         lens.append(np.diff(offs))
         rows.append(histories(h, offs, size).astype(kind))
-    found, at = np.unique(np.concatenate(rows).ravel(), return_inverse=True)
-    return Texts(np.concatenate(hs), np.concatenate(ks), np.cumsum(np.concatenate(lens)), found.astype(np.int64), at.astype(np.int32).reshape(-1, FEATURES))
-
-
-def _exponentials(v: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """prior * exp(v . signs) of every history (a column), summing to one: products of exp(v), doubled bit by bit."""
-    ratio = np.exp(np.float32(2) * np.clip(v, -LARGE, LARGE))
+    h, found = np.concatenate(hs), []
+    at = np.empty((len(h), FEATURES), np.int32)
+    for j in range(FEATURES):  # a kind's rows come before those of the next
+        distinct, place = _numbered(np.concatenate([x[:, j] for x in rows]))
+        at[:, j] = place + sum(map(len, found))
+        found.append(distinct)
+    return Texts(h, np.concatenate(ks), np.cumsum(np.concatenate(lens)), np.concatenate(found).astype(np.int64), at)
+
+
+def _exponentials(v: np.ndarray) -> np.ndarray:
+    """exp(v . signs) of every history (a column): products of exp(v), doubled bit by bit."""
+    ratio = np.exp(np.float32(2) * v)
     out = np.empty((1 << len(v), v.shape[1]), np.float32)
-    out[0] = 1 / np.sqrt(ratio.prod(axis=0))
+    np.exp(-v.sum(axis=0), out=out[0])
     for j in range(len(v)):
         np.multiply(out[: 1 << j], ratio[j], out=out[1 << j : 2 << j])
-    out = out[: len(prior)]
-    out *= prior
-    out /= out.sum(axis=0)
     return out
 
 
 class Softmax(NamedTuple):
-    """Both factors: class biases, and the sums of count + 1 (and of the unseen word) by class and code."""
+    """Both factors: class biases, and the sums of count + 1 (and of the unseen word) by class and code.
+
+    Tokens come ordered by class, a token a column, so that those of one class share one product of matrices.
+    """
 
     bias: np.ndarray
     mass: np.ndarray
 
-    def probabilities(self, v: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(class | history), and P(code | class, history) for each token's class; both hold a token a column."""
-        return _exponentials(v.T[:CLASS_BITS], np.exp(self.bias)[:, None]), _exponentials(v.T[CLASS_BITS:], np.ascontiguousarray(self.mass.T)[:, k])
+    def sums(self, v: np.ndarray, k: np.ndarray, parts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of parts the sum, over the classes and over the codes of the token's class, of its products with the weights of these."""
+        first = (parts[0] * np.exp(self.bias)) @ _exponentials(v[:CLASS_BITS])[: len(self.bias)]
+        e, second = _exponentials(v[CLASS_BITS:]), np.empty((len(parts[1]), len(k)), np.float32)
+        cut = np.searchsorted(k, np.arange(len(self.mass) + 1))
+        for i in np.flatnonzero(np.diff(cut)):
+            x = slice(cut[i], cut[i + 1])
+            second[:, x] = (parts[1] * self.mass[i]) @ e[:, x]
+        return first, second
 
     def logs(self, v: np.ndarray, k: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Natural logs of P(word | history) for words with hashes h and counts n."""
-        p, q = self.probabilities(v, k)
-        i, s = np.arange(len(k)), codes(h)
-        return np.log(p[k, i].astype(np.float64)) + np.log(q[s, i].astype(np.float64)) + np.log((n + 1.0) / self.mass[k, s])
+        """Natural logs of P(word | history) for words with hashes h and counts n, in any order; v has a row a word."""
+        o = np.argsort(k.astype(np.uint8), kind="stable")
+        c, s = signs(CLASS_BITS)[:, : len(self.bias)], signs(WORD_BITS)
+        x, k, code = np.clip(v[o].T, -LARGE, LARGE), k[o], codes(h[o])
+        first, second = self.sums(x, k, (np.ones((1, c.shape[1]), np.float32), np.ones((1, s.shape[1]), np.float32)))
+        own = (x[:CLASS_BITS] * c[:, k]).sum(axis=0) + (x[CLASS_BITS:] * s[:, code]).sum(axis=0) + self.bias[k]
+        out = np.empty(len(o))
+        out[o] = own - np.log(first[0].astype(np.float64)) - np.log(second[0].astype(np.float64)) + np.log(n[o] + 1.0)
+        return out
 
 
 def fit(t: Texts, learn: np.ndarray, model: Softmax, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Weights of t.rows after one pass over the tokens marked in learn, and how often these met each row."""
-    w, acc = np.zeros((len(t.rows), WIDTH), np.float32), np.full((len(t.rows), 1), 1e-6, np.float32)
-    c, s, code = signs(CLASS_BITS)[:, : shape.classes], signs(WORD_BITS), codes(t.h)
+    w = np.zeros((len(t.rows), WIDTH + 1), np.float32)  # the last column: summed squares of the slopes
+    w[:, WIDTH] = 1e-6
+    c, s = signs(CLASS_BITS)[:, : shape.classes], signs(WORD_BITS)
+    with_sum = lambda x: np.concatenate([np.ones((1, x.shape[1]), np.float32), x])
+    parts = with_sum(c), with_sum(s)
     order = np.random.default_rng(len(t.h)).permutation(np.flatnonzero(learn))  # a batch mixes texts
     for lo in range(0, len(order), shape.batch):
         i = order[lo : lo + shape.batch]
-        r, k = t.at[i], t.k[i]
-        p, q = model.probabilities(w[r].sum(axis=1), k)
-        g = np.concatenate([c @ p - c[:, k], s @ q - s[:, code[i]]]).T
-        flat = r.ravel()
+        i = i[np.argsort(t.k[i], kind="stable")]
+        flat, k = t.at[i].ravel(), t.k[i]
         o = np.argsort(flat, kind="stable")
-        at = np.flatnonzero(np.concatenate(([True], flat[o][1:] != flat[o][:-1])))
-        u, d = flat[o][at], np.add.reduceat(g[o // FEATURES], at, axis=0)
-        acc[u] += (d * d).mean(axis=1, keepdims=True)
-        w[u] -= shape.rate * d / np.sqrt(acc[u])
-    return w, np.bincount(t.at[order].ravel(), minlength=len(t.rows))
+        sorted_ = flat[o]
+        new = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
+        at, place = np.flatnonzero(new), np.empty(len(o), np.int32)
+        place[o] = np.cumsum(new, dtype=np.int32) - 1
+        u = sorted_[at]
+        x = w.take(u, axis=0)  # each row is fetched and stored once a batch
+        one, two, both = place.reshape(-1, FEATURES).T
+        v = x.take(one, axis=0) + x.take(two, axis=0) + x.take(both, axis=0)
+        first, second = model.sums(np.clip(v[:, :WIDTH].T, -LARGE, LARGE), k, parts)
+        g = np.concatenate([first[1:] / first[0] - c[:, k], second[1:] / second[0] - s[:, codes(t.h[i])]]).T.copy()
+        d = np.add.reduceat(g.take(o // FEATURES, axis=0), at, axis=0)
+        x[:, WIDTH] += np.einsum("ij,ij->i", d, d) / np.float32(WIDTH)
+        x[:, :WIDTH] -= d * (np.float32(shape.rate) / np.sqrt(x[:, WIDTH:]))
+        w[u] = x
+    return w[:, :WIDTH], np.bincount(t.at[order].ravel(), minlength=len(t.rows))
 
 
 def packed(w: np.ndarray) -> bytes:
     """Two weights a byte."""
-    q = (np.clip(np.rint(w / np.float32(STEP)), -7, 7) + 8).astype(np.uint8)
-    return ((q[:, ::2] << 4) | q[:, 1::2]).T.tobytes()
+    q = np.empty((WIDTH // 2, len(w)), np.uint8)
+    for j, out in enumerate(q):
+        pair = (np.clip(np.rint(w[:, 2 * j : 2 * j + 2] / np.float32(STEP)), -7, 7) + 8).astype(np.uint8)
+        out[:] = (pair[:, 0] << 4) | pair[:, 1]
+    return q.tobytes()
 
 
 def unpacked(data: np.ndarray) -> np.ndarray:
-    q = data.reshape(WIDTH // 2, -1).T
-    return ((np.stack([q >> 4, q & 15], axis=2).reshape(-1, WIDTH)).astype(np.float32) - 8) * np.float32(STEP)
+    q = data.reshape(WIDTH // 2, -1)
+    out = np.empty((q.shape[1], WIDTH), np.float32)
+    for j, x in enumerate(q):
+        out[:, 2 * j], out[:, 2 * j + 1] = x >> 4, x & 15
+    out -= 8
+    out *= np.float32(STEP)
+    return out
 
 
 def _squeezed(*parts: bytes) -> bytes:
@@ -186,64 +231,113 @@ def _full(body: bytes) -> np.ndarray:
     return np.frombuffer(_ZSTD.decompress(body[4:], int.from_bytes(body[:4], "little"), asbytes=True), np.uint8)
 
 
+def _bytes_apart(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _together(data: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _cuts(rows: np.ndarray, size: int, shards: int) -> tuple[np.ndarray, int]:
     """Where the rows of each shard begin among sorted rows (and the end), and a shard's number of rows."""
     span = -(-FEATURES * size // shards)
     return np.searchsorted(rows, np.arange(shards + 1) * span), span
 
 
-def weights(d: DataFrame, sent, shape: Shape, size: int, shards: int) -> DataFrame:
-    """g, shard, body: trained weights of the rows that a group's texts meet in a shard, in order of the rows."""
+def _word_cuts(h: np.ndarray, shards: int) -> np.ndarray:
+    """Where the hashes of each shard begin among sorted hashes (and the end)."""
+    return np.concatenate((np.searchsorted(h, np.arange(shards, dtype=U) * U(((1 << 64) - 1) // shards)), [len(h)]))
+
+
+def _texts(docs: pa.Table) -> pa.Table:
+    """docs with the texts that ``dealt`` has packed, in an order of their own, whatever order they came in."""
+    text = pa.array([_ZSTD.decompress(x[4:], int.from_bytes(x[:4], "little"), asbytes=True) for x in docs.column("text").to_pylist()], pa.binary())
+    docs = docs.set_column(docs.column_names.index("text"), "text", text)
+    return docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("text", "ascending")])).combine_chunks()
+
+
+def dealt(d: DataFrame) -> DataFrame:
+    """d with texts compressed, as all of them are shuffled."""
+
+    def run(batches):
+        for b in slices(tidy(batches)):
+            at = b.schema.get_field_index("text")
+            text = pa.array([_squeezed(x) for x in b.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+            yield b.set_column(at, "text", text)
+
+    return d.mapInArrow(run, "doc_id long, text binary, held_out boolean, g int")
+
+
+def learned(d: DataFrame, sent, shape: Shape, size: int, shards: int) -> DataFrame:
+    """g, shard, body, words: trained weights of the rows, and corpus counts of the tokens, that a group's texts meet in a shard, in their order."""
+    schema = "g int, shard int, body binary, words binary"
+    names = ["g", "shard", "body", "words"]
 
     @tidied
     def train(docs: pa.Table) -> pa.Table:
-        docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("text", "ascending")]))  # whatever order they came in
+        docs = _texts(docs)
         t = read(docs, shape, size)
-        w, n = fit(t, np.repeat(~docs.column("held_out").to_numpy(), np.diff(t.offs)), sent.value, shape)
+        learn = np.repeat(~docs.column("held_out").to_numpy(), np.diff(t.offs))
+        h, place = _numbered(t.h)
+        c, of_word = np.bincount(place[learn], minlength=len(h)), _word_cuts(h, shards)
+        w, n = fit(t, learn, sent.value, shape)
         n = np.minimum(n, 255).astype(np.uint8)
         cut, span = _cuts(t.rows, size, shards)
-        out = {"shard": [], "body": []}
-        for i in np.flatnonzero(np.diff(cut)):
-            x = slice(cut[i], cut[i + 1])
-            gaps = np.diff(t.rows[x] - i * span, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
-            out["shard"].append(i)
-            out["body"].append(_squeezed(gaps.T.tobytes(), n[x].tobytes(), packed(w[x])))
-        g = pa.repeat(docs.column("g")[0], len(out["shard"]))
-        return pa.table([g, pa.array(out["shard"], pa.int32()), pa.array(out["body"], pa.binary())], ["g", "shard", "body"])
-
-    @tidied
-    def merge(bodies: pa.Table) -> pa.Table:
-        rows, n, w = [], [], []
-        for body in bodies.column("body").to_pylist():
+        shard = np.flatnonzero(np.diff(cut) + np.diff(of_word))
+        body, words = [], []
+        for i in shard:
+            x, y = slice(cut[i], cut[i + 1]), slice(of_word[i], of_word[i + 1])
+            gaps = np.diff(t.rows[x] - i * span, prepend=0).astype("<u4")
+            body.append(_squeezed(_bytes_apart(gaps), n[x].tobytes(), packed(w[x])))
+            words.append(_squeezed(h[y].astype("<u8").tobytes(), _bytes_apart(c[y].astype("<u4"))))
+        return pa.table([pa.repeat(docs.column("g")[0], len(shard)), pa.array(shard, pa.int32()), pa.array(body, pa.binary()), pa.array(words, pa.binary())], names)
+
+    def means(bodies: list[bytes]) -> list[bytes]:
+        rows, n, q = [], [], []
+        for body in bodies:
             x = _full(body)
             m = len(x) // (5 + WIDTH // 2)
-            rows.append(np.cumsum(np.ascontiguousarray(x[: 4 * m].reshape(4, m).T).view("<u4").ravel(), dtype=np.int64))
-            n.append(x[4 * m : 5 * m].astype(np.float32))
-            w.append(x[5 * m :])
-        _, at = np.unique(np.concatenate(rows), return_inverse=True)
-        total = np.bincount(at, np.concatenate(n))
-        v = np.concatenate([unpacked(x) for x in w]) * np.concatenate(n)[:, None]
-        mean = np.stack([np.bincount(at, v[:, j]) / np.maximum(total, 1) for j in range(WIDTH)], axis=1).astype(np.float32)
-        cut = np.cumsum([0, *map(len, rows)])
-        out = [_squeezed(packed(mean[at[a:b]])) for a, b in zip(cut, cut[1:], strict=False)]
-        return pa.table([bodies.column("g"), bodies.column("shard"), pa.array(out, pa.binary())], ["g", "shard", "body"])
-
-    schema = "g int, shard int, body binary"
+            rows.append(np.cumsum(_together(x[: 4 * m], "<u4"), dtype=np.int64))
+            n.append(x[4 * m : 5 * m])
+            q.append(x[5 * m :].reshape(WIDTH // 2, m))
+        _, at = _numbered(np.concatenate(rows))
+        times, cut = np.concatenate(n).astype(np.float64), np.cumsum([0, *map(len, rows)])
+        total, q = np.maximum(np.bincount(at, times), 1), np.concatenate(q, axis=1)
+        for pair in q:
+            high, low = (np.rint(np.bincount(at, (x.astype(np.float64) - 8) * times) / total).astype(np.int8) + 8 for x in (pair >> 4, pair & 15))
+            pair[:] = ((high << 4) | low).astype(np.uint8)[at]
+        return [_squeezed(q[:, a:b].tobytes()) for a, b in zip(cut, cut[1:], strict=False)]
+
+    def counts(words: list[bytes]) -> list[bytes]:
+        h, c = [], []
+        for x in map(_full, words):
+            m = len(x) // 12
+            h.append(x[: 8 * m].view("<u8"))
+            c.append(_together(x[8 * m :], "<u4"))
+        _, at = _numbered(np.concatenate(h))
+        total, cut = np.bincount(at, np.concatenate(c)).astype("<i8"), np.cumsum([0, *map(len, h)])
+        return [_squeezed(_bytes_apart(total[at[a:b]])) for a, b in zip(cut, cut[1:], strict=False)]
+
+    @tidied
+    def merge(t: pa.Table) -> pa.Table:
+        body, words = means(t.column("body").to_pylist()), counts(t.column("words").to_pylist())
+        return pa.table([t.column("g"), t.column("shard"), pa.array(body, pa.binary()), pa.array(words, pa.binary())], names)
+
     return d.groupBy("g").applyInArrow(train, schema).groupBy("shard").applyInArrow(merge, schema)
 
 
 def _distinct(shape: Shape):
-    """(group, token, class, n): tokens of each group with their number in training texts, summed over a run of rows."""
+    """(token, class, n): tokens of training texts with their number, summed over a run of rows."""
 
     def run(batches):
         for b in slices(tidy(batches), max_bytes=8 << 20):
-            h, k, offs = tokens(b, shape)
-            g = np.repeat(b.column(1).to_numpy(zero_copy_only=False), np.diff(offs))
-            learn = np.repeat(b.column(2).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offs))
-            o = np.lexsort((h, g))
-            g, h, k, learn = g[o], h[o], k[o], learn[o]
-            at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))))
-            yield pa.RecordBatch.from_arrays([pa.array(g[at].astype(np.int32)), pa.array(longs(h[at])), pa.array(k[at].astype(np.int16)), pa.array(np.add.reduceat(learn, at))], ["g", "h", "k", "n"])
+            h, k, _ = tokens(b, shape)
+            distinct, place = _numbered(h)
+            kinds = np.empty(len(distinct), np.int16)
+            kinds[place] = k
+            yield pa.RecordBatch.from_arrays([pa.array(longs(distinct)), pa.array(kinds), pa.array(np.bincount(place, minlength=len(distinct)))], ["h", "k", "n"])
 
     return run
 
@@ -255,20 +349,15 @@ def score(docs: DataFrame, held: Column, shape: Shape = Shape()) -> DataFrame:
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, math.ceil(size / GROUP_BYTES))
     d = d.withColumn("g", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.octet_length("text")), F.lit(groups)).cast("int"))
-    # the texts come together by group, so that each group counts its distinct tokens once
-    dealt = d.repartition("g").select("text", "g", (~F.col("held_out")).alias("learn"))
-    rows = dealt.mapInArrow(_distinct(shape), "g int, h long, k short, n long").groupBy("g", "h").agg(F.first("k").alias("k"), F.sum("n").alias("n"))
-    by = Window.partitionBy("h")
-    counts = written(rows.withColumn("c", F.sum("n").over(by)).withColumn("first", F.row_number().over(by.orderBy("g")) == 1).where("c > 0").select("g", "h", "k", "c", "first"), "counts")
+    counts = d.where(~F.col("held_out")).select("text").mapInArrow(_distinct(shape), "h long, k short, n long").groupBy("h").agg(F.first("k").alias("k"), F.sum("n").alias("c"))
     code = F.shiftrightunsigned("h", 20).bitwiseAND((1 << WORD_BITS) - 1)
     n, v = np.zeros((2, shape.classes, 1 << WORD_BITS))
-    for x in counts.where("first").groupBy("k", code.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # classes x codes rows
+    for x in counts.groupBy("k", code.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # classes x codes rows
         n[x["k"], x["s"]], v[x["k"], x["s"]] = x["n"], x["v"]
     total, distinct = int(n.sum()), int(v.sum())
     bias = np.log((n.sum(axis=1) + 1) / (total + shape.classes)).astype(np.float32)
     sent = spark.sparkContext.broadcast(Softmax(bias, (n + v + 1).astype(np.float32)))
     rows = max(ROWS, total)
-    learned = written(weights(d, sent, shape, rows, groups), "weights")
     base_log = math.log10(total + distinct + 1)
 
     @tidied
@@ -277,30 +366,26 @@ def score(docs: DataFrame, held: Column, shape: Shape = Shape()) -> DataFrame:
         if not docs.num_rows:
             return none.empty_table()
         model = sent.value
+        docs = _texts(docs)
         t = read(docs, shape, rows)
-        bodies = known.filter(pc.is_valid(known.column("body")))
-        bodies = dict(zip(bodies.column("shard").to_pylist(), bodies.column("body").to_pylist(), strict=True))
-        w = np.concatenate([unpacked(_full(bodies[i])) for i in sorted(bodies)])
-        known = known.filter(pc.is_valid(known.column("h")))
-        h = known.column("h").to_numpy().view(U)
-        o = np.argsort(h)
-        h, c = h[o], known.column("c").to_numpy()[o]
-        if len(h):
-            j = np.minimum(np.searchsorted(h, t.h), len(h) - 1)
-            n = np.where(h[j] == t.h, c[j], 0)
-        else:
-            n = np.zeros(len(t.h), np.int64)
+        known = known.take(pc.sort_indices(known, [("shard", "ascending")]))
+        w = np.concatenate([unpacked(_full(x)) for x in known.column("body").to_pylist()])
+        n = np.concatenate([_together(_full(x), "<i8") for x in known.column("words").to_pylist()])[_numbered(t.h)[1]]
         p = np.empty(len(t.h))
         for lo in range(0, len(p), shape.batch):
             s = slice(lo, lo + shape.batch)
-            p[s] = model.logs(w[t.at[s]].sum(axis=1), t.k[s], t.h[s], n[s])
+            one, two, both = t.at[s].T
+            p[s] = model.logs(w.take(one, axis=0) + w.take(two, axis=0) + w.take(both, axis=0), t.k[s], t.h[s], n[s])
         at, n_tokens = t.offs[:-1], np.diff(t.offs)
         base = np.add.reduceat(np.log10(n + 1.0), at) - n_tokens * base_log
         cols = [docs.column("doc_id"), docs.column("held_out"), n_tokens, np.add.reduceat((n > 0).astype(np.int64), at), np.full(len(at), total), base, np.add.reduceat(p, at) / math.log(10)]
         return pa.table(cols, schema=none)
 
-    known = counts.select("g", "h", "c", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("binary").alias("body")).unionByName(learned.select("g", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("c"), "shard", "body"))
-    return d.select("doc_id", "text", "held_out", "g").groupBy("g").cogroup(known.groupBy("g")).applyInArrow(group, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    # one plan, so that both uses of the texts share one shuffle
+    texts = dealt(d.select("doc_id", "text", "held_out", "g"))
+    known = learned(texts, sent, shape, rows, groups)
+    scores = texts.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(group, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return written(scores, "scores")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
