@@ -1,10 +1,13 @@
-"""What the operators shuffle and write."""
+"""What the operators shuffle, write and encode."""
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from tidemark.llm import op7_lm_scoring as o7
+from tidemark.llm import op9_binary_output as o9
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,3 +21,29 @@ def test_language_model_shuffles_texts_once(spark, monkeypatch):
     assert list(seen) == ["scores"]
     seen["scores"].collect()
     assert "ReusedExchange" in seen["scores"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_encoder_gets_words_together(monkeypatch):
+    """Words of letters are encoded many at once, with the ids that each text has alone."""
+    path = o9.tokenizer_path()
+    t, *rest = o9.encoder(path)
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return t.encode_batch_fast(texts, **options)
+
+        def encode(self, *args, **options):
+            return t.encode(*args, **options)
+
+    monkeypatch.setattr(o9, "encoder", lambda _: (Counted(), rest[0], rest[1], cache, *rest[3:]))
+    cache: dict[str, bytes] = {}
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghéüßñŁжλ漢ªǅ") for _ in range(rng.randint(1, 9)))
+    texts = [" ".join(word() + rng.choice(["", "", "", ".", ",", "!!", ".%%%", "'s", "'", ".'", "½", "_", "7", "́", "-x", "<|"]) for _ in range(300)) for _ in range(20)]
+    texts += ["an end<|endoftext|> within", "", " ", "  a  b\n c d　e", "a b  c. d,, e", " 're I'll don't 'S", "x.y z!", "\U0001e900\U00010d4a \U0002ebf0"]
+    got = o9.encode(texts, path)
+    assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    alike = {x for x in cache if x[0] == " " and x[1:].isalpha()}
+    assert len(alike) > 1000 and sum(x in alike for x in given) < len(alike) / 10

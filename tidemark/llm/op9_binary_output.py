@@ -16,7 +16,7 @@ lost executor costs nothing but its task.  Files go through ``pyarrow.fs`` to th
 
 The library's own encoder sees each distinct chunk (a run of non-space characters with the space
 before it) once; the vocabulary's pre-tokenizer never joins two such chunks, so a text's ids are
-its chunks' ids in order.  Texts that hold an added token's string go to the encoder whole.
+its chunks' ids in order.  New words of a space and letters go to it many at once, as one text.  Texts that hold an added token's string go to the encoder whole.
 
 Defined cases: a null or empty text is a record of the end id alone; equal doc_ids keep all their
 rows; null doc_ids come last; an empty table gives no rows and no files; other columns of the input are ignored.
@@ -53,7 +53,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length
 #: Unicode white space, as the vocabulary's pre-tokenizer sees it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-MARKS = (".", ",")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe, which may belong to letters after it
+JOINED = 200  # words that are encoded as one text
 CACHE = 1_500_000  # chunks a worker remembers; some 200 MB
 
 
@@ -64,7 +65,7 @@ def masked(data: bytes) -> int:
 
 @functools.cache
 def encoder(path: str):
-    """The tokenizer, its added tokens' strings, the id type, and the worker's cache of chunks."""
+    """The tokenizer, its added tokens' strings, the id type, the worker's cache of chunks, and by id whether a token begins with a space."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,26 +73,57 @@ def encoder(path: str):
 
     t = Tokenizer.from_file(path)
     kind = "<u2" if t.get_vocab_size(True) <= 65536 else "<u4"
-    return t, [x.content for x in t.get_added_tokens_decoder().values()], kind, {}
+    first = np.zeros(max(t.get_vocab(True).values(), default=0) + 1, bool)
+    first[[i for x, i in t.get_vocab(True).items() if x.startswith("\u0120")]] = True  # a space, in the byte-level alphabet
+    return t, [x.content for x in t.get_added_tokens_decoder().values()], kind, {}, first
+
+
+def _remember(chunks: list[str], path: str) -> None:
+    """Put the ids of chunks, each encoded alone, into the cache."""
+    t, _, kind, cache, _ = encoder(path)
+    code = "H" if kind == "<u2" else "I"
+    for lo in range(0, len(chunks), 20_000):
+        lot = chunks[lo : lo + 20_000]
+        for c, e in zip(lot, t.encode_batch_fast(lot, add_special_tokens=False), strict=True):
+            cache[c] = array(code, e.ids).tobytes()
+
+
+def _remember_words(words: list[str], path: str) -> None:
+    """The same for words of a space and letters, many as one text: their spaces are the only ones, so they tell where each begins."""
+    t, _, kind, cache, first = encoder(path)
+    native = np.dtype(kind).newbyteorder("=")
+    lots = [words[lo : lo + JOINED] for lo in range(0, len(words), JOINED)]
+    for lot, e in zip(lots, t.encode_batch_fast(["".join(x) for x in lots], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, native)
+        at = np.flatnonzero(first[ids])
+        if len(at) != len(lot):
+            _remember(lot, path)
+            continue
+        data, cuts = ids.tobytes(), [*(at * native.itemsize).tolist(), ids.nbytes]
+        cache.update(zip(lot, map(data.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
 
 
 def encode(texts: list[str], path: str, most: int = CACHE) -> list[np.ndarray]:
     """Ids of each text, without special tokens; the worker forgets its chunks when it has more than ``most``."""
-    t, added, kind, cache = encoder(path)
+    t, added, kind, cache, _ = encoder(path)
     chunked = [None if any(x in s for x in added) else _CHUNKS.findall(s) for s in texts]
     if len(cache) > most:
         cache.clear()
-    new = set().union(*(x for x in chunked if x)).difference(cache)
-    # letters and a mark after them are never joined: such a chunk is its stem's ids and the mark's
-    marked = [c for c in new if c[-1] in MARKS and c[:-1].lstrip(" ").isalpha()]
-    stems = list(new.difference(marked).union([c[:-1] for c in marked], MARKS).difference(cache))
-    code = "H" if kind == "<u2" else "I"
-    for lo in range(0, len(stems), 20_000):
-        lot = stems[lo : lo + 20_000]
-        for c, e in zip(lot, t.encode_batch_fast(lot, add_special_tokens=False), strict=True):
-            cache[c] = array(code, e.ids).tobytes()
-    for c in marked:
-        cache[c] = cache[c[:-1]] + cache[c[-1]]
+    # letters and marks after them are never joined: such a chunk is its word's ids and those of the marks
+    marked, words, other = [], set(), set()
+    for c in set().union(*(x for x in chunked if x)).difference(cache):
+        w = c.rstrip(MARKS)
+        if not w.lstrip(" ").isalpha():
+            other.add(c)
+            continue
+        (words if w[0] == " " else other).add(w)
+        if len(w) < len(c):
+            marked.append((c, w, c[len(w) :]))
+            other.add(c[len(w) :])
+    _remember_words(list(words.difference(cache)), path)
+    _remember(list(other.difference(cache)), path)
+    for c, w, m in marked:
+        cache[c] = cache[w] + cache[m]
     get = cache.__getitem__
     native = np.dtype(kind).newbyteorder("=")
     return [np.array(t.encode(s, add_special_tokens=False).ids, native) if chunks is None else np.frombuffer(b"".join(map(get, chunks)), native) for s, chunks in zip(texts, chunked, strict=True)]
