@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from tidemark.llm import op3_suffix_dedup as o3
 from tidemark.llm import op7_lm_scoring as o7
 from tidemark.llm import op9_binary_output as o9
 
@@ -47,3 +50,29 @@ def test_encoder_gets_words_together(monkeypatch):
     assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
     alike = {x for x in cache if x[0] == " " and x[1:].isalpha()}
     assert len(alike) > 1000 and sum(x in alike for x in given) < len(alike) / 10
+
+
+def test_bytes_repeated_in_several_near_copies():
+    """Exactly the windows that recur, among near copies that part at different places (before, places next to repeats in the array were marked as well)."""
+    rng = np.random.default_rng(7)
+    for alphabet, copies, length in ((60, 5, 256), (4, 3, 96), (60, 8, 400), (30, 2, 100)):
+        segs = []
+        for _ in range(12):
+            base = rng.integers(60, 60 + alphabet, 1500, dtype=np.uint8)
+            for _ in range(copies):
+                x = base.copy()
+                x[rng.integers(0, len(x), 3)] = 59
+                segs.append(x.tobytes()[: rng.integers(length, 1501)])
+        n = np.array([len(s) - length + 1 for s in segs])
+        count = Counter(s[i : i + length] for s in segs for i in range(len(s) - length + 1))
+        want = [count[s[i : i + length]] > 1 for s in segs for i in range(len(s) - length + 1)]
+        assert (o3.byte_match(segs, n, np.arange(len(segs)), length) == 0).tolist() == want
+
+
+def test_pairs_of_suffixes_are_not_sorted_to_the_end():
+    """Two suffixes that are alone in what they share leave the sort, next to each other."""
+    text = np.tile(np.random.default_rng(3).integers(1, 60, 3000), 2)
+    sa, _ = o3.suffix_array(text, 400, 400, 40)
+    place = np.empty(6000, int)
+    place[sa] = np.arange(6000)
+    assert all(abs(place[i] - place[i + 3000]) == 1 for i in range(2900))

@@ -36,7 +36,7 @@ _B = 0xD1342543DE82EF95
 _BI = pow(_B, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 BLOCK = 1 << 22
-PIECE = 1 << 20  # bytes of text hashed at a time
+PIECE = 1 << 19  # bytes of text hashed at a time, so that arrays of them stay close to a core
 ALONE, FIRST, LAST = 0, 1, 2  # a segment with its anchor; a run's first and last occurrence
 
 
@@ -64,20 +64,19 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(vals: np.ndarray) -> Callable:
-    """hash(start, end) of ranges of symbols, independent of where they stand."""
+    """hash(start, end) of ranges of symbols, independent of where they stand; starts and ends are arrays of places, or slices."""
     up, down = _power(len(vals) + 1)
     p = np.concatenate((np.zeros(1, U), np.cumsum(vals * up[: len(vals)])))
     return lambda lo, hi: mix((p[hi] - p[lo]) * down[lo])
 
 
 def _smallest(v: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each w consecutive values, by prefix and suffix minima of blocks of w."""
-    n = len(v) - w + 1
-    pad = np.full(-len(v) % w + w, np.iinfo(np.uint64).max, U)
-    x = np.concatenate((v, pad)).reshape(-1, w)
-    left = np.minimum.accumulate(x, axis=1).ravel()
-    right = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(right[:n], left[w - 1 : w - 1 + n])
+    """Minimum of each w consecutive values, by minima of 2, 4, 8 and so on."""
+    n, span = len(v) - w + 1, 1
+    while 2 * span <= w:
+        v = np.minimum(v[:-span], v[span:])
+        span *= 2
+    return np.minimum(v[:n], v[w - span : w - span + n])
 
 
 def segments(vals: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -90,13 +89,14 @@ def segments(vals: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tupl
         n = len(v) - length + 1
         h = prefix_hash(v)
         at = np.arange(len(v) - gram + 1)
-        g = h(at, at + gram)
+        g = h(slice(0, len(at)), slice(gram, None))
         low = U((1 << 28) - 1)
         best = (_smallest((g & ~low) | at.astype(U), length - gram + 1) & low).astype(np.int64)
         st = np.flatnonzero(r[:n] == r[length - 1 :])
         if not len(st):
             continue
-        new = np.flatnonzero(np.concatenate(([True], (best[st][1:] != best[st][:-1]) | (st[1:] != st[:-1] + 1))))
+        own = best[st]
+        new = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (st[1:] != st[:-1] + 1))))
         s0, s1 = st[new], st[np.append(new[1:], len(st)) - 1]
         a = best[s0]
         content = mix(h(s0, s1 + length) ^ mix(((s1 - s0).astype(U) << U(32)) | (a - s0).astype(U)))

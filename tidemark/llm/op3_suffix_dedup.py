@@ -4,8 +4,9 @@ Every byte that lies in a 400-byte string which also starts anywhere else is rem
 text around byte runs that recur to shards of bounded size.  A shard concatenates its segments, sorts all
 their suffixes by Larsson-Sadakane refinement (groups of equal prefixes are re-sorted by the rank of
 what follows, doubling the prefix each round, only groups still tied), and takes the common prefix of
-neighbours in the suffix array in text order with Kasai's bound (it shrinks by at most one from a
-suffix to the next).  A window is repeated if a neighbour shares 400 bytes.  An anchor with too many different
+neighbours in the suffix array in text order with Kasai's bound (it shrinks by one from a
+suffix to the next).  A window is repeated if a neighbour shares 400 bytes; two suffixes that are alone in sharing ``PAIRED``
+bytes are neighbours in either order and are not sorted further.  An anchor with too many different
 segments for one shard is dealt over several, whose window classes are merged by grouping their 64-bit hashes.
 
 The query also reports ``n_passage``, the bytes that shorter repeats cover: strings of 256 bytes, which a passage of
@@ -33,6 +34,7 @@ from .store import documents, id_filter, written
 from .text import U, mix, raw, slices
 
 LENGTH, PASSAGE = 400, 256
+PAIRED = 40  # symbols that a pair of suffixes shares before it is left to the comparison of neighbours
 _VALUE = mix(np.arange(1, 257, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, n_passage long, kept_sha256 string, spans array<struct<lo:int,hi:int>>"
 
@@ -46,41 +48,60 @@ def byte_cut(buf: np.ndarray, offs: np.ndarray, row: np.ndarray, start: np.ndarr
     return [data[a:b] for a, b in zip(lo.tolist(), (lo + n).tolist(), strict=True)]
 
 
-def suffix_array(text: np.ndarray, depth: int, coarse: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def suffix_array(text: np.ndarray, depth: int, coarse: int = 0, pairs: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of text (small integers) sorted by their first ``depth`` symbols at least, and ranks by some number of
-    symbols that is at most ``coarse`` (equal where those are equal)."""
+    symbols that is at most ``coarse`` (equal where those are equal).
+
+    Two suffixes that are alone in sharing ``pairs`` symbols or more, if given, stay next to each other unsorted: a third
+    suffix that may come between them would share these, and one that leads on to them shares more with one other at most.
+    """
     n = len(text)
     wide = max(1, int(n).bit_length())
     bits = max(1, int(text.max(initial=0) + 1).bit_length())
     h = max(1, min(8, (63 - wide) // bits))
+    pairs = depth if pairs is None else pairs
     ext = np.concatenate((text.astype(U), np.zeros(h, U)))
     key = np.zeros(n, U)
     for i in range(h):
         key = (key << U(bits)) | ext[i : i + n]
-    packed = np.sort((key << U(wide)) | np.arange(n, dtype=U))
+    packed = (key << U(wide)) | np.arange(n, dtype=U)
+    packed.sort()
     low = U((1 << wide) - 1)
-    sa = (packed & low).astype(np.int64)
-    key = packed >> U(wide)
-    rank = np.zeros(n + 1, np.int64)
-    head = np.concatenate(([True], key[1:] != key[:-1])) if n else np.zeros(0, bool)
-    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
+    kind = np.int32 if n < 1 << 30 else np.int64
+    sa = (packed & low).astype(kind)
+    packed >>= U(wide)
+    rank = np.zeros(n + 1, kind)
+    head = np.ones(n + 1, bool)  # one more, for the end
+    np.not_equal(packed[1:], packed[:-1], out=head[1:-1]) if n else None
+    rank[sa] = np.maximum.accumulate(np.where(head[:-1], np.arange(1, n + 1, dtype=kind), 0))
     half = rank.copy()
-    tied = np.flatnonzero(~(head & np.append(head[1:], True))) if n else np.zeros(0, np.int64)  # slots of groups with over one suffix
+    tied = np.flatnonzero(~(head[:-1] & head[1:])).astype(kind)  # slots of groups with over one suffix
     while len(tied) and h < depth:
         half = rank.copy() if h <= coarse < 2 * h else half
         i = sa[tied]
-        own, then = rank[i].astype(U), rank[np.minimum(i + h, n)].astype(U)
+        own, then = rank[i].astype(U), rank[np.minimum(i + kind(h), kind(n))].astype(U)
         if 3 * wide + 1 <= 63:
-            p = np.sort((((own << U(wide + 1)) | then) << U(wide)) | i.astype(U))
-            i, pair = (p & low).astype(np.int64), p >> U(wide)
+            own <<= U(2 * wide + 1)
+            then <<= U(wide)
+            own |= then
+            own |= i.astype(U)
+            own.sort()
+            i = (own & low).astype(kind)
+            own >>= U(wide)
+            pair = own
         else:
             o = np.lexsort((i, then, own))
             i, pair = i[o], (own[o] << U(32)) | then[o]
-        head = np.concatenate(([True], pair[1:] != pair[:-1]))
+        head = np.ones(len(i) + 1, bool)
+        np.not_equal(pair[1:], pair[:-1], out=head[1:-1])
         sa[tied] = i
-        rank[i] = np.maximum.accumulate(np.where(head, tied, 0)) + 1
-        tied = tied[~(head & np.append(head[1:], True))]
+        rank[i] = np.maximum.accumulate(np.where(head[:-1], tied + kind(1), 0))
         h *= 2
+        go_on = ~(head[:-1] & head[1:])
+        if h >= pairs:
+            two = np.flatnonzero(head[:-2] & ~head[1:-1] & head[2:])
+            go_on[two] = go_on[two + 1] = False
+        tied = tied[go_on]
     return sa, half
 
 
@@ -107,7 +128,7 @@ def repeated(text: np.ndarray, raw_bytes: np.ndarray, ends: np.ndarray, length:
     ends: for each place the end of its segment, which no match crosses.
     """
     n = len(text)
-    sa, half = suffix_array(text, length, length)
+    sa, half = suffix_array(text, length, length, PAIRED)
     prev = np.full(n, -1, np.int64)
     prev[sa[1:]] = sa[:-1]
     # neighbours that differ early, or whose segment ends sooner, share less
@@ -118,24 +139,23 @@ def repeated(text: np.ndarray, raw_bytes: np.ndarray, ends: np.ndarray, length:
     words = np.zeros(n + 1, U)
     for k in range(8):
         words |= pad[k : k + n + 1].astype(U) << U(8 * k)
-    shared = np.zeros(n, bool)
-    # Kasai: the common prefix with the neighbour before drops by at most one from a suffix to the next
+    # the common prefix with another place drops by one from a suffix to the next, while both go on
     step = 32
     lead = p[(p % step == 0) | ~np.isin(p - 1, p)]
     reach = np.zeros(n, np.int64)
     reach[lead] = np.minimum(_extend(words, lead, prev[lead], length + step), np.minimum(ends[lead] - lead, ends[prev[lead]] - prev[lead]))
-    bound = np.zeros(n, np.int64)
     at = np.zeros(n, np.int64)
     at[lead] = lead
     at = np.maximum.accumulate(at)
-    bound[p] = reach[at[p]] - (p - at[p])
-    shared[p[bound[p] >= length]] = True
-    rest = p[bound[p] < length]
-    rest = rest[reach[rest] == 0]
-    shared[rest[_extend(words, rest, prev[rest], length) >= length]] = True
-    shared[lead[reach[lead] >= length]] = True
-    both = shared.copy()
-    both[prev[shared]] = True
+    gone = p - at[p]
+    other = prev[at[p]] + gone
+    sure = reach[at[p]] - gone >= length
+    both = np.zeros(n, bool)
+    both[p[sure]] = both[other[sure]] = True
+    # the place before in the array is another one than the lead goes on to
+    rest = p[prev[p] != other]
+    rest = rest[_extend(words, rest, prev[rest], length) >= length]
+    both[rest] = both[prev[rest]] = True
     return both
 
 
