@@ -3,10 +3,12 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import catalog as C
 from tidemark.operators import mirror as M
 from tidemark.streaming import feed
 
@@ -145,3 +147,69 @@ def test_late_pages_overtake_nothing(spark, tmp_path):
     got = run()
     assert (got["i1"], got["i2"]) == (6.0, 6.0) and m.state()["mark"] == dt.date(2026, 6, 7)
     assert m.stores()[2].count() == 0
+
+
+def watched(spark, df):
+    """df and a counter of its rows that are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(watch, df.schema), seen
+
+
+@pytest.mark.parametrize("lateness", [None, 30])
+def test_a_window_is_read_once(spark, tmp_path, lateness):
+    m = seeded(spark, tmp_path)
+    rows, seen = watched(spark, window(spark, ("i1", "active", 2.0, TODAY), ("i1", "active", 3.0, TODAY), ("i2", "removed", None, TODAY), ("n1", "active", 1.0, TODAY), ("i3", None, 9.0, dt.date(2020, 1, 1))))
+    feed.apply_window(m, rows, details(spark, "i1", "n1"), TODAY, LOOSE, lateness)
+    assert seen.value == 5
+    assert {r["site_id"]: r["v_major"] for r in m.stores()[0].where("site_id IN ('i1', 'i2', 'n1')").collect()} == {"i1": 3.0, "n1": 1.0}
+    bare = window(spark, ("i1", None, 2.0, TODAY))
+    with pytest.raises(ValueError, match="no status"):
+        feed.apply_window(m, bare, details(spark, "i1"), TODAY, LOOSE, lateness)
+
+
+def test_a_census_reads_its_catalogue_once(spark, tmp_path):
+    m = seeded(spark, tmp_path)
+    listed = m.stores()[0].select("site_id", F.lit(2.0).alias("v_major"), "v_minor", "last_update", F.lit(False).alias("hs"))
+    catalog, listing = watched(spark, listed)
+    rows, seen = watched(spark, window(spark, ("i1", "active", 2.0, TODAY)))
+    assert feed.apply_census(m, catalog, details(spark, "i1"), TODAY, rows)["changed"] == 40
+    assert (listing.value, seen.value) == (40, 1)
+
+
+@pytest.mark.parametrize("order", [["page", "pos"], ["seq"], ["page", "pos", "seq"]])
+def test_windows_summed_by_id_equal_their_rows(spark, order):
+    rng = random.Random(len(order))
+    day = lambda: rng.choice([None, *(D1 + dt.timedelta(days=i) for i in range(4))])
+    places = rng.sample([(p, q) for p in (None, 1, 2, 70_000) for q in range(80)], 300)
+    rows = [(f"s{rng.randrange(60)}", rng.choice(["active", "Removed", None]), rng.choice([None, 1.0, 2.0, 3.0]), rng.choice([None, 5.0]), day(), rng.random() < 0.2, p, q, None if i == 7 else i) for i, (p, q) in enumerate(places)]
+    df = spark.createDataFrame(rows, "site_id string, status string, v_major double, v_minor double, last_update date, hs boolean, page int, pos int, seq bigint").select("site_id", "status", "v_major", "v_minor", "last_update", "hs", *order)
+    for live in (F.lit(True), F.coalesce(F.col("last_update") > D1, F.lit(False))):
+        seen = C.by_id(C.by_day(df).withColumn("live", live))
+        for got, want in zip(C.split_summed(seen), C.split_window(df.where(live)), strict=True):
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and want.count() > 5
+        newest = df.where(live).groupBy("site_id").agg(F.max("last_update").alias("newest"))
+        assert {tuple(r) for r in seen.select("site_id", "newest").where("newest is not null").collect()} == {tuple(r) for r in newest.where("newest is not null").collect()}
+    assert {r[0] for r in seen.where("status").select("site_id").collect()} == {r[0] for r in rows if r[1]}
+    assert len(order) == 3 or "SortAggregate" not in plan_of(seen)
+
+
+def test_buckets_follow_the_size_of_the_mirror(spark, tmp_path, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 300)
+    try:
+        m = seeded(spark, tmp_path)
+        assert m.state()["buckets"] == spark.sparkContext.defaultParallelism and len(held(m)) == 40
+        monkeypatch.setattr(M, "BUCKET", 400)
+        m = seeded(spark, tmp_path / "small")
+        assert m.state()["buckets"] == -(-(40 * (2 * M.LINE + len("old" + "g"))) // 400)
+        feed.apply_window(m, window(spark, ("i1", "active", 2.0, TODAY)), details(spark, "i1"), TODAY, LOOSE)
+        assert held(m)["i1"] == "new i1" and len(held(m)) == 40
+    finally:
+        spark.conf.set(key, before)
