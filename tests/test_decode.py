@@ -22,6 +22,13 @@ def test_numbers_and_text(spark):
     assert values(spark, ["\t a \n", "﻿b", " \n", None], D.safe_string) == ["a", "b", None, None]
 
 
+def test_whole_numbers_without_a_pattern(spark):
+    rows = ["7", "-7", "-0", "007", "+7", "2147483647", "2147483648", "-2147483648", "1 2", "7.", "\x017", "7\u2003"]
+    want = [7.0, -7.0, -0.0, 7.0, 7.0, 2147483647.0, 2147483648.0, -2147483648.0, None, 7.0, None, 7.0]
+    assert list(map(repr, values(spark, rows, D.safe_number))) == list(map(repr, want))
+    assert values(spark, [7.0, 7.5, float("nan"), float("inf")], D.safe_number, "double") == [7.0, 7.5, None, None]
+
+
 @pytest.mark.parametrize(
     ("f", "rows", "want"),
     [
