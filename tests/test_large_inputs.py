@@ -1,9 +1,12 @@
 """Inputs larger than a task: documents cut into ranges, tilings beyond a broadcast, files hashed in chunks, extracts along a curve."""
 
+import gzip
 import hashlib
 import json
 import random
+from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -204,3 +207,65 @@ def test_normalize_reads_its_input_once(spark, tmp_path):
     assert t["P_Coast_x"]["areaWithoutHardBan"] == sum(1 for i in range(51, 60) if i % 10 != 7)
     P.regional_build(parts, tallies, f"file://{tmp_path}/out", P.Release("v", "2026-01-01", "2026-01-02"))
     assert seen.value == 60
+
+
+def in_blocks(path, text, places):
+    """A document in blocks that end at the places."""
+    cuts = [0, *places, len(text)]
+    path.write_bytes(b"".join(K.block(text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)))
+
+
+def test_documents_in_blocks(spark, tmp_path):
+    rng = random.Random(4)
+    texts = {"a": json.dumps(document(300)).encode(), "b": json.dumps(document(40, 2), indent=2, ensure_ascii=False).encode(), "c": json.dumps(document(0)).encode()}
+    for kind, path in (("plain", tmp_path / "plain"), ("blocked", tmp_path / "blocked")):
+        path.mkdir()
+        for name, text in texts.items():
+            # borders lie behind braces, in strings too, and so within features
+            behind = [i + 1 for i, c in enumerate(text) if c == ord("}")]
+            if kind == "plain":
+                (path / f"{name}.json").write_bytes(text)
+            else:
+                in_blocks(path / f"{name}.json.gz", text, sorted(rng.sample(behind, min(9, len(behind)))))
+    assert gzip.decompress((tmp_path / "blocked/a.json.gz").read_bytes()) == texts["a"]
+    rows = lambda df: sorted((r["file"].rsplit("/", 1)[-1].split(".")[0], r["place"], r["text"]) for r in df.collect())
+    want = rows(K.feature_texts(spark, f"file://{tmp_path}/plain"))
+    blocked = K.feature_texts(spark, f"file://{tmp_path}/blocked", blocked=True)
+    assert rows(blocked) == want and len(want) == 340
+    one = S.feature_collection(spark, f"file://{tmp_path}/blocked/a.json.gz", blocked=True)
+    assert [r[0] for r in one.orderBy("_pos").select("SITE_ID").collect()] == [f"S{i}" for i in range(300)]
+
+
+def test_blocks_are_found_and_read_in_pieces(tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK", 64)
+    text = json.dumps(document(50)).encode()
+    cut = text.index(b"}", 4000) + 1
+    in_blocks(tmp_path / "d.gz", text, [cut])
+    batch = lambda size: pa.RecordBatch.from_pydict({"file": [f"file://{tmp_path}/d.gz"], "length": [size]})
+    whole = (tmp_path / "d.gz").stat().st_size
+    (found,) = K._members([batch(whole)])
+    assert found.num_rows == 2 and sum(found["size"].to_pylist()) == whole
+    pieces = list(K.inflated([found]))
+    assert len(pieces) > 20 and b"".join(b.tobytes() for _, _, b in pieces) == text
+    assert b"".join(b.tobytes() for _, at, b in pieces if at == 0) == text[:cut]
+    assert all(b[-1] == ord("}") for _, _, b in pieces[:-1])
+    for bad in (gzip.compress(text), (tmp_path / "d.gz").read_bytes()[:-9]):
+        (tmp_path / "d.gz").write_bytes(bad)
+        with pytest.raises(ValueError, match="not in blocks"):
+            list(K._members([batch(len(bad))]))
+    (tmp_path / "d.gz").write_bytes(bad[:-20])
+    with pytest.raises(ValueError, match="cut off"):
+        list(K.inflated([found]))
+
+
+def test_a_scan_of_documents_takes_less_disk_than_their_text(spark):
+    """Documents, the files that they are joined from and the lines read from them are all compressed."""
+    from tidemark.plans import outputs
+    from tidemark.session import shared_dir
+
+    root = Path(shared_dir(spark).removeprefix("file://"))
+    used = lambda: sum(p.stat().st_size for p in root.rglob("*") if p.is_file())
+    text = outputs.feature_lines(spark, "/root/testdata/sf0.01").agg(F.sum(F.octet_length("feature"))).head()[0]
+    before = used()
+    rows = outputs.collection_scan(spark, "/root/testdata/sf0.01").count()
+    assert rows == 15_000 and used() - before < text * 0.6

@@ -10,12 +10,16 @@ only the text before it tells: it may be in a string, and at any depth.  Three p
    range, and are the only rows that are shuffled.
 
 Rows of pass 2 are bytes / ``spark.sql.files.maxPartitionBytes`` in number; the starts are broadcast, at most ``MOST_RANGES``.
-Compressed documents cannot be cut and are one range each.
+Compressed documents cannot be cut and are one range each, but those in blocks: gzip of many members, as any reader of gzip reads it, each of
+which tells its size in its header, so that it can be found and read alone.  A block is a range; it ends between two tokens.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import kept
+
 #: Ranges behind the first of their file, 32 bytes each; more want a larger maxPartitionBytes.
 MOST_RANGES = 1 << 20
 BLOCK = 4 << 20
@@ -31,6 +37,31 @@ STEP[[ord("{"), ord("[")]] = 1
 STEP[[ord("}"), ord("]")]] = -1
 #: Features are objects at this depth, in an array that is the value of the document's key of this name.
 DEPTH, KEY = 2, b'"features"'
+#: A gzip member's header with one extra field, TM: bytes of the member.  PLAIN is one without fields, as Hadoop writes it.
+HEADER = struct.Struct("<4s6sH2sHQ")
+MAGIC, PLAIN = b"\x1f\x8b\x08\x04", b"\x1f\x8b\x08\x00"
+#: Tasks that blocks are dealt over, at most.
+MOST_TASKS = 10_000
+
+
+def header(size: int) -> bytes:
+    return HEADER.pack(MAGIC, bytes(6), 12, b"TM", 8, size)
+
+
+def block(text: bytes) -> bytes:
+    """A text as a block."""
+    z = zlib.compressobj(wbits=-15)
+    body = z.compress(text) + z.flush() + struct.pack("<II", zlib.crc32(text), len(text) & 0xFFFFFFFF)
+    return header(HEADER.size + len(body)) + body
+
+
+def copy_block(stream, size: int, out) -> None:
+    """A gzip file of one plain member and so many bytes, copied as a block."""
+    if stream.read(10)[:4] != PLAIN:
+        raise ValueError("not a plain gzip file")
+    out.write(header(size - 10 + HEADER.size))
+    while chunk := stream.read(BLOCK):
+        out.write(chunk)
 
 
 class Start(NamedTuple):
@@ -100,10 +131,62 @@ def blocks(batches):
         yield *key, np.frombuffer(b"".join(held), np.uint8)
 
 
-def _reported(batches):
-    """Pass 1: a row for each range, way in and relative depth."""
+def _members(batches):
+    """(file, at, size) of all blocks of each file; a header leads to the next."""
+    from pyarrow import fs
+
+    for b in batches:
+        rows = []
+        for file, length in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            system, path = fs.FileSystem.from_uri(file)
+            at = 0
+            with system.open_input_file(path) as f:
+                while at < length:
+                    f.seek(at)
+                    h = f.read(HEADER.size)
+                    magic, _, *field, size = HEADER.unpack(h) if len(h) == HEADER.size else (b"", b"", 0)
+                    if magic != MAGIC or field != [12, b"TM", 8] or not HEADER.size < size <= length - at:
+                        raise ValueError(f"{file} is not in blocks")
+                    rows.append((file, at, size))
+                    at += size
+        cols = list(zip(*rows, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["file", "at", "size"])
+
+
+def inflated(batches):
+    """``blocks`` of (file, at, size) of blocks; some MB at once, which end behind a brace."""
+    from pyarrow import fs
+
+    for b in batches:
+        for file, at, left in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            system, path = fs.FileSystem.from_uri(file)
+            z, held = zlib.decompressobj(31), b""
+            with system.open_input_file(path) as f:
+                f.seek(at)
+                while left:
+                    data = f.read(min(left, BLOCK >> 3))
+                    left -= len(data)
+                    if not data:
+                        break
+                    more = True
+                    while more:
+                        got = z.decompress(data, BLOCK)
+                        data = z.unconsumed_tail
+                        more = data or len(got) == BLOCK
+                        held += got
+                        if len(held) >= BLOCK and (cut := held.rfind(b"}") + 1):
+                            yield file, at, np.frombuffer(held[:cut], np.uint8)
+                            held = held[cut:]
+            if left or not z.eof:
+                raise ValueError(f"{file} is cut off")
+            if held:
+                yield file, at, np.frombuffer(held, np.uint8)
+
+
+def _reported(pieces: Iterator):
+    """Pass 1, of ``blocks``: a row for each range, way in and relative depth."""
     ranges: dict = {}
-    for file, at, b in blocks(batches):
+    for file, at, b in pieces:
         ways = ranges.setdefault((file, at), [{"text": bool(w), "depth": 0, "sure": defaultdict(int), "open": defaultdict(int), "last": {}} for w in (0, 1)])
         for way in ways:
             m = marks(b, way["text"], way["depth"])
@@ -152,8 +235,8 @@ def _chained(t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([t.column("file")[0].as_py()] * len(out)), *map(pa.array, cols)], ["file", "at", *Start._fields])
 
 
-def _read(starts):
-    """Pass 3: features, or parts of those that cross a border of ranges."""
+def _read(starts, cut):
+    """Pass 3: features, or parts of those that cross a border of ranges; cut: ``blocks`` or ``inflated``."""
 
     def run(batches):
         key, now, index, held, out = None, Start(), 0, None, []
@@ -168,7 +251,7 @@ def _read(starts):
                 text, place, begun = b"".join(held[0]), held[1], held[2]
                 out.append((key[0], begun, place, key[1], False, text))
 
-        for file, at, b in blocks(batches):
+        for file, at, b in cut(batches):
             if key != (file, at):
                 closing()
                 key, now, index = (file, at), starts.value.get((file, at), Start()), 0
@@ -207,17 +290,28 @@ def _read(starts):
     return run
 
 
-def feature_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, place, text) of every object in the ``features`` of each document; place counts from 0 in its document."""
-    pieces = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.col("value").cast("binary").alias("piece"))
-    reports = pieces.mapInArrow(_reported, "file string, at long, way boolean, text boolean, gained long, depth long, sure long, open long, last boolean")
+def feature_texts(spark: SparkSession, path: str | list[str], blocked: bool = False) -> DataFrame:
+    """(file, place, text) of every object in the ``features`` of each document; place counts from 0 in its document.
+
+    blocked: the documents are in blocks, in a store that Arrow opens by their URI.
+    """
+    if blocked:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), "length")
+        found = kept(files.mapInArrow(_members, "file string, at long, size long"), "members")
+        pieces, cut = found.repartition(min(max(1, found.count()), MOST_TASKS)), inflated
+    else:
+        text = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
+        pieces, cut = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.col("value").cast("binary").alias("piece")), blocks
+    reports = pieces.mapInArrow(lambda batches: _reported(cut(batches)), "file string, at long, way boolean, text boolean, gained long, depth long, sure long, open long, last boolean")
     starts = reports.groupBy("file").applyInArrow(_chained, "file string, at long, text boolean, depth long, listed boolean, place long, begun long").where("at > 0")
     got = starts.limit(MOST_RANGES + 1).toArrow()
     if got.num_rows > MOST_RANGES:
         raise ValueError(f"more than {MOST_RANGES} ranges: raise spark.sql.files.maxPartitionBytes")
     sent = spark.sparkContext.broadcast({(r["file"], r["at"]): Start(*(r[f] for f in Start._fields)) for r in got.to_pylist()})
-    found = pieces.mapInArrow(_read(sent), "file string, begun long, place long, at long, whole boolean, text binary")
+    found = pieces.mapInArrow(_read(sent, cut), "file string, begun long, place long, at long, whole boolean, text binary")
     whole = found.where("whole").select("file", "place", F.col("text").cast("string").alias("text"))
+    if all(s.begun < 0 for s in sent.value.values()):
+        return whole  # no feature crosses a border
     parts = found.where("not whole").groupBy("file", "place").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("p"))
     joined = F.array_join(F.transform("p", lambda x: x["text"].cast("string")), "")
     return whole.unionByName(parts.select("file", "place", joined.alias("text")))
