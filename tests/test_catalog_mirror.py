@@ -1,13 +1,17 @@
 import datetime as dt
 import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import HIGH_SEAS
 from tidemark.operators import catalog as C
 from tidemark.operators import mirror as M
+from tidemark.plans import views
 from tidemark.plans.outputs import paged
+from tidemark.session import shared_dir
 from tidemark.sources import readers as S
 from tidemark.streaming import feed
 
@@ -92,6 +96,24 @@ def test_full_pages_end_with_an_empty_one(spark):
     assert S.site_rows(pages).count() == 6
 
 
+def test_no_task_numbers_or_gathers_more_than_a_range(spark, monkeypatch):
+    """Rows are sorted in ranges of about V.RANGE, however few cores there are, and pages are gathered in as many partitions."""
+    monkeypatch.setattr(views, "RANGE", 50)
+    root = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(root.iterdir())
+    at = F.xxhash64("id")
+    rows = spark.range(1000).select(F.struct(at.alias("h"), "id").alias("key"), F.struct(*(at.cast("string").alias(f.name) for f in S.ROW)).alias("r"))
+    pages = paged(spark, rows, 30)
+    S.require_complete(pages, limit=30)
+    got = [r["ps_id"] for p in sorted(pages.collect()) for r in p["sites"]]
+    assert got == [str(r[0]) for r in rows.select("key.h").orderBy("h").collect()]
+    (ranges,) = (p for p in set(root.iterdir()) - before if p.name.startswith("ranges-"))
+    held = [pq.ParquetFile(f).metadata.num_rows for f in ranges.glob("*.parquet")]
+    assert sum(held) == 1000 and len(held) > 15 and max(held) < 150
+    (written,) = (p for p in set(root.iterdir()) - before if p.name.startswith("pages-"))
+    assert len(list(written.glob("*.json"))) > 10
+
+
 def seeded(spark, tmp_path):
     m = M.Mirror(spark, f"file://{tmp_path}/mirror")
     idx, _ = stores(spark)

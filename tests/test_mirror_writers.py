@@ -118,6 +118,22 @@ def test_details_repeat(spark):
     assert [tuple(r) for r in feed._once(d).collect()] == [("a", "r", "f")]
 
 
+@pytest.mark.parametrize("called", [True, False])
+def test_details_are_sorted_a_bucket_at_once(spark, called):
+    """Texts are dealt over the buckets before they are sorted, once, and joined as they stand."""
+    d = spark.range(300).select((F.col("id") % 100).cast("string").alias("site_id"), F.col("id").cast("string").alias("props"), F.when(F.col("id") < 200, "g").alias("geometry"))
+    wanted = spark.range(0, 200, 2).select(F.col("id").cast("string").alias("site_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = feed._refreshed((lambda ids: d) if called else d, wanted, 13)
+        assert {tuple(r) for r in got.collect()} == {(str(i), str(max(str(i), str(i + 100))), "g") for i in range(0, 100, 2)}
+        assert got.rdd.getNumPartitions() == 13
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.rindex("SortAggregate") < plan.index("Exchange") and "AQEShuffleRead" not in plan[: plan.index("Exchange")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_late_pages_overtake_nothing(spark, tmp_path):
     m = seeded(spark, tmp_path)
     land = tmp_path / "landing"
