@@ -35,6 +35,7 @@ BLOCK = 4 << 20
 STEP = np.zeros(256, np.int8)
 STEP[[ord("{"), ord("[")]] = 1
 STEP[[ord("}"), ord("]")]] = -1
+BRACE = STEP != 0
 #: Features are objects at this depth, in an array that is the value of the document's key of this name.
 DEPTH, KEY = 2, b'"features"'
 #: A gzip member's header with one extra field, TM: bytes of the member.  PLAIN is one without fields, as Hadoop writes it.
@@ -84,7 +85,16 @@ class Marks(NamedTuple):
     end: int
 
 
-def marks(b: np.ndarray, text: bool, depth: int) -> Marks:
+class Places(NamedTuple):
+    """Braces and brackets, in strings or not: places, characters and the parity of the quotes before each; and that of all quotes."""
+
+    at: np.ndarray
+    char: np.ndarray
+    odd: np.ndarray
+    last: int
+
+
+def places(b: np.ndarray) -> Places:
     quote = b == ord('"')
     back = np.flatnonzero(b == ord("\\"))
     if len(back):  # what follows an odd run of backslashes is escaped
@@ -92,11 +102,19 @@ def marks(b: np.ndarray, text: bool, depth: int) -> Marks:
         length = np.diff(np.append(first, len(back)))
         after = (back[first] + length)[length % 2 == 1]
         quote[after[after < len(b)]] = False
-    within = (np.cumsum(quote) + text) & 1
-    step = STEP[b]
-    at = np.flatnonzero((step != 0) & (within == 0))
-    moved = np.cumsum(step[at], dtype=np.int64)
-    return Marks(at, b[at], depth + moved - step[at], bool(within[-1]) if len(b) else text, depth + int(moved[-1]) if len(at) else depth)
+    odd = np.cumsum(quote, dtype=np.uint8)  # parity outlives the overflow
+    at = np.flatnonzero(BRACE[b])
+    return Places(at, b[at], odd[at] & 1, int(odd[-1]) & 1 if len(b) else 0)
+
+
+def marks(b: np.ndarray, text: bool, depth: int, found: Places | None = None) -> Marks:
+    """found: ``places`` of b, which hold for both ways in."""
+    at, char, odd, last = found or places(b)
+    out = odd == text
+    at, char = at[out], char[out]
+    step = STEP[char]
+    moved = np.cumsum(step, dtype=np.int64)
+    return Marks(at, char, depth + moved - step, bool(last) != text, depth + int(moved[-1]) if len(at) else depth)
 
 
 def of_features(b: np.ndarray, at: int) -> bool:
@@ -188,8 +206,9 @@ def _reported(pieces: Iterator):
     ranges: dict = {}
     for file, at, b in pieces:
         ways = ranges.setdefault((file, at), [{"text": bool(w), "depth": 0, "sure": defaultdict(int), "open": defaultdict(int), "last": {}} for w in (0, 1)])
+        found = places(b)
         for way in ways:
-            m = marks(b, way["text"], way["depth"])
+            m = marks(b, way["text"], way["depth"], found)
             deep = np.unique(m.depth[m.char == ord("{")]).tolist()
             for depth in deep:
                 _, flag, way["last"][depth - 1] = listed(b, m, depth, way["last"].get(depth - 1))
@@ -269,14 +288,16 @@ def _read(starts, cut):
                     out.append((file, held[2], held[1], at, held[2] == at, b"".join(held[0])))
                     held = None
                 from_ = stop
-            for start in begins[begins >= from_].tolist():
-                after = int(np.searchsorted(ends, start, side="right"))
+            begins, all_ = begins[begins >= from_], b.tobytes()
+            after = np.searchsorted(ends, begins, side="right")
+            stops = np.append(ends, 0)[after]  # 0: it goes on
+            for start, stop in zip(begins.tolist(), stops.tolist(), strict=True):
                 place = now.place + index
                 index += 1
-                if after == len(ends):
-                    held = ([b[start:].tobytes()], place, at)
+                if not stop:
+                    held = ([all_[start:]], place, at)
                     break
-                out.append((file, at, place, at, True, b[start : int(ends[after])].tobytes()))
+                out.append((file, at, place, at, True, all_[start:stop]))
                 size += len(out[-1][-1])
                 if size > BLOCK:
                     yield done()
